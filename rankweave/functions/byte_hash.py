@@ -150,10 +150,9 @@ def byte_hash(value: Column, algorithm: str = "hash64", seed: int = 0) -> Column
 
     @F.pandas_udf(data_type)
     def hashed(texts: pd.Series) -> pd.Series:
-        present = texts.notna()
-        values = pd.Series([None] * len(texts), index=texts.index, dtype="object")
-        if present.any():
-            values[present] = list(function(texts[present], seed))
-        return values
+        present = texts.notna().to_numpy()
+        hashes = iter(function(texts[present], seed))
+        values = [next(hashes) if there else None for there in present]
+        return pd.Series(values, index=texts.index, dtype="object")
 
     return hashed(value)

@@ -39,7 +39,8 @@ def score_table(df: DataFrame, score: str, label: str, bits: int = RANGE_BITS) -
     )
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
     bounds = counts.agg(F.percentile_approx("score", cuts, 1 << (bits + 3))).scalar()
-    ranged = counts.withColumn("_range", _range_of(F.col("score"), bounds, bits))
+    bounded = counts.withColumn("_bounds", bounds)
+    ranged = bounded.withColumn("_range", _range_of(F.col("score"), F.col("_bounds"), bits)).drop("_bounds")
     totals = ranged.groupBy("_range").agg(
         F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.count(F.lit(1)).alias("_n")
     )

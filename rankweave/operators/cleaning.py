@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.functions.tags import MISSING_TAG
-from rankweave.operators.joins import MIN_HOT_ROWS, skew_safe_join
+from rankweave.operators.joins import SHARE_ROWS, skew_safe_join
 
 ID_COLUMNS = ("device_id", "feed_id", "label_date", "timestamp")
 LABEL_KEY = ("label_date", "device_id", "feed_id")
@@ -93,11 +93,11 @@ def multi_record_users(
     item: str = "feed_id",
     min_records: int = 2,
     salt_by: Sequence[str] | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Rows of users that have at least `min_records` rows with an item."""
     users = df.groupBy(user).agg(F.count(item).alias("_records")).where(F.col("_records") >= min_records).select(user)
-    return skew_safe_join(df, users, [user], "left_semi", salt_by=salt_by, min_rows=min_rows)
+    return skew_safe_join(df, users, [user], "left_semi", salt_by=salt_by, share_rows=share_rows)
 
 
 def active_users(df: DataFrame, min_days: int = 3, user: str = "device_id", date: str = "label_date") -> DataFrame:

@@ -4,25 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key is hot when it holds more than 1/MAX_HOT_KEYS of all rows, so there are always fewer than MAX_HOT_KEYS of
-#: them. That is the proven bound on what `skew_safe_join` broadcasts, whatever the size of the data.
+#: A task should not get more rows of one key than this; keys above it are split into shares.
+SHARE_ROWS = 1_000_000
+
+#: Only the heaviest keys are split. Any key outside of them holds less than 1/MAX_HOT_KEYS of all rows, so the list of
+#: hot keys stays this short, and safe to collect and broadcast, whatever the size of the data.
 MAX_HOT_KEYS = 10_000
 
-#: Keys below this many rows are never split; one task handles them.
-MIN_HOT_ROWS = 1_000_000
+_NULL_KEY_SHARES = 1024
+
 
-_NULL_KEY_SALTS = 1024
+def hot_keys(df: DataFrame, keys: Sequence[str], share_rows: int = SHARE_ROWS) -> DataFrame | None:
+    """(keys, _shares) of the keys with more than `share_rows` rows, heaviest first; None when there are none.
+
+    This runs one job that reads the key columns only and combines on the map side.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > share_rows)
+    heaviest = counts.orderBy(F.col("_rows").desc()).limit(MAX_HOT_KEYS)
+    shares = F.ceil(F.col("_rows") / F.lit(share_rows)).cast("int").alias("_shares")
+    found = heaviest.select(*keys, shares)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Hot keys of `df` with the number of shares (`_salts`) their rows are split into."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
-    share = F.greatest(total / F.lit(float(MAX_HOT_KEYS)), F.lit(float(min_rows)))
-    return counts.where(F.col("_rows") > share).select(*keys, F.ceil(F.col("_rows") / share).cast("int").alias("_salts"))
+def _any_null(keys: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return missing
 
 
 def skew_safe_join(
@@ -31,28 +43,26 @@ def skew_safe_join(
     on: Sequence[str],
     how: str = "left",
     salt_by: Sequence[str] | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Equi-join of a large, possibly skewed `left` with `right`, which is unique or narrow per key.
 
-    Rows of a hot key are spread over several shares by a hash of `salt_by` (all columns by default); the matching
-    right rows are copied into each share. All other keys join as usual, and adaptive execution still turns the join
-    into a broadcast when the right side turns out small. Works for inner, left, left_semi and left_anti.
+    Without hot keys this is the plain join: adaptive execution broadcasts a small right side by its measured size.
+    With hot keys, their rows are spread over shares by a hash of `salt_by` (all columns by default; name an id column
+    when many rows are exact copies) and the matching right rows are copied into each share. A row's share depends on
+    its values only, so a task that is run again after a lost executor puts it in the same place.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"join type {how!r} cannot be salted on the left")
+        raise ValueError(f"join type {how!r} cannot be split on the left")
     on = list(on)
-    hot = hot_keys(left, on, min_rows)
+    hot = hot_keys(left, on, share_rows)
+    if hot is None:
+        return left.join(right, on, how)
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)])
-    any_null = F.lit(False)
-    for key in on:
-        any_null = any_null | F.col(key).isNull()
-    salt = (
-        F.when(any_null, F.pmod(row_hash, F.lit(_NULL_KEY_SALTS)))
-        .otherwise(F.coalesce(F.pmod(row_hash, F.col("_salts").cast("bigint")), F.lit(0).cast("bigint")))
-        .cast("int")
+    shares = F.when(_any_null(on), F.lit(_NULL_KEY_SHARES)).otherwise(F.coalesce(F.col("_shares"), F.lit(1)))
+    salted = left.join(F.broadcast(hot), on, "left").withColumn(
+        "_share", F.pmod(row_hash, shares.cast("bigint")).cast("int")
     )
-    salted = left.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_salts")
-    shares = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    copied = right.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(shares)).drop("_salts")
-    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
+    numbers = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1)
+    copied = right.join(F.broadcast(hot), on, "left").withColumn("_share", F.explode(numbers)).drop("_shares")
+    return salted.drop("_shares").join(copied, [*on, "_share"], how).drop("_share")

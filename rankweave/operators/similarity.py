@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.dates import shift_date
 from rankweave.functions.vectors import dot, normalized, zero_array
-from rankweave.operators.joins import MIN_HOT_ROWS, skew_safe_join
+from rankweave.operators.joins import SHARE_ROWS, skew_safe_join
 
 
 def previous_day_vectors(
@@ -22,7 +22,7 @@ def previous_day_vectors(
     width: int,
     output: str,
     salt_by: Sequence[str] | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Append the embedding of `id_column` from the day before `label_date`; zeros when there is none.
 
@@ -30,7 +30,7 @@ def previous_day_vectors(
     """
     keyed = df.withColumn("_day", shift_date(F.col("label_date"), -1))
     table = vectors.select(F.col("id").alias(id_column), F.col("dt").alias("_day"), F.col("vec").alias(output))
-    joined = skew_safe_join(keyed, table, [id_column, "_day"], "left", salt_by=salt_by, min_rows=min_rows)
+    joined = skew_safe_join(keyed, table, [id_column, "_day"], "left", salt_by=salt_by, share_rows=share_rows)
     return joined.select(*df.columns, F.coalesce(F.col(output), zero_array(width)).alias(output))
 
 
