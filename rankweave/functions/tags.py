@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rankweave.functions.binding import bind
+
 #: Fill value of a missing tag string, and the word that marks "no tag".
 MISSING_TAG = "null:0.0"
 NULL_TERM = "null"
@@ -37,8 +39,7 @@ def is_null_term(term: Column) -> Column:
 
 def is_positive_tag(tag: Column) -> Column:
     """A readable score decides by its sign; without one, every real term counts."""
-    score = tag_score(tag)
-    return F.when(score.isNotNull(), (score >= 0) & ~F.isnan(score)).otherwise(~is_null_term(tag_term(tag)))
+    return F.coalesce(F.nanvl(tag_score(tag), F.lit(-1.0)) >= 0, ~is_null_term(tag_term(tag)))
 
 
 def tag_names(value: Column) -> Column:
@@ -52,10 +53,19 @@ def positive_tags(value: Column, top_k: int) -> Column:
     return F.when(value.isNull(), F.array(F.lit(NULL_TERM))).otherwise(F.transform(kept, tag_term))
 
 
+def _before(values: Column, position: Column) -> Column:
+    """The elements in front of a 1-based position; all of them for position 0."""
+    return F.when(position == 0, values).otherwise(F.slice(values, F.lit(1), F.greatest(position - 1, F.lit(0)).cast("int")))
+
+
 def leading_tags(tags: Column) -> Column:
     """The tags in front of the first one whose term is empty or "null"; the rest is not read."""
-    stop = F.array_position(F.transform(tags, lambda t: is_null_term(tag_term(t))), F.lit(True))
-    return F.when(stop == 0, tags).otherwise(F.slice(tags, F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int")))
+
+    def cut(values: Column) -> Column:
+        bad = F.transform(values, lambda t: is_null_term(tag_term(t)))
+        return _before(values, F.array_position(bad, F.lit(True)))
+
+    return bind(tags, cut)
 
 
 def key_value_part(value: Column, take_key: bool = True) -> Column:
@@ -67,8 +77,7 @@ def key_value_part(value: Column, take_key: bool = True) -> Column:
 
 def clean_scored_term(value: Column) -> Column:
     """(term, 0.0) of a `term:score` whose score is not negative, else ("null", 0.0)."""
-    score = tag_score(value)
-    keep = score.isNotNull() & (score >= 0) & ~F.isnan(score)
+    keep = F.nanvl(tag_score(value), F.lit(-1.0)) >= 0
     return F.struct(
         F.when(keep, tag_term(value)).otherwise(F.lit(NULL_TERM)).alias("term"), F.lit(0.0).alias("prob")
     )
@@ -77,20 +86,17 @@ def clean_scored_term(value: Column) -> Column:
 def tag_map(value: Column) -> Column:
     """`{a:1.0,b}` as map<string,double>: weight 1.0 when absent, the last weight of a repeated tag wins."""
     inner = F.regexp_replace(value, r"^\{|\}$", "")
-    tags = split_parts(inner, ",")
-    stop = F.array_position(tags, F.lit(""))
-    tags = F.when(stop == 0, tags).otherwise(F.slice(tags, F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int")))
-    entries = F.transform(
-        tags,
-        lambda t: F.struct(
-            tag_term(t).alias("key"),
-            F.when(F.size(split_parts(t, ":")) == 1, F.lit(1.0)).otherwise(tag_score(t)).alias("value"),
-        ),
-    )
+    tags = bind(split_parts(inner, ","), lambda parts: _before(parts, F.array_position(parts, F.lit(""))))
+
+    def entry(tag: Column) -> Column:
+        parts = split_parts(tag, ":")
+        weight = F.when(F.size(parts) == 1, F.lit(1.0)).otherwise(tag_score(tag))
+        return F.struct(tag_term(tag).alias("key"), weight.alias("value"))
+
+    entries = F.transform(tags, entry)
+    keys = F.transform(entries, lambda e: e["key"])
     last_of_key = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda later: later["key"] == e["key"]
-        ),
+        entries, lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i
     )
-    return F.map_from_entries(last_of_key)
+    distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.map_from_entries(F.when(distinct, entries).otherwise(last_of_key))

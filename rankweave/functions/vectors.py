@@ -7,6 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankweave.functions.binding import bind
+
 _VECTOR_FIELD = T.StructType([T.StructField("v", VectorUDT())])
 
 
@@ -16,7 +18,7 @@ def sparse_vector(indices: Column, size: int, values: Column | None = None) -> C
     The vector type has no SQL constructor for sparse data, so its struct form is read back as JSON by the JVM.
     """
     if values is None:
-        values = F.transform(indices, lambda _: F.lit(1.0))
+        values = F.array_repeat(F.lit(1.0), F.size(indices))
     body = F.to_json(
         F.struct(
             F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")
@@ -37,7 +39,7 @@ def dot(x: Column, y: Column) -> Column:
 def magnitude(x: Column) -> Column:
     """Euclidean length, 1.0 for the zero vector so that it can be divided by."""
     squares = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v * v)
-    return F.when(squares == 0.0, F.lit(1.0)).otherwise(F.sqrt(squares))
+    return bind(squares, lambda s: F.when(s == 0.0, F.lit(1.0)).otherwise(F.sqrt(s)))
 
 
 def cosine_similarity(x: Column, y: Column) -> Column:
@@ -50,7 +52,7 @@ def cosine_similarity(x: Column, y: Column) -> Column:
 
 def normalized(x: Column) -> Column:
     """Vector of length one; the zero vector stays as it is."""
-    return F.transform(F.array(magnitude(x)), lambda m: F.transform(x, lambda v: v / m))[0]
+    return bind(magnitude(x), lambda m: F.transform(x, lambda v: v / m))
 
 
 def zero_array(width: int) -> Column:

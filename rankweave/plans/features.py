@@ -22,7 +22,7 @@ WIDTH = views.VECTOR_WIDTH
 
 def _joined(values: Column) -> Column:
     """A list as comma-joined text, for comparing with SQL."""
-    return F.array_join(F.transform(values, lambda v: v.cast("string")), ",")
+    return F.array_join(values.cast("array<string>"), ",")
 
 
 # SQL pieces: split parts, terms, the prefix in front of the first bad term, distinct sorted slots.

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankweave.functions.tag_hash import (
+    native_tag_hash,
     scored_tag_hash_slots,
     tag_hash,
     tag_hash_slots,
@@ -66,8 +67,17 @@ def test_random_words_match_emulation(spark):
     alphabet = "abcxyz0189 _-éüß体育新闻😀🎉"
     words = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 24))) for _ in range(500)]
     df = spark.createDataFrame([(w,) for w in words], "word string")
-    for row in df.select("word", tag_hash(F.col("word"), 99).alias("h")).collect():
-        assert row["h"] == emulated_hash(row["word"], 99) >= 0
+    w = F.col("word")
+    for row in df.select("word", tag_hash(w, 99).alias("h"), native_tag_hash(w, 99).alias("n")).collect():
+        assert row["h"] == row["n"] == emulated_hash(row["word"], 99) >= 0
+
+
+def test_plain_and_null_words(spark):
+    words = ["", "a", None, "a", "longer word", None]
+    df = spark.createDataFrame([(w,) for w in words], "word string").coalesce(1)
+    expected = [None if w is None else emulated_hash(w, 12345) for w in words]
+    for hashed in (tag_hash(F.col("word")), native_tag_hash(F.col("word"))):
+        assert [r[0] for r in df.select(hashed).collect()] == expected
 
 
 def test_demo_vectors(spark):
