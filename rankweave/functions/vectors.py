@@ -27,9 +27,16 @@ def sparse_vector(indices: Column, size: int, values: Column | None = None) -> C
     return F.from_json(F.concat(F.lit('{"v":'), body, F.lit("}")), _VECTOR_FIELD)["v"]
 
 
+#: Vectors up to this width list their slots in the column metadata, which feature interaction needs.
+LISTED_SLOTS = 4096
+
+
 def vector_metadata(size: int) -> dict:
-    """Column metadata that tells ML stages the vector width."""
-    return {"ml_attr": {"num_attrs": size}}
+    """Column metadata that tells ML stages the vector width, and for narrow vectors that each slot is 0 or 1."""
+    if size > LISTED_SLOTS:
+        return {"ml_attr": {"num_attrs": size}}
+    slots = [{"idx": i, "name": str(i)} for i in range(size)]
+    return {"ml_attr": {"attrs": {"binary": slots}, "num_attrs": size}}
 
 
 def dot(x: Column, y: Column) -> Column:

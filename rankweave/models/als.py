@@ -53,7 +53,7 @@ class Recommender:
     def recommendation_lists(self, n: int = TOP_ITEMS) -> DataFrame:
         """(user, recommendations): ordered item lists of at most `n`."""
         entry = F.struct("rank", self.item_column)
-        ordered = F.array_sort(F.collect_list(entry))
+        ordered = F.sort_array(F.collect_list(entry))
         return (
             self.top_items(n)
             .groupBy(self.user_column)
@@ -68,8 +68,24 @@ class Recommender:
 
     def predict(self, pairs: DataFrame) -> DataFrame:
         """`pairs` with a `prediction`; pairs with an unknown user or item are left out."""
-        indexed = with_index(with_index(pairs, self.users, self.user_column), self.items, self.item_column)
-        return self.model.transform(indexed).drop(f"{self.user_column}_index", f"{self.item_column}_index")
+        indexes = [f"{self.user_column}_index", f"{self.item_column}_index"]
+        indexed = pairs
+        if not set(indexes) <= set(pairs.columns):
+            by_user = with_index(pairs, self.users, self.user_column)
+            indexed = with_index(by_user, self.items, self.item_column, sized_by=pairs)
+        return self.model.transform(indexed).drop(*indexes)
+
+
+def index_tables(ratings: DataFrame, user: str = "device_id", item: str = "feed_id") -> tuple[DataFrame, DataFrame]:
+    """Integer ids of users and items, as fitting needs them.
+
+    Ids are numbered in parallel instead of through a label array on the driver. The tables are written to the
+    checkpoint folder, since fitting and scoring must see the same numbers.
+    """
+    return (
+        cut_lineage(index_ids(ratings, user, f"{user}_index")),
+        cut_lineage(index_ids(ratings, item, f"{item}_index")),
+    )
 
 
 def fit_als(
@@ -85,21 +101,23 @@ def fit_als(
     nonnegative: bool = False,
     blocks: int = 10,
     seed: int = 12345,
+    tables: tuple[DataFrame, DataFrame] | None = None,
 ) -> Recommender:
     """Factorise (user, item, rating) rows; without `rating` every row counts 1.
 
-    Ids are indexed with distributed numbering instead of a label array on the driver, and the index tables are
-    written to the checkpoint folder, since fitting and scoring must see the same numbers.
+    `tables` are the `index_tables` of these or of more ratings; rows that already carry both index columns are used
+    as they are.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
-    users = cut_lineage(index_ids(ratings, user, f"{user}_index"))
-    items = cut_lineage(index_ids(ratings, item, f"{item}_index"))
+    users, items = tables or index_tables(ratings, user, item)
+    indexes = [f"{user}_index", f"{item}_index"]
     value = F.col(rating).cast("float") if rating else F.lit(1.0).cast("float")
-    rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(user, item, value.alias("rating"))
-    indexed = with_index(with_index(rows, users, user), items, item)
+    rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull())
+    if not set(indexes) <= set(rows.columns):
+        rows = with_index(with_index(rows, users, user), items, item, sized_by=rows)
     als = ALS(
-        userCol=f"{user}_index",
-        itemCol=f"{item}_index",
+        userCol=indexes[0],
+        itemCol=indexes[1],
         ratingCol="rating",
         rank=rank,
         maxIter=iterations,
@@ -112,7 +130,7 @@ def fit_als(
         coldStartStrategy="drop",
         seed=seed,
     )
-    return Recommender(als.fit(indexed.select(f"{user}_index", f"{item}_index", "rating")), users, items, user, item)
+    return Recommender(als.fit(rows.select(*indexes, value.alias("rating"))), users, items, user, item)
 
 
 class ALSRecommender(Estimator, HasLabelCol):
@@ -146,6 +164,8 @@ class ALSRecommender(Estimator, HasLabelCol):
         topN=TOP_ITEMS,
     ):
         super().__init__()
+        #: Index tables shared by all fits of a search; None builds them in each fit.
+        self.tables: tuple[DataFrame, DataFrame] | None = None
         self._setDefault(
             userCol="device_id",
             itemCol="feed_id",
@@ -168,6 +188,7 @@ class ALSRecommender(Estimator, HasLabelCol):
             iterations=self.getOrDefault(self.maxIter),
             reg=self.getOrDefault(self.regParam),
             implicit=self.getOrDefault(self.implicitPrefs),
+            tables=self.tables,
         )
         return ALSRecommenderModel(found, self.getLabelCol(), self.getOrDefault(self.topN))
 
@@ -186,7 +207,7 @@ class ALSRecommenderModel(Model):
         else:
             # One entry per distinct item: a list is never longer than the catalogue.
             pairs = dataset.select(user, item).distinct()
-            labels = pairs.groupBy(user).agg(F.array_sort(F.collect_list(item)).alias("label"))
+            labels = pairs.groupBy(user).agg(F.sort_array(F.collect_list(item)).alias("label"))
         return self.recommender.with_labels(labels, self.top_n)
 
 
@@ -205,8 +226,15 @@ def cross_validate(
     seed: int = 12345,
     **options,
 ) -> DataFrame:
-    """(rank, iterations, score): mean held-out ranking metric of each setting, best first."""
+    """(rank, iterations, score): mean held-out ranking metric of each setting, best first.
+
+    Ids are numbered and joined once for all fits.
+    """
     estimator = ALSRecommender(**options)
+    user, item = estimator.getOrDefault(estimator.userCol), estimator.getOrDefault(estimator.itemCol)
+    users, items = estimator.tables = index_tables(ratings, user, item)
+    # Written once: folds of a recomputed table could overlap.
+    ratings = cut_lineage(with_index(with_index(ratings, users, user), items, item, sized_by=ratings))
     grid = ParamGridBuilder().addGrid(estimator.rank, list(ranks)).addGrid(estimator.maxIter, list(iterations)).build()
     evaluator = RankingMetricsEvaluator(
         predictionCol="recommendations", labelCol="label", metricName=metric, topK=top_k
@@ -233,7 +261,10 @@ def cross_validate_rmse(
     seed: int = 12345,
 ) -> DataFrame:
     """(rank, iterations, rmse): the same search by rating error, best first."""
-    parts = ratings.randomSplit([1.0] * folds, seed)
+    users, items = tables = index_tables(ratings, user, item)
+    indexed = with_index(with_index(ratings, users, user), items, item, sized_by=ratings)
+    # Written once: a split of a recomputed table could put a row into two parts.
+    parts = cut_lineage(indexed).randomSplit([1.0] * folds, seed)
     rows = []
     for rank in ranks:
         for rounds in iterations:
@@ -243,7 +274,9 @@ def cross_validate_rmse(
                 for i, part in enumerate(parts):
                     if i != held_out:
                         training = part if training is None else training.unionByName(part)
-                found = fit_als(training, user, item, "rating", rank, rounds, implicit=implicit, seed=seed)
+                found = fit_als(
+                    training, user, item, "rating", rank, rounds, implicit=implicit, seed=seed, tables=tables
+                )
                 difference = F.col("prediction") - F.col("rating")
                 error = found.predict(parts[held_out]).agg(F.sqrt(F.avg(difference * difference))).first()[0]
                 errors.append(error)

@@ -97,7 +97,27 @@ def multi_record_users(
 ) -> DataFrame:
     """Rows of users that have at least `min_records` rows with an item."""
     users = df.groupBy(user).agg(F.count(item).alias("_records")).where(F.col("_records") >= min_records).select(user)
-    return skew_safe_join(df, users, [user], "left_semi", salt_by=salt_by, share_rows=share_rows)
+    return skew_safe_join(df, users, [user], "left_semi", salt_by, share_rows)
+
+
+def best_label_of_repeat_users(
+    df: DataFrame,
+    tie_break: Sequence[Column] = (),
+    salt_by: Sequence[str] | None = None,
+    share_rows: int = SHARE_ROWS,
+) -> DataFrame:
+    """`best_label` followed by `multi_record_users`, with the users found first.
+
+    A user keeps several rows exactly when the user has several different (date, item) pairs, that is, when the
+    smallest and the largest pair differ. That takes one map-side combined aggregate over the raw rows, so the
+    de-duplicated rows need not be computed twice.
+    """
+    pair = F.struct("label_date", "feed_id")
+    pairs = df.where(F.col("feed_id").isNotNull()).groupBy("device_id").agg(
+        F.min(pair).alias("_low"), F.max(pair).alias("_high")
+    )
+    users = pairs.where(F.col("_low") != F.col("_high")).select("device_id")
+    return best_label(skew_safe_join(df, users, ["device_id"], "left_semi", salt_by, share_rows), tie_break)
 
 
 def active_users(df: DataFrame, min_days: int = 3, user: str = "device_id", date: str = "label_date") -> DataFrame:

@@ -44,6 +44,7 @@ def skew_safe_join(
     how: str = "left",
     salt_by: Sequence[str] | None = None,
     share_rows: int = SHARE_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of a large, possibly skewed `left` with `right`, which is unique or narrow per key.
 
@@ -55,7 +56,7 @@ def skew_safe_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} cannot be split on the left")
     on = list(on)
-    hot = hot_keys(left, on, share_rows)
+    hot = hot_keys(left if sized_by is None else sized_by, on, share_rows)
     if hot is None:
         return left.join(right, on, how)
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)])

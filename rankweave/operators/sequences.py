@@ -39,41 +39,55 @@ def collect_sequences(
     min_size: int = 1,
     part_size: int = PART_SIZE,
     bucket: Column | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """(group..., part, output array): the items of each group in order, split into parts of `part_size`.
 
     Groups up to `part_size` are collected in one aggregation and have the single part 0. Longer ones are numbered
-    with `ordered_positions` first, so that no task ever holds more than `part_size` items of a group. The set of long
-    groups has at most rows / part_size members; Spark picks the join by its measured size.
+    with `ordered_positions` first, so that no task ever holds more than `part_size` items of a group. Whether there
+    are long groups is settled by one count over the group columns; usually there are none and the plan is a single
+    shuffle. `sized_by` is a cheaper table with at least as many rows per group to count instead.
     """
     group = list(group)
     bucket = F.date_trunc("minute", F.col(order[0])) if bucket is None else bucket
     rows = df.where(F.col(item).isNotNull()).select(*dict.fromkeys([*group, *order, item]))
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    long_groups = sizes.where(F.col("_n") > part_size).select(*group)
 
     def gather(part_rows: DataFrame, smallest: int) -> DataFrame:
         entry = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(item).alias("_item"))
-        lists = part_rows.groupBy(*group, "part").agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        lists = part_rows.groupBy(*group, "part").agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
         if smallest > 1:
             lists = lists.where(F.size("_entries") >= smallest)
-        return lists.select(*group, "part", F.transform("_entries", lambda e: e["_item"]).alias(output))
+        return lists.select(*group, "part", F.col("_entries._item").alias(output))
 
-    short = rows.join(long_groups, group, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+    sizes = (rows if sized_by is None else sized_by).groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    long_groups = sizes.where(F.col("_n") > part_size).select(*group)
+    whole = F.lit(0).cast("bigint")
+    if long_groups.isEmpty():
+        return gather(rows.withColumn("part", whole), min_size)
+    # At most rows / part_size groups; Spark picks both joins by the measured size.
+    short = rows.join(long_groups, group, "left_anti").withColumn("part", whole)
     long = ordered_positions(rows.join(long_groups, group, "left_semi"), group, order, bucket)
     long = long.withColumn("part", F.floor(F.col("_position") / F.lit(part_size)).cast("bigint")).drop("_position")
-    return gather(short, min_size).unionByName(gather(long, 1))
+    enough = long.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_size).select(*group)
+    kept = long if sized_by is None or min_size <= 1 else long.join(enough, group, "left_semi")
+    return gather(short, min_size).unionByName(gather(kept, 1))
+
+
+def _positive(df: DataFrame, options: dict) -> DataFrame:
+    if options.get("sized_by") is not None:
+        options["sized_by"] = options["sized_by"].where(F.col("label") == 1)
+    return df.where(F.col("label") == 1)
 
 
 def user_sequences(df: DataFrame, order: Sequence[str] = ("ts", "event_id"), **options) -> DataFrame:
     """Positive items of each user with more than one of them, as `feeds`."""
-    positive = df.where(F.col("label") == 1)
+    positive = _positive(df, options)
     return collect_sequences(positive, ["device_id"], "feed_id", order, "feeds", min_size=2, **options)
 
 
 def item_sequences(df: DataFrame, order: Sequence[str] = ("ts", "event_id"), **options) -> DataFrame:
     """Positive users of each item with more than one of them, as `users`."""
-    positive = df.where(F.col("label") == 1)
+    positive = _positive(df, options)
     return collect_sequences(positive, ["feed_id"], "device_id", order, "users", min_size=2, **options)
 
 
@@ -85,7 +99,7 @@ def user_history(df: DataFrame, dt: Column, order: Sequence[str] = ("ts", "event
 
 def positive_lists(df: DataFrame, order: Sequence[str] = ("ts", "event_id"), **options) -> DataFrame:
     """Positive items of each user as an array `label`, for ranking evaluation."""
-    positive = df.where(F.col("label") == 1)
+    positive = _positive(df, options)
     return collect_sequences(positive, ["device_id"], "feed_id", order, "label", **options)
 
 

@@ -23,14 +23,18 @@ def previous_day_vectors(
     output: str,
     salt_by: Sequence[str] | None = None,
     share_rows: int = SHARE_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Append the embedding of `id_column` from the day before `label_date`; zeros when there is none.
 
-    `vectors` has (id, dt, vec), one row per id and day. Popular ids are split over several tasks.
+    `vectors` has (id, dt, vec), one row per id and day. Popular ids are split over several tasks; `sized_by` is a
+    cheaper table with the same ids and dates to find them in.
     """
-    keyed = df.withColumn("_day", shift_date(F.col("label_date"), -1))
+    before = shift_date(F.col("label_date"), -1)
+    keyed = df.withColumn("_day", before)
+    sizes = None if sized_by is None else sized_by.withColumn("_day", before)
     table = vectors.select(F.col("id").alias(id_column), F.col("dt").alias("_day"), F.col("vec").alias(output))
-    joined = skew_safe_join(keyed, table, [id_column, "_day"], "left", salt_by=salt_by, share_rows=share_rows)
+    joined = skew_safe_join(keyed, table, [id_column, "_day"], "left", salt_by, share_rows, sizes)
     return joined.select(*df.columns, F.coalesce(F.col(output), zero_array(width)).alias(output))
 
 
@@ -50,12 +54,9 @@ def history_profiles(items: DataFrame, vectors: DataFrame, width: int, history_o
     their history item by item: the cost is linear, also for a user with most of the rows. Repeats of an item are
     counted before its vector is fetched.
     """
-    counted = (
-        items.withColumn("label_date", shift_date(F.col("dt"), -history_offset))
-        .groupBy("device_id", "label_date", "feed_id")
-        .agg(F.count(F.lit(1)).alias("_times"))
-    )
-    looked_up = previous_day_vectors(counted, vectors, "feed_id", width, "_vec")
+    dated = items.withColumn("label_date", shift_date(F.col("dt"), -history_offset))
+    counted = dated.groupBy("device_id", "label_date", "feed_id").agg(F.count(F.lit(1)).alias("_times"))
+    looked_up = previous_day_vectors(counted, vectors, "feed_id", width, "_vec", sized_by=dated)
     unit = looked_up.select("device_id", "label_date", "_times", normalized(F.col("_vec")).alias("_unit"))
     sums = [F.sum(F.col("_unit")[i] * F.col("_times")) for i in range(width)]
     return unit.groupBy("device_id", "label_date").agg(
@@ -80,7 +81,7 @@ def add_history_similarity(
     """
     profiles = history_profiles(items, vectors, width, history_offset)
     with_vector = previous_day_vectors(df, vectors, "feed_id", width, vector_column, salt_by=salt_by)
-    joined = skew_safe_join(with_vector, profiles, ["device_id", "label_date"], "left", salt_by=salt_by)
+    joined = skew_safe_join(with_vector, profiles, ["device_id", "label_date"], "left", salt_by, sized_by=df)
     similarity = dot(normalized(F.col(vector_column)), F.col("_profile")) / F.col("_items")
     return joined.select(*df.columns, vector_column, F.coalesce(similarity, F.lit(0.0)).alias(output))
 
@@ -91,12 +92,17 @@ def top_n(df: DataFrame, group: Sequence[str], order, n: int, rank: str = "rank"
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
-#: Rows of one factor block; a pair of blocks is one unit of work (a few tens of MB and one matrix product).
-BLOCK_ROWS = 20_000
+#: Rows of one block. A pair of blocks is one unit of work; larger blocks mean fewer copies of each side (queries are
+#: copied once per item block and items once per query block), and 50,000 vectors of width 100 are 40 MB.
+BLOCK_ROWS = 50_000
+
+#: Scores held at once inside a unit of work.
+SCORE_CELLS = 8_000_000
 
 
 def _block_count(df: DataFrame, block_rows: int, least: int) -> int:
-    rows = df.count()
+    """Blocks of at most `block_rows` on average; small data still gets up to `least` blocks to work in parallel."""
+    rows = df.select("id").count()
     return max(math.ceil(rows / block_rows), min(least, math.ceil(rows / 256)), 1)
 
 
@@ -137,12 +143,13 @@ def top_n_by_dot(
         item_matrix = np.stack(right_pdf["vec"].to_numpy()).astype(np.float64)
         take = min(n + int(exclude_same_id), len(item_ids))
         parts = []
-        for start in range(0, len(left_pdf), 1024):
-            chunk = left_pdf.iloc[start : start + 1024]
+        rows_at_once = max(1, SCORE_CELLS // len(item_ids))
+        for start in range(0, len(left_pdf), rows_at_once):
+            chunk = left_pdf.iloc[start : start + rows_at_once]
             query_ids = chunk["id"].to_numpy()
             scores = np.stack(chunk["vec"].to_numpy()).astype(np.float64) @ item_matrix.T
             if take < scores.shape[1]:
-                # Everything at or above the take-th best score, so that ties are settled by id in the final ranking.
+                # Everything at or above the take-th best score; the sort below settles ties by item id.
                 floor = -np.partition(-scores, take - 1, axis=1)[:, take - 1 : take]
                 keep = scores >= floor
             else:
@@ -172,5 +179,5 @@ def similar_items(vectors: DataFrame, n: int = 10, block_rows: int = BLOCK_ROWS)
 
 def as_lists(ranked: DataFrame, query: str = "query_id", output: str = "recommendations") -> DataFrame:
     """Ranked rows of `top_n_by_dot` (at most n per query) as one ordered array per query."""
-    entries = F.array_sort(F.collect_list(F.struct("rank", "item_id")))
+    entries = F.sort_array(F.collect_list(F.struct("rank", "item_id")))
     return ranked.groupBy(query).agg(F.transform(entries, lambda e: e["item_id"]).alias(output))

@@ -154,9 +154,9 @@ def ranking_lists(spark, sf_dir):
     )
     ranked = similarity.top_n(items, key, [F.col("best").desc(), F.col("feed_id")], 100)
     predicted = ranked.groupBy(*key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "feed_id"))), lambda e: e["feed_id"]).alias("prediction")
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "feed_id"))), lambda e: e["feed_id"]).alias("prediction")
     )
-    relevant = items.where(F.col("label") == 1).groupBy(*key).agg(F.array_sort(F.collect_list("feed_id")).alias("label"))
+    relevant = items.where(F.col("label") == 1).groupBy(*key).agg(F.sort_array(F.collect_list("feed_id")).alias("label"))
     empty = F.array().cast("array<string>")
     return predicted.join(relevant, key, "left").withColumn("label", F.coalesce("label", empty))
 

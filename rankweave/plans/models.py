@@ -227,7 +227,7 @@ def als_ranking_eval(spark, sf_dir):
     positive = rows.where(F.col("label") == 1)
     counts = positive.groupBy("device_id", "feed_id").agg(F.count(F.lit(1)).cast("double").alias("rating"))
     model = als.fit_als(counts, iterations=3, reg=0.1, implicit=True)
-    labels = counts.groupBy("device_id").agg(F.array_sort(F.collect_list("feed_id")).alias("label"))
+    labels = counts.groupBy("device_id").agg(F.sort_array(F.collect_list("feed_id")).alias("label"))
     lists = model.with_labels(labels, 100)
     return ranking_eval.ranking_metrics(lists, 10, 1000, prediction="recommendations")
 

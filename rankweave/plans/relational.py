@@ -215,9 +215,10 @@ def positive_lists(spark, sf_dir):
 )
 def flagship_sequences(spark, sf_dir):
     """Best label per impression, users with several records, then the item sequence of each user."""
-    rows = _best_label(spark, sf_dir).select(*KEY, "ts")
-    users = cleaning.multi_record_users(rows, salt_by=["event_id"])
-    return sequences.as_text(sequences.user_sequences(users), "feeds")
+    raw = views.interactions(spark, sf_dir)
+    order = [F.col("ts"), F.col("event_id")]
+    rows = cleaning.best_label_of_repeat_users(raw.select(*KEY, "ts"), order, salt_by=["event_id"])
+    return sequences.as_text(sequences.user_sequences(rows, sized_by=raw), "feeds")
 
 
 @query(

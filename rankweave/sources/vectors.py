@@ -42,7 +42,7 @@ def write_vectors(vectors: DataFrame, path: str, day: str) -> None:
 
 def write_similar(similar: DataFrame, path: str) -> None:
     """Ranked (query_id, item_id, rank) rows as `word a,b,c` lines; each list is as short as the ranking."""
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "item_id")))
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "item_id")))
     lists = similar.groupBy("query_id").agg(F.transform(ordered, lambda e: e["item_id"]).alias("items"))
     line = F.concat_ws(" ", F.col("query_id"), F.array_join(F.col("items").cast("array<string>"), ","))
     lists.select(line.alias("value")).write.mode("overwrite").text(path)
