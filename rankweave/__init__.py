@@ -1 +1,8 @@
 """Feature engineering, recall, ranking and evaluation operators on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel by value, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -207,11 +207,13 @@ class _Pass:
 
 def _one_pass(rows: DataFrame, model: FMModel) -> _Pass:
     n, k = model.factors.shape
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast is unpickled by reference, and executors may not have this package.
+    task = model.task
+    shared = rows.sparkSession.sparkContext.broadcast((model.intercept, model.weights, model.factors))
     sums_of = ["rows", "loss", "g", *[f"v{f}" for f in range(k)]]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: FMModel = shared.value
+        m = FMModel(*shared.value, task)
         touched = np.zeros(n, dtype=bool)
         linear, cross = np.zeros(n), np.zeros((n, k))
         count, loss_sum, slope_sum = 0, 0.0, 0.0

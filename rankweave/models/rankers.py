@@ -29,10 +29,14 @@ class Ranker(Protocol):
 
 
 def evaluate(ranker: Ranker, df: DataFrame, label: str = "label", bins: int = 10) -> dict[str, DataFrame]:
-    """Threshold curve, areas and weighted report of a ranker on labelled rows, and the report per label."""
-    scored = ranker.transform(df).select(F.col(label).cast("int").alias("label"), "score")
+    """Threshold curve, areas and weighted report of a ranker on labelled rows, and the report per label.
+
+    Rows are scored once: `scores` (two columns) is cached for the other results; unpersist it when done.
+    """
+    scored = ranker.transform(df).select(F.col(label).cast("int").alias("label"), "score").persist()
     predicted = binary_eval.with_prediction(scored, "score")
     return {
+        "scores": scored,
         "curve": binary_eval.threshold_curve(scored, bins=bins),
         "areas": binary_eval.areas(scored),
         "report": binary_eval.classification_report(predicted),

@@ -26,7 +26,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("device_id"),
         F.regexp_extract("props", "([0-9]+)", 1).alias("feed_id"),
         F.col("event_type").isin(*POSITIVE_EVENTS).cast("int").alias("label"),
-        F.date_format("ts", "yyyy-MM-dd").alias("label_date"),
+        F.col("ts").cast("date").cast("string").alias("label_date"),
         "value",
         "event_type",
     )
