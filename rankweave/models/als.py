@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol
@@ -109,12 +109,15 @@ def fit_als(
     as they are.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
-    users, items = tables or index_tables(ratings, user, item)
     indexes = [f"{user}_index", f"{item}_index"]
+    ready = set(indexes) <= set(ratings.columns)
     value = F.col(rating).cast("float") if rating else F.lit(1.0).cast("float")
-    rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull())
-    if not set(indexes) <= set(rows.columns):
-        rows = with_index(with_index(rows, users, user), items, item, sized_by=rows)
+    columns = [user, item, *(indexes if ready else []), value.alias("rating")]
+    # Numbering, sizing the joins and fitting all read the rows; whatever they come from is computed once.
+    rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(*columns)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    users, items = tables or index_tables(rows, user, item)
+    indexed = rows if ready else with_index(with_index(rows, users, user), items, item, sized_by=rows)
     als = ALS(
         userCol=indexes[0],
         itemCol=indexes[1],
@@ -130,7 +133,9 @@ def fit_als(
         coldStartStrategy="drop",
         seed=seed,
     )
-    return Recommender(als.fit(rows.select(*indexes, value.alias("rating"))), users, items, user, item)
+    model = als.fit(indexed.select(*indexes, "rating"))
+    rows.unpersist()
+    return Recommender(model, users, items, user, item)
 
 
 class ALSRecommender(Estimator, HasLabelCol):

@@ -5,7 +5,6 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 from rankweave.functions.dates import eval_days, train_days, vector_days
 from rankweave.models import trees
