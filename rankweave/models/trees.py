@@ -54,7 +54,6 @@ def boosted_trees(
         leafCol=LEAVES,
         predictionCol=f"{prefix}prediction",
         checkpointInterval=10,
-        cacheNodeIds=True,
         seed=seed,
     )
     # Names of its own, so that a second model in the same pipeline can use the usual ones.

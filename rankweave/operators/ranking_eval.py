@@ -103,27 +103,30 @@ def list_metrics(df: DataFrame, k: int, prediction: str = "prediction", label: s
     )
 
 
-def _distinct_items(*lists: DataFrame) -> DataFrame:
-    items = lists[0]
-    for more in lists[1:]:
-        items = items.unionByName(more)
-    return items.distinct().agg(F.count("item").alias("n"))
-
-
-def recommended_items(df: DataFrame, prediction: str = "prediction") -> DataFrame:
-    return df.select(F.explode(prediction).alias("item"))
+def catalogue_metrics(df: DataFrame, n_items: int, prediction: str = "prediction", label: str = "label") -> DataFrame:
+    """One row: distinct recommended items, and distinct recommended or relevant items, over the catalogue size.
+
+    Both lists are exploded in one pass and reduced per item on the map side.
+    """
+    recommended = F.transform(prediction, lambda p: F.struct(p.alias("item"), F.lit(1).alias("recommended")))
+    relevant = F.transform(label, lambda t: F.struct(t.alias("item"), F.lit(0).alias("recommended")))
+    entries = df.select(F.inline(F.concat(recommended, relevant))).where(F.col("item").isNotNull())
+    items = entries.groupBy("item").agg(F.max("recommended").alias("recommended"))
+    return items.agg(
+        (F.coalesce(F.sum("recommended"), F.lit(0)) / F.lit(n_items)).alias("diversityAtK"),
+        (F.count(F.lit(1)) / F.lit(n_items)).alias("maxDiversity"),
+    )
 
 
 def diversity(df: DataFrame, n_items: int, prediction: str = "prediction") -> DataFrame:
     """One row: distinct recommended items over the size of the catalogue."""
-    counted = _distinct_items(recommended_items(df, prediction))
-    return counted.select((F.col("n") / F.lit(n_items)).alias("diversityAtK"))
+    items = df.select(F.explode(prediction).alias("item")).distinct()
+    return items.agg((F.count("item") / F.lit(n_items)).alias("diversityAtK"))
 
 
 def max_diversity(df: DataFrame, n_items: int, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row: distinct recommended or relevant items over the size of the catalogue."""
-    counted = _distinct_items(recommended_items(df, prediction), recommended_items(df, label))
-    return counted.select((F.col("n") / F.lit(n_items)).alias("maxDiversity"))
+    return catalogue_metrics(df, n_items, prediction, label).select("maxDiversity")
 
 
 def ranking_metrics(
@@ -139,11 +142,8 @@ def ranking_metrics(
     )
     if n_items is None:
         return means
-    return means.select(
-        "*",
-        diversity(df, n_items, prediction).scalar().alias("diversityAtK"),
-        max_diversity(df, n_items, prediction, label).scalar().alias("maxDiversity"),
-    )
+    both = catalogue_metrics(df, n_items, prediction, label).select(F.struct(*CATALOGUE_METRICS)).scalar()
+    return means.withColumn("_catalogue", both).select(*LIST_METRICS, "_catalogue.*")
 
 
 class RankingMetricsEvaluator(
