@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankweave.llm import sql
+from rankweave.llm import quality, sql
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from rankweave.llm.sharding import assign_shards
 
@@ -13,3 +13,8 @@ from rankweave.llm.sharding import assign_shards
 def op1_sharding(spark, sf_dir):
     dealt = assign_shards(table(spark, sf_dir, "documents"), 24)
     return dealt.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_quality")
+def op10_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
