@@ -25,5 +25,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, *
     known = known.groupBy(F.col(id).alias("_id")).agg(F.max(F.col(label)).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     texts = docs.select(F.col(id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # A sample of a fixed number of rows: repeated ids must not enlarge it.
-    return texts.join(F.broadcast(chosen), "_id").select("_id", "text", "label")
+    # Rows that repeat an id must not enlarge the sample: one text stays, the smallest.
+    return texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
