@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankweave.llm import language, quality, sql
+from rankweave.llm import language, quality, sql, toxicity
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from rankweave.llm.sharding import assign_shards
 
@@ -23,3 +23,8 @@ def op10_quality(spark, sf_dir):
 @query("op4_language")
 def op4_language(spark, sf_dir):
     return language.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
