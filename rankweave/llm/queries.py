@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankweave.llm import language, quality, sql, toxicity
+from rankweave.llm import bpe, language, quality, sql, toxicity
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from rankweave.llm.sharding import assign_shards
 
@@ -28,3 +28,21 @@ def op4_language(spark, sf_dir):
 @query("op9_toxicity")
 def op9_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_bpe")
+def op7_bpe(spark, sf_dir):
+    words = vocabulary()
+    back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), words), words)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
