@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankweave.llm import bpe, language, quality, sql, toxicity
+from rankweave.llm.jaccard import jaccard_groups
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from rankweave.llm.sharding import assign_shards
 
@@ -46,3 +47,8 @@ def op7_bpe(spark, sf_dir):
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_jaccard", sql.JACCARD)
+def op5_jaccard(spark, sf_dir):
+    return jaccard_groups(table(spark, sf_dir, "documents"))

@@ -27,3 +27,33 @@ SELECT doc_id, size::BIGINT AS size,
   NULL::INT AS grown_shard
 FROM bytes, table_of_crc
 """
+
+JACCARD = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM worded
+), sets AS (
+  SELECT min(doc_id) AS rep, list_sort(s) AS s FROM shingled WHERE len(s) > 0 GROUP BY list_sort(s)
+), elements AS (
+  SELECT rep, len(s) AS n, unnest(s) AS e FROM sets
+), linked AS (
+  SELECT a.rep AS a, b.rep AS b FROM elements a JOIN elements b ON a.e = b.e AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reached AS (
+  SELECT rep AS node, rep AS other FROM sets
+  UNION
+  SELECT r.node, l.b FROM reached r JOIN both_ways l ON r.other = l.a
+), grouped AS (
+  SELECT node, min(other) AS component FROM reached GROUP BY node
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(g.component, d.doc_id) AS component_id
+FROM shingled d LEFT JOIN sets k ON list_sort(d.s) = k.s LEFT JOIN grouped g ON k.rep = g.node
+"""
