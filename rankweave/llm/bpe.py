@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 #: Text bytes in one chunk, the unit in which documents wait for the ids of their words.
 CHUNK_BYTES = 8 << 20
 #: Words in one batch of results.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 100_000
+#: Ids decoded at a time.
+BATCH_IDS = 300_000
 
 #: Fixed value: the word pattern of the byte-level vocabularies.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,16 +45,17 @@ def _byte_characters() -> dict[str, int]:
 class Splitter:
     """Splits a text into the words that the tokenizer would encode one by one."""
 
-    def __init__(self, tokenizer, vocabulary: str):
+    def __init__(self, vocabulary: str):
         names = sorted((t["content"] for t in json.loads(vocabulary).get("added_tokens", [])), key=lambda t: (-len(t), t))
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.names = names
         self.words = regex.compile(WORDS)
-        self.tokenizer, self.bytes = tokenizer, _byte_characters()
+        self.vocabulary, self.bytes, self.tokenizer = vocabulary, _byte_characters(), None
 
     def _ordinary(self, text: str) -> list[str]:
         if _SETTLED.fullmatch(text):
             return self.words.findall(text)
+        self.tokenizer = self.tokenizer or _tokenizer(self.vocabulary)
         found = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
         return [bytes(self.bytes[c] for c in word).decode("utf-8") for word, _ in found]
 
@@ -83,6 +86,15 @@ def _restore(packed: bytes) -> bytes:
     return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers' first bytes, then all second ones and so on: this packs a third smaller."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def _join(words: list[str]) -> tuple[bytes, bytes]:
     encoded = [w.encode() for w in words]
     return _squeeze(np.array([len(w) for w in encoded], np.int32).tobytes()), _squeeze(b"".join(encoded))
@@ -117,7 +129,7 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
     kind = dict(thin.dtypes)["id"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(_tokenizer(shipped.value), shipped.value)
+        splitter = Splitter(shipped.value)
         place = TaskContext.get().partitionId()
         number, size, ids, counts, numbers = 0, 0, [], [], []
         known: dict[str, int] = {}
@@ -129,7 +141,7 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
             digest.update("\0".join(known))
             lengths, body = _join(list(known))
             key = digest.intdigest() - (1 << 63)
-            values = [[key], pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)), [counts], [_squeeze(index.tobytes())], [lengths], [body]]
+            values = [[key], pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)), [counts], [_squeeze(_planes(index))], [lengths], [body]]
             return pa.record_batch(
                 [pa.array(v, t) if isinstance(v, list) else v for v, t in zip(values, [pa.int64(), None, pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()], strict=True)],
                 names=["chunk", "ids", "counts", "numbers", "lengths", "words"],
@@ -197,7 +209,7 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
                 tokens = np.concatenate(found or [np.empty(0, np.int32)])
             size, start = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
             size[here], start[here] = sizes, np.cumsum(sizes) - sizes
-            numbers = np.frombuffer(_restore(row["numbers"]), np.int32)
+            numbers = _from_planes(_restore(row["numbers"]))
             ends = np.cumsum(row["counts"], dtype=np.int64)
             first = 0
             while first < len(ends):
@@ -231,6 +243,16 @@ def _learn(tokenizer, known: dict[bytes, np.ndarray], words: list[bytes]) -> Non
             known[word] = np.array(found.ids, np.int32)
 
 
+def _pieces(vocabulary: str) -> list[bytes]:
+    """The bytes of each id's piece, and an empty one at the end for unknown ids."""
+    content, characters = json.loads(vocabulary), _byte_characters()
+    names = content["model"]["vocab"] | {t["content"]: t["id"] for t in content.get("added_tokens", [])}
+    table = [b""] * (max(names.values(), default=-1) + 2)
+    for name, number in names.items():
+        table[number] = b"".join(bytes([characters[c]]) if c in characters else c.encode() for c in name)
+    return table
+
+
 def decode(encoded: DataFrame, vocabulary: str, *, id: str = "doc_id", ids: str = "ids", text: str = "text") -> DataFrame:
     """(`id`, `ids`, `text`) for every row of token ids: the pieces of the ids, joined by position, as a text.
 
@@ -241,22 +263,22 @@ def decode(encoded: DataFrame, vocabulary: str, *, id: str = "doc_id", ids: str
     thin = encoded.select(F.col(id).alias("id"), F.col(ids).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = _tokenizer(shipped.value).get_vocab(with_added_tokens=True)
-        table, characters = [b""] * (max(names.values(), default=0) + 2), _byte_characters()
-        for name, number in names.items():
-            table[number] = bytes(characters[c] for c in name)
-        pieces = pa.array(table, pa.large_binary())
+        pieces = pa.array(_pieces(shipped.value), pa.large_binary())
         for batch in batches:
-            numbers = batch.column("ids")
-            bounds = np.concatenate([[0], np.cumsum(numbers.value_lengths().fill_null(0).to_numpy())])
-            wanted = numbers.flatten().fill_null(-1).to_numpy()
-            wanted = np.where((wanted < 0) | (wanted >= len(table) - 1), len(table) - 1, wanted)
-            joined = pieces.take(pa.array(wanted, pa.int64()))
-            offsets = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1) if len(joined) else np.zeros(1, np.int64)
-            body = joined.buffers()[2]
-            body = memoryview(body) if body is not None else b""
-            texts = [bytes(body[offsets[a] : offsets[b]]).decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.record_batch([batch.column("id"), numbers, pa.array(texts, pa.string())], names=["id", "ids", "text"])
+            bounds = np.concatenate([[0], np.cumsum(batch.column("ids").value_lengths().fill_null(0).to_numpy())])
+            first = 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + BATCH_IDS, "right")) - 1)
+                numbers = batch.column("ids").slice(first, last - first)
+                wanted = numbers.flatten().fill_null(-1).to_numpy()
+                wanted = np.where((wanted < 0) | (wanted >= len(pieces) - 1), len(pieces) - 1, wanted)
+                joined = pieces.take(pa.array(wanted, pa.int64()))
+                offsets = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1) if len(joined) else np.zeros(1, np.int64)
+                body = memoryview(joined.buffers()[2] or b"")
+                cuts = offsets[bounds[first : last + 1] - bounds[first]]
+                texts = [bytes(body[a:b]).decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.record_batch([batch.column("id").slice(first, last - first), numbers, pa.array(texts, pa.string())], names=["id", "ids", "text"])
+                first = last
 
     found = thin.mapInArrow(run, f"id {dict(thin.dtypes)['id']}, ids array<int>, text string")
     return found.select(F.col("id").alias(id), F.col("ids").alias(ids), F.col("text").alias(text))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankweave.llm import bpe, language, quality, sql, toxicity
+from rankweave.llm import bpe, language, pii, quality, sql, toxicity
 from rankweave.llm.jaccard import jaccard_groups
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from rankweave.llm.sharding import assign_shards
@@ -52,3 +52,15 @@ def op7_bpe(spark, sf_dir):
 @query("op5_jaccard", sql.JACCARD)
 def op5_jaccard(spark, sf_dir):
     return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+def _listed(spans: str) -> F.Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+
+@query("op8_pii")
+def op8_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [F.size(F.filter("base", lambda s, k=kind: s.kind == k)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
