@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.session import cut_lineage
+from rankweave.llm.storage import settle
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -16,7 +16,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     join key on one side only. Each round is written to the shared checkpoint folder. Null ends are left out.
     """
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = cut_lineage(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = settle(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -29,7 +29,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = cut_lineage(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        edges = settle(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

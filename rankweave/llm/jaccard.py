@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rankweave.llm.graph import components
 from rankweave.llm.text import mix, pieces, shingle_sets
-from rankweave.session import cut_lineage
+from rankweave.llm.storage import settle
 
 #: Text bytes in one chunk of documents.
 CHUNK_BYTES = 8 << 20
@@ -36,7 +36,7 @@ class Segments:
 
     density: float = 0.35
     spare: int = 16
-    neighbourhoods: float = 0.06
+    neighbourhoods: float = 0.04
 
     def count(self) -> np.ndarray:
         return np.ceil(self.density * (2.0 ** (np.arange(_MAX_BAND) + 1) - 1)).astype(np.int64) + self.spare
@@ -164,9 +164,16 @@ def _chunk_signatures(ids: list, offsets: bytes, texts: bytes, segments: Segment
     return signatures(rows[at], shingles[at], total, segments), (rows, shingles), one, two, stands
 
 
+def _planes(values: np.ndarray) -> np.ndarray:
+    """The values' first bytes, then all second ones and so on: this packs smaller."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).ravel()
+
+
 def _asking(values: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct signatures, how many sets index and how many only look each up, and where each input went."""
-    distinct, back = np.unique(values, return_inverse=True)
+    """Distinct signatures, how many sets index and how many only look each up, and where each input went.
+
+    Only 48 bits are sent: two signatures that agree there count as shared, which may add candidates but loses none."""
+    distinct, back = np.unique(values >> np.uint64(16), return_inverse=True)
     return distinct, np.bincount(back, own, minlength=len(distinct)).astype(np.int32), np.bincount(back, ~own, minlength=len(distinct)).astype(np.int32), back
 
 
@@ -183,7 +190,7 @@ def _ask(segments: Segments, buckets: int):
                 columns = [full.tolist(), [key] * len(full), [], []]
                 for b in full:
                     at = order[cuts[b] : cuts[b + 1]]
-                    columns[2].append(_squeeze(np.diff(distinct[at], prepend=np.uint64(0))))
+                    columns[2].append(_squeeze(_planes(np.diff(distinct[at], prepend=np.uint64(0)))))
                     columns[3].append(_squeeze(np.concatenate([own[at], probing[at]])))
                 yield pa.record_batch([pa.array(v, t) for v, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "chunk", "steps", "counts"])
 
@@ -194,7 +201,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each chunk's signatures in a bucket: how many sets index it and how many look it up, in the whole corpus."""
 
     def answers(bucket, waiting):
-        values = [np.cumsum(_restore(w[1], np.uint64), dtype=np.uint64) for w in waiting]
+        values = [np.cumsum(np.ascontiguousarray(_restore(w[1], np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64) for w in waiting]
         counts = [_restore(w[2], np.int32).reshape(2, -1) for w in waiting]
         _, back = np.unique(np.concatenate(values), return_inverse=True)
         totals = [np.bincount(back, np.concatenate([c[k] for c in counts])).astype(np.int32)[back] for k in (0, 1)]
@@ -257,7 +264,13 @@ def _choose(found: Signatures, own: np.ndarray, probing: np.ndarray, stands: np.
                     looked[here[chosen]] = True
         indexed = (found.layer[mine] == 0) & (own[mine] + probing[mine] > 1)
         kept = looked | indexed
-        yield row, found.value[mine[kept]], (indexed + 2 * looked)[kept], short
+        value, flags = found.value[mine[kept]], (indexed + 2 * looked)[kept]
+        if len(np.unique(value)) < len(value):  # neighbourhoods of repeated hash sums
+            value, back = np.unique(value, return_inverse=True)
+            merged = np.zeros(len(value), np.int64)
+            np.bitwise_or.at(merged, back, flags)
+            flags = merged
+        yield row, value, flags, short
 
 
 def _suspects(segments: Segments, buckets: int):
@@ -320,29 +333,27 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     chunks = thin.mapInArrow(_pack, "chunk long, ids array<long>, offsets binary, texts binary").repartition("chunk")
     asked = chunks.mapInArrow(_ask(segments, buckets), "bucket int, chunk long, steps binary, counts binary")
     answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "chunk long, bucket int, totals binary")
-    known = cut_lineage(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(segments, buckets), _SCHEMA))
+    known = settle(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(segments, buckets), _SCHEMA))
 
     same = ["one", "two", "n"]
     classes = known.where("n > 0").groupBy(*same).agg(F.min("id").alias("_class"))
     suspects = known.where("signatures is not null").join(classes, same).where("id = _class")
-    sets = suspects.select("id", "n", "shingles", "short", F.arrays_zip("signatures", "flags").alias("_held"))
-    sets = cut_lineage(sets.dropDuplicates(["id", "n", "shingles"]))
+    sets = settle(suspects.select("id", "n", "shingles", "short", F.arrays_zip("signatures", "flags").alias("_held")))
     held = sets.select("id", "n", F.explode("_held").alias("_s")).select("id", "n", F.col("_s.signatures").alias("s"), F.col("_s.flags").alias("f"))
-    held = held.groupBy("s", "id", "n").agg(F.bit_or("f").alias("f"))
     near = "100 * least(n, _n) >= 75 * greatest(n, _n)"
 
     # All sets of a signature against its smallest id.
     heads = held.groupBy("s").agg(F.min(F.when(F.col("f").bitwiseAND(1) > 0, F.struct("id", "n"))).alias("_l"), F.bit_or("f").alias("_any"), F.count("*").alias("_c"))
     heads = heads.where("_c > 1 and _any >= 2 and _l is not null").select("s", F.col("_l.id").alias("_id"), F.col("_l.n").alias("_n"))
-    held = cut_lineage(held.join(heads, "s"))
+    held = settle(held.join(heads, "s"))
     first = held.where(f"id <> _id and {near}").select(F.col("id").alias("a"), F.col("_id").alias("b")).distinct()
-    links = cut_lineage(_verified(first, sets))
+    links = settle(_verified(first, sets))
 
     # Then sets that share a signature and are not yet in one component.
-    groups = cut_lineage(components(links))
+    groups = settle(components(links))
     placed = held.select("s", "id", "n", "f").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
     several = placed.groupBy("s").agg(F.min("g").alias("_g"), F.max("g").alias("_h")).where("_g <> _h").select("s")
-    placed = cut_lineage(placed.join(several, "s", "left_semi"))
+    placed = settle(placed.join(several, "s", "left_semi"))
     meeting = placed.where("f >= 2").select("s", "g").distinct().join(placed.where("f % 2 = 1").select("s", F.col("g").alias("_g")).distinct(), "s").where("g <> _g")
     ones = placed.where("f >= 2").join(meeting, ["s", "g"])
     others = placed.where("f % 2 = 1").select("s", F.col("g").alias("_g"), F.col("id").alias("_id"), F.col("n").alias("_n"))
