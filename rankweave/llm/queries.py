@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankweave.llm import bpe, language, pii, quality, sql, toxicity
+from rankweave.llm.decontamination import find_leaks
 from rankweave.llm.jaccard import jaccard_groups
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from rankweave.llm.sharding import assign_shards
@@ -64,3 +65,8 @@ def op8_pii(spark, sf_dir):
     found = pii.find(docs, pii.fit(docs))
     counts = [F.size(F.filter("base", lambda s, k=kind: s.kind == k)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
