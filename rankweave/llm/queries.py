@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankweave.llm import bpe, language, pii, quality, sql, toxicity
+from rankweave.llm import ann, bpe, language, pii, quality, sql, toxicity
 from rankweave.llm.decontamination import find_leaks
 from rankweave.llm.jaccard import jaccard_groups
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -70,3 +70,8 @@ def op8_pii(spark, sf_dir):
 @query("op6_decontamination")
 def op6_decontamination(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_ann")
+def op2_ann(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
