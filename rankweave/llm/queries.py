@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rankweave.llm import ann, bpe, language, pii, quality, sql, toxicity
 from rankweave.llm.decontamination import find_leaks
 from rankweave.llm.jaccard import jaccard_groups
+from rankweave.llm.licenses import scan_licenses
 from rankweave.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from rankweave.llm.sharding import assign_shards
 
@@ -75,3 +76,8 @@ def op6_decontamination(spark, sf_dir):
 @query("op2_ann")
 def op2_ann(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_licenses", sql.LICENSES)
+def op3_licenses(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rankweave.llm import licenses
+
 SHARDING = """
 WITH table_of_crc AS (
   SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
@@ -57,3 +59,30 @@ WITH RECURSIVE worded AS (
 SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(g.component, d.doc_id) AS component_id
 FROM shingled d LEFT JOIN sets k ON list_sort(d.s) = k.s LEFT JOIN grouped g ON k.rep = g.node
 """
+
+
+def _canonical(text: str) -> str:
+    out = f"""array_to_string(list_filter(string_split(translate({text}, '{licenses._UPPER}', '{licenses._LOWER}'), chr(10)),
+      lambda line: NOT regexp_matches(line, '{licenses._OWNER_LINE}') AND NOT regexp_matches(line, '{licenses._RIGHTS_LINE}')), chr(10))"""
+    for spelling, usual in licenses.SPELLINGS:
+        out = f"replace({out}, '{spelling}', '{usual}')"
+    return f"trim(regexp_replace({out}, '[^a-z0-9]+', ' ', 'g'))"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+LICENSES = f"""
+WITH known AS (
+  SELECT DISTINCT license, {_canonical("wording")} AS form
+  FROM (VALUES {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in licenses.TEXTS)}) AS t(license, wording)
+), entries AS (
+  SELECT doc_id, 0 AS line, text AS entry FROM documents
+  UNION ALL
+  SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)), unnest(string_split(text, chr(10))) FROM documents
+), formed AS (
+  SELECT doc_id, line, {_canonical("entry")} AS form FROM entries
+)
+SELECT doc_id, line::INT AS line, license FROM formed JOIN known USING (form)
+"""
