@@ -136,7 +136,7 @@ def _leaks(index: Index, rare: np.ndarray, s: Settings, data: np.ndarray, offset
     heads = np.flatnonzero(new)
     begin = np.searchsorted(rows, np.arange(len(offsets)))
     best: dict[tuple[int, int], tuple] = {}
-    for a, b in zip(heads, np.append(heads[1:], len(where)), strict=True):
+    for a, b in zip(heads, np.append(heads, len(where))[1:], strict=True):
         if not rare[seed[a:b]].any() and len(np.unique(seed[a:b])) < 2:
             continue
         i, row = int(item[a]), int(rows[where[a]])
