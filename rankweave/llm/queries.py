@@ -64,7 +64,7 @@ def _listed(spans: str) -> F.Column:
 def op8_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.fit(docs))
-    counts = [F.size(F.filter("base", lambda s, k=kind: s.kind == k)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    counts = [F.size(F.filter(F.col("base.kind"), F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
