@@ -27,6 +27,8 @@ from rankweave.llm.storage import settle
 #: Text bytes in one chunk of documents.
 CHUNK_BYTES = 8 << 20
 _MAX_BAND = 40
+#: Elements are counted by so many classes of their hashes.
+_CLASSES = 32
 
 
 @dataclass(frozen=True)
@@ -222,7 +224,8 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _choose(found: Signatures, own: np.ndarray, probing: np.ndarray, stands: np.ndarray):
-    """For each row that may be linked: (row, its shared signatures, flags 1 indexed + 2 looked up, short of segments).
+    """For each row that may be linked: (row, its shared signatures, flags 1 indexed + 2 looked up, short of segments,
+    segments that are its alone in a thousand elements).
 
     `own` and `probing` are each signature's totals. A row stays if so few of its segments are its alone that it can be
     linked to a larger set, or to a smaller one of its band or of the band below.
@@ -270,12 +273,12 @@ def _choose(found: Signatures, own: np.ndarray, probing: np.ndarray, stands: np.
             merged = np.zeros(len(value), np.int64)
             np.bitwise_or.at(merged, back, flags)
             flags = merged
-        yield row, value, flags, short
+        yield row, value, flags, short, int(unshared[row] * 1000 // max(found.size[row], 1))
 
 
 def _suspects(segments: Segments, buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], [], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], [], [], [], [], []]
         packed = sorted(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist(), strict=True))
         for ids, offsets, texts in zip(*(left.column(c).to_pylist() for c in ("ids", "offsets", "texts")), strict=True):
             found, (rows, shingles), one, two, stands = _chunk_signatures(ids, offsets, texts, segments)
@@ -291,17 +294,17 @@ def _suspects(segments: Segments, buckets: int):
             chosen = {row: rest for row, *rest in _choose(found, own[back], probing[back], stands)}
             cuts = np.searchsorted(rows, np.arange(len(ids) + 1))
             for row, doc in enumerate(ids):
-                value, flags, short = chosen.get(row, (None, None, False))
+                value, flags, short, odd = chosen.get(row, (None, None, False, None))
                 suspect = row in chosen
-                for column, cell in zip(out, (doc, int(size[row]), one[row : row + 1].view(np.int64)[0], two[row : row + 1].view(np.int64)[0], value.view(np.int64) if suspect else None, flags.astype(np.int8) if suspect else None, shingles[cuts[row] : cuts[row + 1]].view(np.int64) if suspect else None, bool(short)), strict=True):
+                for column, cell in zip(out, (doc, int(size[row]), one[row : row + 1].view(np.int64)[0], two[row : row + 1].view(np.int64)[0], value.view(np.int64) if suspect else None, flags.astype(np.int8) if suspect else None, shingles[cuts[row] : cuts[row + 1]].view(np.int64) if suspect else None, bool(short), odd, np.bincount(shingles[cuts[row] : cuts[row + 1]].view(np.int64) % _CLASSES, minlength=_CLASSES).astype(np.int32) if suspect else None), strict=True):
                     column.append(cell)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.bool_()]
-        return pa.table([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=["id", "n", "one", "two", "signatures", "flags", "shingles", "short"])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.bool_(), pa.int32(), pa.list_(pa.int32())]
+        return pa.table([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=["id", "n", "one", "two", "signatures", "flags", "shingles", "short", "odd", "classes"])
 
     return run
 
 
-_SCHEMA = "id long, n long, one long, two long, signatures array<long>, flags array<byte>, shingles array<long>, short boolean"
+_SCHEMA = "id long, n long, one long, two long, signatures array<long>, flags array<byte>, shingles array<long>, short boolean, odd int, classes array<int>"
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -323,9 +326,9 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     Equal sets are one node from the first stage on. Texts travel once, compressed, in chunks. Each chunk asks, bucket by
     bucket of signature hashes, how many sets share each of its signatures - a signature is sent once for a chunk however
     many texts hold it, so no frequent one gathers rows in a task. Only sets that pass the count go on with their
-    signatures and shingles. Where many sets meet in one signature, all are verified against its smallest id first;
-    after that only sets of different components are still compared, so a group of n near copies costs about n
-    verifications in each of its signatures and not n^2, and no link between components is missed.
+    signatures and shingles. Where many sets meet in one signature, one set of each component is verified against the
+    most typical set first; after that only sets of different components are still compared, so a group of n near
+    copies costs about n verifications in each of its signatures and not n^2, and no link between components is missed.
     """
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -338,29 +341,63 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     same = ["one", "two", "n"]
     classes = known.where("n > 0").groupBy(*same).agg(F.min("id").alias("_class"))
     suspects = known.where("signatures is not null").join(classes, same).where("id = _class")
-    sets = settle(suspects.select("id", "n", "shingles", "short", F.arrays_zip("signatures", "flags").alias("_held")))
-    held = sets.select("id", "n", F.explode("_held").alias("_s")).select("id", "n", F.col("_s.signatures").alias("s"), F.col("_s.flags").alias("f"))
-    near = "100 * least(n, _n) >= 75 * greatest(n, _n)"
-
-    # All sets of a signature against its smallest id.
-    heads = held.groupBy("s").agg(F.min(F.when(F.col("f").bitwiseAND(1) > 0, F.struct("id", "n"))).alias("_l"), F.bit_or("f").alias("_any"), F.count("*").alias("_c"))
-    heads = heads.where("_c > 1 and _any >= 2 and _l is not null").select("s", F.col("_l.id").alias("_id"), F.col("_l.n").alias("_n"))
-    held = settle(held.join(heads, "s"))
-    first = held.where(f"id <> _id and {near}").select(F.col("id").alias("a"), F.col("_id").alias("b")).distinct()
-    links = settle(_verified(first, sets))
-
-    # Then sets that share a signature and are not yet in one component.
-    groups = settle(components(links))
-    placed = held.select("s", "id", "n", "f").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
-    several = placed.groupBy("s").agg(F.min("g").alias("_g"), F.max("g").alias("_h")).where("_g <> _h").select("s")
-    placed = settle(placed.join(several, "s", "left_semi"))
-    meeting = placed.where("f >= 2").select("s", "g").distinct().join(placed.where("f % 2 = 1").select("s", F.col("g").alias("_g")).distinct(), "s").where("g <> _g")
-    ones = placed.where("f >= 2").join(meeting, ["s", "g"])
-    others = placed.where("f % 2 = 1").select("s", F.col("g").alias("_g"), F.col("id").alias("_id"), F.col("n").alias("_n"))
-    pairs = ones.join(others, ["s", "_g"]).where(f"id <> _id and {near}").select(F.least("id", "_id").alias("b"), F.greatest("id", "_id").alias("a")).distinct()
-    pairs = pairs.join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.union(_verified(pairs, sets)).union(_short_links(thin, sets, near))
-    groups = components(links)
+    sets = settle(suspects.select("id", "n", "odd", "shingles", "short", "classes", F.arrays_zip("signatures", "flags").alias("_held")))
+    # Links are among these sets, so elements that only one of them has are in no other's. With u such elements of n, a
+    # set shares at most n - u with another, of size m; as 7 (n - u) >= 3 (n + m) for a link, m is (4 n - 7 u) / 3 at most.
+    # Sets for which no size is left go, which leaves more elements to one set alone: again while a tenth goes.
+    count = None
+    while True:
+        alone = sets.select("id", F.explode("shingles").alias("e")).groupBy("e").agg(F.count("*").alias("c"), F.min("id").alias("id"))
+        alone = alone.where("c = 1").groupBy("id").agg(F.count("*").alias("u"), F.array(*[F.count_if(F.pmod("e", F.lit(_CLASSES)) == k) for k in range(_CLASSES)]).alias("_own"))
+        sets = sets.drop("top", "held").join(settle(alone), "id", "left").withColumn("top", F.floor((4 * F.col("n") - 7 * F.coalesce("u", F.lit(0))) / 3)).drop("u")
+        sets = sets.where("4 * top >= 3 * n or short").withColumn("held", F.when(F.col("_own").isNull(), F.col("classes")).otherwise(F.zip_with("classes", "_own", lambda a, b: (a - b).cast("int"))))
+        sets = settle(sets.drop("_own"))
+        before, count = count, sets.count()
+        if before is not None and 10 * count > 9 * before or not count:
+            break
+    held = sets.select("id", "n", "top", "odd", F.explode("_held").alias("_s")).select("id", "n", "top", "odd", F.col("_s.signatures").alias("s"), F.col("_s.flags").alias("f"))
+    members = held.groupBy("s").agg(F.bit_or("f").alias("_any"), F.max(F.col("f") % 2).alias("_in"), F.count("*").alias("_c"))
+    held = settle(held.join(members.where("_c > 1 and _any >= 2 and _in > 0").select("s"), "s"))
+
+    # Stars: in each signature, one set of each component against the most typical set of all. Components grow until a
+    # round links nothing more.
+    groups, links, tried = None, None, None
+    while True:
+        placed = held if groups is None else held.join(groups.withColumnRenamed("node", "id"), "id", "left")
+        placed = placed.select("s", "id", "n", "top", "f", "odd", F.lit(None).cast("long").alias("g") if groups is None else F.col("component").alias("g")).withColumn("g", F.coalesce("g", "id"))
+        if links is not None:
+            several = placed.groupBy("s").agg(F.min("g").alias("_g"), F.max("g").alias("_h")).where("_g <> _h").select("s")
+            placed = placed.join(several, "s", "left_semi")
+        best = F.min(F.struct("odd", "id", "n", "top"))
+        ones = placed.groupBy("s", "g").agg(best.alias("m"))
+        heads = placed.where("f % 2 = 1").groupBy("s").agg(best.alias("h"))
+        pairs = ones.join(heads, "s").where("m.id <> h.id and m.n <= h.top and h.n <= m.top")
+        pairs = pairs.select(F.greatest("m.id", "h.id").alias("a"), F.least("m.id", "h.id").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = settle(pairs)
+        new = settle(_verified(pairs, sets))
+        tried = pairs if tried is None else tried.union(pairs)
+        if new.isEmpty():
+            break
+        links = new if links is None else links.union(new)
+        groups = settle(components(links))
+
+    # Then all sets that share a signature and are not yet in one component, if their sizes allow it.
+    placed = settle(placed.select("s", "id", "n", "top", "f", "g"))
+    counts = sets.select("id", "held")
+    reach = [F.min("n").alias("least"), F.max("top").alias("most")]
+    looking = placed.where("f >= 2").groupBy("s", "g").agg(*reach)
+    indexed = placed.where("f % 2 = 1").groupBy("s", F.col("g").alias("_g")).agg(F.min("n").alias("_least"), F.max("top").alias("_most"))
+    meeting = looking.join(indexed, "s").where("g <> _g and least <= _most and _least <= most").select("s", "g", "_g")
+    meeting = settle(meeting)
+    lookers = placed.where("f >= 2").join(meeting.select("s", "g").distinct(), ["s", "g"], "left_semi").join(counts, "id").join(meeting, ["s", "g"])
+    others = placed.where("f % 2 = 1").join(meeting.select("s", F.col("_g").alias("g")).distinct(), ["s", "g"], "left_semi").join(counts, "id").select("s", F.col("g").alias("_g"), F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("top").alias("_top"), F.col("held").alias("_held"))
+    # Sets share at most the smaller count of each class of elements that are not one set's alone.
+    common = F.aggregate(F.zip_with("held", "_held", lambda a, b: F.least(a, b).cast("int")), F.lit(0), lambda a, b: a + b)
+    pairs = lookers.join(others, ["s", "_g"]).where("id <> _id and n <= _top and _n <= top").where(7 * common >= 3 * (F.col("n") + F.col("_n"))).select(F.least("id", "_id").alias("b"), F.greatest("id", "_id").alias("a")).distinct()
+    new = _verified(pairs.join(tried, ["a", "b"], "left_anti"), sets).union(_short_links(thin, sets))
+    groups = components(new if links is None else links.union(new))
 
     named = known.select("id", *same).join(classes, same, "left").join(groups.withColumnRenamed("node", "_class"), "_class", "left")
     return named.select(
@@ -370,7 +407,7 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     )
 
 
-def _short_links(thin: DataFrame, sets: DataFrame, near: str) -> DataFrame:
+def _short_links(thin: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of sets whose elements fell into too few segments to make up the count (with the usual settings, none in
     billions): such a set is compared with every set that shares an element."""
     short = sets.where("short")
@@ -386,5 +423,5 @@ def _short_links(thin: DataFrame, sets: DataFrame, near: str) -> DataFrame:
 
     everything = thin.where("id is not null").mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id", "shingles"])
     wanted = short.select(F.col("id").alias("_id"), F.col("n").alias("_n"), F.explode("shingles").alias("e"))
-    found = everything.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("e")).join(wanted, "e").where(f"id <> _id and {near}")
+    found = everything.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("e")).join(wanted, "e").where("id <> _id and 100 * least(n, _n) >= 75 * greatest(n, _n)")
     return _verified(found.select(F.col("id").alias("a"), F.col("_id").alias("b")).distinct(), everything)
