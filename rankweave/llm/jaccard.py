@@ -339,23 +339,21 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     known = settle(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(segments, buckets), _SCHEMA))
 
     same = ["one", "two", "n"]
-    classes = known.where("n > 0").groupBy(*same).agg(F.min("id").alias("_class"))
+    marks = settle(known.select("id", *same))
+    classes = marks.where("n > 0").groupBy(*same).agg(F.min("id").alias("_class"))
     suspects = known.where("signatures is not null").join(classes, same).where("id = _class")
     sets = settle(suspects.select("id", "n", "odd", "shingles", "short", "classes", F.arrays_zip("signatures", "flags").alias("_held")))
+    del known, suspects
     # Links are among these sets, so elements that only one of them has are in no other's. With u such elements of n, a
     # set shares at most n - u with another, of size m; as 7 (n - u) >= 3 (n + m) for a link, m is (4 n - 7 u) / 3 at most.
-    # Sets for which no size is left go, which leaves more elements to one set alone: again while a tenth goes.
-    count = None
-    while True:
-        alone = sets.select("id", F.explode("shingles").alias("e")).groupBy("e").agg(F.count("*").alias("c"), F.min("id").alias("id"))
-        alone = alone.where("c = 1").groupBy("id").agg(F.count("*").alias("u"), F.array(*[F.count_if(F.pmod("e", F.lit(_CLASSES)) == k) for k in range(_CLASSES)]).alias("_own"))
-        sets = sets.drop("top", "held").join(settle(alone), "id", "left").withColumn("top", F.floor((4 * F.col("n") - 7 * F.coalesce("u", F.lit(0))) / 3)).drop("u")
-        sets = sets.where("4 * top >= 3 * n or short").withColumn("held", F.when(F.col("_own").isNull(), F.col("classes")).otherwise(F.zip_with("classes", "_own", lambda a, b: (a - b).cast("int"))))
-        sets = settle(sets.drop("_own"))
-        before, count = count, sets.count()
-        if before is not None and 10 * count > 9 * before or not count:
-            break
-    held = sets.select("id", "n", "top", "odd", F.explode("_held").alias("_s")).select("id", "n", "top", "odd", F.col("_s.signatures").alias("s"), F.col("_s.flags").alias("f"))
+    alone = sets.select("id", F.explode("shingles").alias("e")).groupBy("e").agg(F.count("*").alias("c"), F.min("id").alias("id"))
+    own = [F.count_if(F.pmod("e", F.lit(_CLASSES)) == k) for k in range(_CLASSES)]
+    alone = settle(alone.where("c = 1").groupBy("id").agg(F.count("*").alias("u"), F.array(*own).alias("_own")))
+    facts = sets.select("id", "n", "odd", "short", "classes").join(alone, "id", "left")
+    facts = facts.withColumn("top", F.floor((4 * F.col("n") - 7 * F.coalesce("u", F.lit(0))) / 3)).where("4 * top >= 3 * n or short")
+    shared = F.zip_with("classes", "_own", lambda a, b: (a - b).cast("int"))
+    facts = settle(facts.select("id", "n", "odd", "top", F.coalesce(shared, "classes").alias("held")))
+    held = sets.select("id", "_held").join(facts.drop("held"), "id").select("id", "n", "top", "odd", F.explode("_held").alias("_s")).select("id", "n", "top", "odd", F.col("_s.signatures").alias("s"), F.col("_s.flags").alias("f"))
     members = held.groupBy("s").agg(F.bit_or("f").alias("_any"), F.max(F.col("f") % 2).alias("_in"), F.count("*").alias("_c"))
     held = settle(held.join(members.where("_c > 1 and _any >= 2 and _in > 0").select("s"), "s"))
 
@@ -383,23 +381,23 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
         links = new if links is None else links.union(new)
         groups = settle(components(links))
 
-    # Then all sets that share a signature and are not yet in one component, if their sizes allow it.
-    placed = settle(placed.select("s", "id", "n", "top", "f", "g"))
-    counts = sets.select("id", "held")
-    reach = [F.min("n").alias("least"), F.max("top").alias("most")]
-    looking = placed.where("f >= 2").groupBy("s", "g").agg(*reach)
-    indexed = placed.where("f % 2 = 1").groupBy("s", F.col("g").alias("_g")).agg(F.min("n").alias("_least"), F.max("top").alias("_most"))
-    meeting = looking.join(indexed, "s").where("g <> _g and least <= _most and _least <= most").select("s", "g", "_g")
-    meeting = settle(meeting)
-    lookers = placed.where("f >= 2").join(meeting.select("s", "g").distinct(), ["s", "g"], "left_semi").join(counts, "id").join(meeting, ["s", "g"])
-    others = placed.where("f % 2 = 1").join(meeting.select("s", F.col("_g").alias("g")).distinct(), ["s", "g"], "left_semi").join(counts, "id").select("s", F.col("g").alias("_g"), F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("top").alias("_top"), F.col("held").alias("_held"))
-    # Sets share at most the smaller count of each class of elements that are not one set's alone.
+    # Then all sets that share a signature and are not yet in one component, if sizes and elements allow it.
+    # Sets share at most the smaller count of each class of elements that are not one set's alone; of components, the
+    # largest counts of their sets stand for all.
+    placed = settle(placed.select("s", "id", "n", "top", "f", "g")).join(facts.select("id", "held"), "id")
+    bounds = [F.min("n").alias("n"), F.max("top").alias("top"), F.array(*[F.max(F.col("held")[k]) for k in range(_CLASSES)]).alias("held")]
+    looking, indexed = placed.where("f >= 2"), placed.where("f % 2 = 1")
+    other = {c: F.col(c).alias(f"_{c}") for c in ("g", "id", "n", "top", "held")}
     common = F.aggregate(F.zip_with("held", "_held", lambda a, b: F.least(a, b).cast("int")), F.lit(0), lambda a, b: a + b)
-    pairs = lookers.join(others, ["s", "_g"]).where("id <> _id and n <= _top and _n <= top").where(7 * common >= 3 * (F.col("n") + F.col("_n"))).select(F.least("id", "_id").alias("b"), F.greatest("id", "_id").alias("a")).distinct()
+    may_link = (F.col("n") <= F.col("_top")) & (F.col("_n") <= F.col("top")) & (7 * common >= 3 * (F.col("n") + F.col("_n")))
+    ends = indexed.groupBy("s", "g").agg(*bounds).select("s", *[other[c] for c in ("g", "n", "top", "held")])
+    meeting = settle(looking.groupBy("s", "g").agg(*bounds).join(ends, "s").where(F.col("g") != F.col("_g")).where(may_link).select("s", "g", "_g"))
+    pairs = looking.join(meeting, ["s", "g"]).join(indexed.select("s", *other.values()), ["s", "_g"]).where("id <> _id").where(may_link)
+    pairs = pairs.select(F.least("id", "_id").alias("b"), F.greatest("id", "_id").alias("a")).distinct()
     new = _verified(pairs.join(tried, ["a", "b"], "left_anti"), sets).union(_short_links(thin, sets))
     groups = components(new if links is None else links.union(new))
 
-    named = known.select("id", *same).join(classes, same, "left").join(groups.withColumnRenamed("node", "_class"), "_class", "left")
+    named = marks.join(classes, same, "left").join(groups.withColumnRenamed("node", "_class"), "_class", "left")
     return named.select(
         F.col("id").cast(dict(docs.dtypes)[id]).alias(id),
         F.col("n").alias("n_shingles"),

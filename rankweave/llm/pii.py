@@ -87,8 +87,8 @@ GENERATORS = [
     (3, re.compile(r"(?<![0-9+])\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])"), 0),
     (3, re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"), 0),
     (4, re.compile(r"(?:key|token|secret|passwo?r?d|pwd)\s{0,3}[:=]\s{0,3}[\"']?([^\s\"']{6,256})", re.I), 1),
-    (4, re.compile(r"(?<![A-Za-z0-9])[A-Z0-9]{16,64}(?![A-Za-z0-9])"), 0),
-    (4, re.compile(r"(?<![A-Za-z0-9])[A-Fa-f0-9]{18,128}(?![A-Za-z0-9])"), 0),
+    (4, re.compile(r"(?<![A-Za-z0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,64}(?![A-Za-z0-9])"), 0),
+    (4, re.compile(r"(?<![A-Za-z0-9])(?=[0-9]*[A-Fa-f])[A-Fa-f0-9]{18,128}(?![A-Za-z0-9])"), 0),
     (5, re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), 0),
     (5, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), 0),
 ]

@@ -16,7 +16,8 @@ def settle(df: DataFrame) -> DataFrame:
     be long after; between steps that each shuffle a good part of the corpus it is asked for, so that disk is needed for
     one step at a time.
     """
-    settled = cut_lineage(df)
+    # A projection of its own carries the plan that runs; `df`, which the caller still holds, has none to keep alive.
+    settled = cut_lineage(df.select("*"))
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return settled
