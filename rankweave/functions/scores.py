@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.operators.joins import null_safe_join
+
 # The five-term polynomial approximation of erf (Abramowitz and Stegun 7.1.26), lowest power first.
 ERF_SLOPE = 0.3275911
 ERF_TERMS = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
@@ -36,10 +38,11 @@ def normalize_scores(df: DataFrame, score: str, groups: Sequence[str], method: s
     """Append `<score>_norm`: each score against mean and deviation of its group.
 
     The statistics are aggregated first (map-side combine) and joined back, so no group is ever gathered in one task
-    and a group with most of the rows costs as much as any other. A group without spread gets 0.5.
+    and the statistics, one row per group, are joined by the plan that adaptive execution picks from their size. Null
+    groups are a group; a group without spread gets 0.5.
     """
     stats = df.groupBy(*groups).agg(F.avg(score).alias("_mean"), F.stddev_samp(score).alias("_std"))
-    joined = df.join(stats, list(groups), "left")
+    joined = null_safe_join(df, stats, list(groups), "left")
     z = (F.col(score) - F.col("_mean")) / F.col("_std")
     if method == "cdf":
         value = gaussian_cdf(F.col(score), F.col("_mean"), F.col("_std"))

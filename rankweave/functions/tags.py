@@ -84,7 +84,10 @@ def clean_scored_term(value: Column) -> Column:
 
 
 def tag_map(value: Column) -> Column:
-    """`{a:1.0,b}` as map<string,double>: weight 1.0 when absent, the last weight of a repeated tag wins."""
+    """`{a:1.0,b}` as map<string,double>: weight 1.0 when absent, the last weight of a repeated tag wins.
+
+    A tag whose weight is not a number is left out.
+    """
     inner = F.regexp_replace(value, r"^\{|\}$", "")
     tags = bind(split_parts(inner, ","), lambda parts: _before(parts, F.array_position(parts, F.lit(""))))
 
@@ -93,7 +96,7 @@ def tag_map(value: Column) -> Column:
         weight = F.when(F.size(parts) == 1, F.lit(1.0)).otherwise(tag_score(tag))
         return F.struct(tag_term(tag).alias("key"), weight.alias("value"))
 
-    entries = F.transform(tags, entry)
+    entries = F.filter(F.transform(tags, entry), lambda e: e["value"].isNotNull())
     keys = F.transform(entries, lambda e: e["key"])
     last_of_key = F.filter(
         entries, lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i

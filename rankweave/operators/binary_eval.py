@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: 2^RANGE_BITS score ranges; the table of range totals has that many rows at most.
+#: 2^bits score ranges; the table of range totals has that many rows at most. More bits let more tasks work: with the
+#: default a task sorts a 512th of the distinct scores, so take log2(distinct scores / 10^6) for more than 5 * 10^8.
 RANGE_BITS = 9
 
 
@@ -87,13 +88,13 @@ def _f_measure(precision: Column, recall: Column, beta: float) -> Column:
     return F.when(whole > 0, F.lit(1.0 + square) * precision * recall / whole).otherwise(F.lit(0.0))
 
 
-def threshold_curve(df: DataFrame, score: str = "score", label: str = "label", bins: int = 10) -> DataFrame:
+def threshold_curve(df: DataFrame, score: str = "score", label: str = "label", bins: int = 10, bits: int = RANGE_BITS) -> DataFrame:
     """Precision, recall, F1, F0.5 and ROC coordinates for "score >= threshold", highest threshold first in `point`.
 
     With `bins`, neighbouring distinct scores are merged into groups of floor(distinct / bins) by global rank, as far
     as that gives groups of two or more; the threshold of a group is its lowest score. bins=0 keeps every score.
     """
-    table = score_table(df, score, label)
+    table = score_table(df, score, label, bits)
     if bins > 0:
         size = F.floor(F.col("scores") / F.lit(bins))
         group = F.when(size >= 2, F.floor((F.col("rank") - 1) / size)).otherwise(F.col("rank") - 1)
@@ -133,9 +134,9 @@ def threshold_curve(df: DataFrame, score: str = "score", label: str = "label", b
     )
 
 
-def areas(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def areas(df: DataFrame, score: str = "score", label: str = "label", bits: int = RANGE_BITS) -> DataFrame:
     """One row: areas under the exact ROC and precision-recall curves; null when only one class is present."""
-    table = score_table(df, score, label)
+    table = score_table(df, score, label, bits)
     pos_before = F.col("cum_pos") - F.col("pos")
     neg_before = F.col("cum_neg") - F.col("neg")
     roc_step = F.col("neg") * (pos_before + F.col("pos") / 2)
@@ -170,19 +171,31 @@ def classification_report(
 ) -> DataFrame:
     """Accuracy and weighted precision, recall and F1 (each class weighted by its true count), per group if given.
 
-    Everything comes from the confusion counts, a few rows per group.
+    Everything comes from the confusion counts, a few rows per group. Null groups are groups; a null label is a class of
+    its own that no prediction hits.
     """
     groups = list(groups)
     cells = df.groupBy(*groups, F.col(label).alias("_label"), F.col(prediction).alias("_pred")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    hit = F.col("_label") == F.col("_pred")
-    truth = cells.groupBy(*groups, F.col("_label").alias("_class")).agg(
-        F.sum("_n").alias("_true"), F.sum(F.when(hit, F.col("_n")).otherwise(0)).alias("_hits")
+    # Both sides of a class must read the same: 1 and 1.0 are one class.
+    kinds = dict(cells.dtypes)
+    number = all(kinds[c] not in ("string", "boolean") for c in ("_label", "_pred"))
+    label_class, guess_class = (F.col(c).cast("double").cast("string") if number else F.col(c).cast("string") for c in ("_label", "_pred"))
+    hit = F.coalesce(label_class == guess_class, F.lit(False))
+    nothing = F.lit(0).cast("bigint")
+    # Each cell counts once for its true class and once for the guessed one; no join, so null groups and labels stay.
+    sides = F.explode(
+        F.array(
+            F.struct(label_class.alias("c"), F.col("_n").alias("t"), F.when(hit, F.col("_n")).otherwise(nothing).alias("h"), nothing.alias("g")),
+            F.struct(guess_class.alias("c"), nothing.alias("t"), nothing.alias("h"), F.col("_n").alias("g")),
+        )
     )
-    guesses = cells.groupBy(*groups, F.col("_pred").alias("_class")).agg(F.sum("_n").alias("_guessed"))
-    joined = truth.join(guesses, [*groups, "_class"], "left")
-    precision = F.coalesce(F.col("_hits") / F.col("_guessed"), F.lit(0.0))
+    exploded = cells.select(*groups, sides.alias("_s"))
+    joined = exploded.groupBy(*groups, F.col("_s.c").alias("_class")).agg(
+        F.sum("_s.t").alias("_true"), F.sum("_s.h").alias("_hits"), F.sum("_s.g").alias("_guessed")
+    ).where(F.col("_true") > 0)
+    precision = F.coalesce(_ratio(F.col("_hits"), F.col("_guessed")), F.lit(0.0))
     recall = F.col("_hits") / F.col("_true")
     f1 = F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
     rows = F.sum("_true")

@@ -10,24 +10,24 @@ from pyspark.sql import functions as F
 #: A task should not get more rows of one key than this; keys above it are split into shares.
 SHARE_ROWS = 1_000_000
 
-#: Only the heaviest keys are split. Any key outside of them holds less than 1/MAX_HOT_KEYS of all rows, so the list of
-#: hot keys stays this short, and safe to collect and broadcast, whatever the size of the data.
+#: This many hot keys are sent to all tasks at most. If there are more, their table is joined like any other.
 MAX_HOT_KEYS = 10_000
 
 _NULL_KEY_SHARES = 1024
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share_rows: int = SHARE_ROWS) -> DataFrame | None:
-    """(keys, _shares) of the keys with more than `share_rows` rows, heaviest first; None when there are none.
+    """(keys, _shares) of all keys with more than `share_rows` rows; None when there are none.
 
-    This runs one job that reads the key columns only and combines on the map side.
+    This runs one job that reads the key columns only and combines on the map side. Up to MAX_HOT_KEYS keys come back
+    as a local table marked for broadcasting; a longer list stays a distributed one, and every key in it is split too.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > share_rows)
-    heaviest = counts.orderBy(F.col("_rows").desc()).limit(MAX_HOT_KEYS)
-    shares = F.ceil(F.col("_rows") / F.lit(share_rows)).cast("int").alias("_shares")
-    found = heaviest.select(*keys, shares)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    found = counts.select(*keys, F.ceil(F.col("_rows") / F.lit(share_rows)).cast("int").alias("_shares"))
+    rows = found.limit(MAX_HOT_KEYS + 1).collect()
+    if len(rows) > MAX_HOT_KEYS:
+        return found
+    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema)) if rows else None
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -37,6 +37,15 @@ def _any_null(keys: Sequence[str]) -> Column:
     return missing
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet null keys; the key columns are the left side's."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in on})
+    same = F.lit(True)
+    for key in on:
+        same = same & left[key].eqNullSafe(renamed[f"_right_{key}"])
+    return left.join(renamed, same, how).drop(*[f"_right_{key}" for key in on])
+
+
 def skew_safe_join(
     left: DataFrame,
     right: DataFrame,
@@ -61,9 +70,9 @@ def skew_safe_join(
         return left.join(right, on, how)
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)])
     shares = F.when(_any_null(on), F.lit(_NULL_KEY_SHARES)).otherwise(F.coalesce(F.col("_shares"), F.lit(1)))
-    salted = left.join(F.broadcast(hot), on, "left").withColumn(
+    salted = left.join(hot, on, "left").withColumn(
         "_share", F.pmod(row_hash, shares.cast("bigint")).cast("int")
     )
     numbers = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1)
-    copied = right.join(F.broadcast(hot), on, "left").withColumn("_share", F.explode(numbers)).drop("_shares")
+    copied = right.join(hot, on, "left").withColumn("_share", F.explode(numbers)).drop("_shares")
     return salted.drop("_shares").join(copied, [*on, "_share"], how).drop("_share")

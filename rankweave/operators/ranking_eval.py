@@ -20,8 +20,9 @@ METRICS = LIST_METRICS + CATALOGUE_METRICS
 
 
 def _hits(prediction: Column, label: Column) -> Column:
-    """1.0 / 0.0 per position of the prediction."""
-    return F.transform(prediction, lambda p: F.array_contains(label, p).cast("double"))
+    """1.0 / 0.0 per position of the prediction; null items hit nothing."""
+    known = F.array_compact(label)
+    return F.transform(prediction, lambda p: F.coalesce(F.array_contains(known, p), F.lit(False)).cast("double"))
 
 
 def _sum(values: Column) -> Column:
@@ -30,7 +31,7 @@ def _sum(values: Column) -> Column:
 
 def average_precision(prediction: Column, label: Column) -> Column:
     """Mean precision at the hits, over the number of distinct relevant items; 0 when there are none."""
-    relevant = F.size(F.array_distinct(label))
+    relevant = F.size(F.array_distinct(F.array_compact(label)))
     start = F.struct(F.lit(0.0).alias("hits"), F.lit(0.0).alias("total"), F.lit(0.0).alias("seen"))
 
     def step(acc: Column, hit: Column) -> Column:
@@ -43,7 +44,7 @@ def average_precision(prediction: Column, label: Column) -> Column:
 
 def ndcg_at(prediction: Column, label: Column, k: int) -> Column:
     """Binary-relevance NDCG over the first max(|prediction|, |distinct label|) positions, at most k."""
-    relevant = F.size(F.array_distinct(label))
+    relevant = F.size(F.array_distinct(F.array_compact(label)))
     reach = F.least(F.greatest(F.size(prediction), relevant), F.lit(k))
     gains = F.transform(
         F.slice(_hits(prediction, label), 1, k), lambda hit, i: hit / F.ln((i + 2).cast("double"))
@@ -63,7 +64,7 @@ def precision_at(prediction: Column, label: Column, k: int) -> Column:
 
 
 def _common(prediction: Column, label: Column) -> Column:
-    return F.size(F.array_intersect(prediction, label)).cast("double")
+    return F.size(F.array_compact(F.array_intersect(prediction, label))).cast("double")
 
 
 def overlap_share(prediction: Column, label: Column) -> Column:
@@ -73,7 +74,8 @@ def overlap_share(prediction: Column, label: Column) -> Column:
 
 def recall_at(prediction: Column, label: Column, k: int) -> Column:
     """Distinct relevant items among the first k predictions over all distinct relevant items; null without any."""
-    return F.when(F.size(label) > 0, _common(F.slice(prediction, 1, k), label) / F.size(F.array_distinct(label)))
+    relevant = F.size(F.array_distinct(F.array_compact(label)))
+    return F.when(relevant > 0, _common(F.slice(prediction, 1, k), label) / relevant)
 
 
 def reciprocal_rank(prediction: Column, label: Column) -> Column:

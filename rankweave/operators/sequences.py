@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankweave.operators.joins import null_safe_join
+
 #: Longest list that is put into one row. A longer sequence continues in further rows (`part` 1, 2, ...).
 PART_SIZE = 100_000
 
@@ -17,7 +19,8 @@ def ordered_positions(
     """Append the 0-based position of each row in its group without bringing the group into one task.
 
     `bucket` must not decrease along `order` (for example the minute of the first order column). Rows are numbered
-    inside (group, bucket); the sizes of the buckets before it, a small table, give the offset.
+    inside (group, bucket); the sizes of the buckets before it, a small table, give the offset. Null keys are a group
+    like any other, and rows without an order value come first in theirs: no row is lost.
     """
     keys = [*group, "_bucket"]
     bucketed = df.withColumn("_bucket", bucket)
@@ -26,7 +29,7 @@ def ordered_positions(
     offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*keys).orderBy(*order)
     numbered = bucketed.withColumn("_inside", F.row_number().over(inside) - 1)
-    joined = numbered.join(offsets, keys, "inner")
+    joined = null_safe_join(numbered, offsets, keys, "inner")
     return joined.withColumn(output, F.col("_offset") + F.col("_inside")).drop("_bucket", "_inside", "_offset")
 
 
@@ -47,6 +50,9 @@ def collect_sequences(
     with `ordered_positions` first, so that no task ever holds more than `part_size` items of a group. Whether there
     are long groups is settled by one count over the group columns; usually there are none and the plan is a single
     shuffle. `sized_by` is a cheaper table with at least as many rows per group to count instead.
+
+    The items and their order are the same for every `part_size`: the parts of a group, one after the other, are its
+    whole list (`sequence_items` gives it row by row). Null keys and null order values (first) take part.
     """
     group = list(group)
     bucket = F.date_trunc("minute", F.col(order[0])) if bucket is None else bucket
@@ -65,14 +71,20 @@ def collect_sequences(
     if long_groups.isEmpty():
         return gather(rows.withColumn("part", whole), min_size)
     # At most rows / part_size groups; Spark picks both joins by the measured size.
-    short = rows.join(long_groups, group, "left_anti").withColumn("part", whole)
-    long = ordered_positions(rows.join(long_groups, group, "left_semi"), group, order, bucket)
+    short = null_safe_join(rows, long_groups, group, "left_anti").withColumn("part", whole)
+    long = ordered_positions(null_safe_join(rows, long_groups, group, "left_semi"), group, order, bucket)
     long = long.withColumn("part", F.floor(F.col("_position") / F.lit(part_size)).cast("bigint")).drop("_position")
     enough = long.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_size).select(*group)
-    kept = long if sized_by is None or min_size <= 1 else long.join(enough, group, "left_semi")
+    kept = long if sized_by is None or min_size <= 1 else null_safe_join(long, enough, group, "left_semi")
     return gather(short, min_size).unionByName(gather(kept, 1))
 
 
+def sequence_items(sequences: DataFrame, group: Sequence[str], output: str = "items", part_size: int = PART_SIZE) -> DataFrame:
+    """(group..., position, item) of collected sequences: one row per item, the same for every `part_size`."""
+    rows = sequences.select(*group, "part", F.posexplode(output).alias("_at", "item"))
+    return rows.select(*group, (F.col("part") * part_size + F.col("_at")).cast("bigint").alias("position"), "item")
+
+
 def _positive(df: DataFrame, options: dict) -> DataFrame:
     if options.get("sized_by") is not None:
         options["sized_by"] = options["sized_by"].where(F.col("label") == 1)
