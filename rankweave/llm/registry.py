@@ -24,5 +24,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+#: Bytes of a batch that a Python worker gets at once. Without a bound it is 10,000 rows, however long their texts.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches for Python workers by bytes, if the session does not do so itself."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
