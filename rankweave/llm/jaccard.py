@@ -29,6 +29,8 @@ CHUNK_BYTES = 8 << 20
 _MAX_BAND = 40
 #: Elements are counted by so many classes of their hashes.
 _CLASSES = 32
+#: A component's sets are dealt to so many tasks where they meet those of another.
+_PARTS = 16
 
 
 @dataclass(frozen=True)
@@ -391,8 +393,16 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     common = F.aggregate(F.zip_with("held", "_held", lambda a, b: F.least(a, b).cast("int")), F.lit(0), lambda a, b: a + b)
     may_link = (F.col("n") <= F.col("_top")) & (F.col("_n") <= F.col("top")) & (7 * common >= 3 * (F.col("n") + F.col("_n")))
     ends = indexed.groupBy("s", "g").agg(*bounds).select("s", *[other[c] for c in ("g", "n", "top", "held")])
-    meeting = settle(looking.groupBy("s", "g").agg(*bounds).join(ends, "s").where(F.col("g") != F.col("_g")).where(may_link).select("s", "g", "_g"))
-    pairs = looking.join(meeting, ["s", "g"]).join(indexed.select("s", *other.values()), ["s", "_g"]).where("id <> _id").where(may_link)
+    meeting = looking.groupBy("s", "g").agg(*bounds).join(ends, "s").where(F.col("g") != F.col("_g")).where(may_link)
+    meeting = settle(meeting.select(F.least("g", "_g").alias("g"), F.greatest("g", "_g").alias("_g")).distinct())
+    # Each two components once, however many signatures they share: the smaller one is copied to the parts of the larger.
+    members = settle(placed.select("id", "g", "n", "top", "held").dropDuplicates(["id"]))
+    sizes = members.groupBy("g").agg(F.count("*").alias("c"))
+    meeting = meeting.join(sizes, "g").join(sizes.select(F.col("g").alias("_g"), F.col("c").alias("_c")), "_g")
+    meeting = meeting.select(F.when(F.col("c") <= F.col("_c"), F.col("g")).otherwise(F.col("_g")).alias("g"), F.when(F.col("c") <= F.col("_c"), F.col("_g")).otherwise(F.col("g")).alias("_g"))
+    part = F.pmod(F.xxhash64("id"), F.lit(_PARTS)).cast("int")
+    copied = members.join(meeting, "g").withColumn("part", F.explode(F.array(*map(F.lit, range(_PARTS)))))
+    pairs = copied.join(members.select(*other.values(), part.alias("part")), ["_g", "part"]).where("id <> _id").where(may_link)
     pairs = pairs.select(F.least("id", "_id").alias("b"), F.greatest("id", "_id").alias("a")).distinct()
     new = _verified(pairs.join(tried, ["a", "b"], "left_anti"), sets).union(_short_links(thin, sets))
     groups = components(new if links is None else links.union(new))
