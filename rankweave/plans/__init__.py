@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rankweave.plans import evaluation, features, models, relational  # noqa: F401
+from rankweave.plans import evaluation, features, models, relational, sources  # noqa: F401
 from rankweave.plans.catalog import ORACLES, QUERIES, Query
 
 

@@ -119,6 +119,25 @@ def slice_metrics(spark, sf_dir):
     return report.withColumns({c: F.round(c, 6) for c in _REPORT})
 
 
+@query(
+    "slice_metrics_gaps",
+    f"""WITH {views.GAPPY}, predicted AS (
+      SELECT coalesce(event_type, '?') AS slice, label, CASE WHEN coalesce(value, 0) >= 20 THEN 1 ELSE 0 END AS prediction FROM gappy),
+    truth AS (SELECT slice, label AS class, count(*) AS t, count(*) FILTER (label = prediction) AS h FROM predicted GROUP BY slice, label),
+    guesses AS (SELECT slice, prediction AS class, count(*) AS g FROM predicted GROUP BY slice, prediction),
+    per_class AS (SELECT slice, t, h, coalesce(h / g::DOUBLE, 0) AS precision, h / t::DOUBLE AS recall FROM truth LEFT JOIN guesses USING (slice, class))
+    SELECT nullif(slice, '?') AS event_type, CAST(sum(t) AS BIGINT) AS rows, round(sum(h) / sum(t), 6) AS accuracy,
+      round(sum(t * precision) / sum(t), 6) AS weighted_precision, round(sum(t * recall) / sum(t), 6) AS weighted_recall,
+      round(sum(t * coalesce(2 * precision * recall / nullif(precision + recall, 0), 0)) / sum(t), 6) AS weighted_f1
+    FROM per_class GROUP BY slice""",
+)
+def slice_metrics_gaps(spark, sf_dir):
+    """The report with a null slice."""
+    rows = views.gappy_interactions(spark, sf_dir).withColumn("score", F.coalesce("value", F.lit(0.0)))
+    report = binary_eval.classification_report(binary_eval.with_prediction(rows, "score", 20.0), groups=["event_type"])
+    return report.withColumns({c: F.round(c, 6) for c in _REPORT})
+
+
 @query(
     "accuracy",
     f"""WITH {_SCORES}, hit AS (SELECT CASE WHEN (score >= 20) = (label = 1) THEN 1.0::DOUBLE ELSE 0 END AS h FROM scores)

@@ -59,12 +59,11 @@ _TAG_PARTS = f"""WITH {views.TAGS}, split AS (
     "tag_hash",
     f"""WITH {views.TAGS}, words AS (
       SELECT item_id, unnest({_terms(_parts('tags'))}) AS term FROM tags)
-    SELECT item_id, term, {sql_tag_hash('term')} AS h, {sql_tag_hash('term', 54321)} AS h2
-    FROM words WHERE term <> ''""",
+    SELECT item_id, term, {sql_tag_hash('term')} AS h, {sql_tag_hash('term', 54321)} AS h2 FROM words""",
 )
 def hash_of_tags(spark, sf_dir):
     words = views.tags(spark, sf_dir).select("item_id", F.explode(tags.tag_names(F.col("tags"))).alias("term"))
-    return words.where(F.col("term") != "").select(
+    return words.select(
         "item_id", "term", tag_hash.tag_hash(F.col("term")).alias("h"), tag_hash.tag_hash(F.col("term"), 54321).alias("h2")
     )
 
@@ -164,7 +163,7 @@ def tag_vocabulary(spark, sf_dir):
     return profile.tag_vocabulary(views.tags(spark, sf_dir), "tags")
 
 
-_VOCABULARY = f"vocabulary AS (SELECT DISTINCT unnest({_parts('tags')}) AS tag FROM tags WHERE tags <> '')"
+_VOCABULARY = f"vocabulary AS (SELECT DISTINCT unnest({_parts('tags')}) AS tag FROM tags)"
 
 
 @query(
@@ -173,8 +172,7 @@ _VOCABULARY = f"vocabulary AS (SELECT DISTINCT unnest({_parts('tags')}) AS tag F
     SELECT CAST({sql_tag_hash('tag')} % 300 AS INTEGER) AS bucket, count(*) AS tags FROM vocabulary GROUP BY 1""",
 )
 def hash_collisions(spark, sf_dir):
-    rows = views.tags(spark, sf_dir).where(F.col("tags") != "")
-    return profile.hash_collisions(rows, "tags")
+    return profile.hash_collisions(views.tags(spark, sf_dir), "tags")
 
 
 @query("hash_collisions_64")
@@ -479,7 +477,7 @@ def score_normalise(spark, sf_dir):
     f"WITH {views.INTERACTIONS} SELECT device_id, label_date AS dt, feed_id FROM interactions WHERE label = 1",
 )
 def history_text_items(spark, sf_dir):
-    """Round trip: histories written as blank-joined text, read back item by item."""
+    """Items of histories that are kept as blank-joined texts."""
     rows = views.interactions(spark, sf_dir)
     history = sequences.as_text(sequences.user_history(rows, F.col("label_date")), "feeds")
     return similarity.history_items(history)

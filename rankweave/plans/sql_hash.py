@@ -19,12 +19,12 @@ def _factor(constant: int) -> int:
 
 
 def sql_tag_hash(word: str, seed: int = th.DEFAULT_SEED) -> str:
-    """SQL for the hash of a non-empty string of basic-plane characters."""
+    """SQL for the hash of a string of basic-plane characters."""
     scaled = _wrap(f"u * ({_factor(th.UNIT_FACTOR)})")
     mixed = f"({_wrap(f'{scaled} * 32768')} | (h >> 17))"
     turned = _let(f"xor(h, {_wrap(f'{mixed} * {th.MIX_FACTOR}')})", f"({_wrap('v * 8192')} | (v >> 19))")
     step = _wrap(f"{turned} * {th.STEP_FACTOR} + ({_factor(th.STEP_OFFSET)})")
-    units = f"list_transform(string_split({word}, ''), lambda ch: CAST(unicode(ch) AS BIGINT))"
+    units = f"list_transform(list_filter(string_split({word}, ''), lambda ch: ch <> ''), lambda ch: CAST(unicode(ch) AS BIGINT))"
     state = f"list_reduce(list_prepend(CAST({seed} AS BIGINT), {units}), lambda h, u: {step})"
     state = f"xor({state}, length({word}))"
     state = _wrap(f"{_let(state, 'xor(v, v >> 16)')} * ({_factor(th.FINAL_FACTOR_1)})")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,34 @@ def read_tsv(spark: SparkSession, paths: Sequence[str], schema: T.StructType, ba
     return reader.csv(list(paths))
 
 
+def parse_log(lines: DataFrame, schema: T.StructType = FEATURE_LOG) -> DataFrame:
+    """Rows of tab-separated text lines (column `value`); empty fields are null."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    row = F.from_csv("value", columns, {"sep": "\t"})
+    return lines.select(row.alias("_row")).select("_row.*")
+
+
+def format_log(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as tab-separated text lines (column `value`); nulls become empty fields."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return df.select(F.concat_ws("\t", *fields).alias("value"))
+
+
+def in_training_days(day: Column, train_day: Column, days: int = 7) -> Column:
+    """Rows of the training day and the `days` before it. On a `dt` partition column only their folders are read."""
+    return day.cast("date").between(F.date_sub(train_day.cast("date"), days), train_day.cast("date"))
+
+
+def in_evaluation_days(day: Column, eval_day: Column, days: int = 1) -> Column:
+    """Rows of the `days + 1` days from the day after `eval_day`."""
+    return day.cast("date").between(F.date_add(eval_day.cast("date"), 1), F.date_add(eval_day.cast("date"), days + 1))
+
+
+def in_realtime_evaluation_days(day: Column, eval_day: Column, days: int) -> Column:
+    """Rows of `eval_day` itself and the `days` after it."""
+    return day.cast("date").between(eval_day.cast("date"), F.date_add(eval_day.cast("date"), days))
+
+
 def day_paths(root: str, days: Sequence[str], file_name: str = "") -> list[str]:
     """Partition folders `root/dt=<day>`, or one file in each."""
     return [f"{root}/dt={day}" + (f"/{file_name}" if file_name else "") for day in days]
@@ -76,15 +104,16 @@ def realtime_log(
     days: int,
     name: str = "train",
     schema: T.StructType = FEATURE_LOG,
-    order: Sequence[str] = ("timestamp",),
+    order: Sequence[str] = ("timestamp", "label_date", "r_source", "ctr_7", "feed_type"),
 ) -> DataFrame:
     """Hourly files `root/<day>/*/part-*`, reduced to the best label of each impression.
 
-    Training reads `days` back from `day`, evaluation `days` forward from `day` itself.
+    Training reads `days` back from `day`, evaluation `days` forward from `day` itself. Columns of `order` settle which
+    row stays among equal labels; without enough of them it would depend on the partitioning.
     """
     wanted = train_days(day, days) if name == "train" else realtime_eval_days(day, days)
     rows = read_tsv(spark, [f"{root}/{d}/*/part-*" for d in wanted], schema)
-    return best_label(rows, [F.col(c) for c in order])
+    return best_label(rows, [F.col(c) for c in order if c in schema.names])
 
 
 def literal_rows(
@@ -113,9 +142,13 @@ def evaluation_rows(
 
 
 def read_ratings(spark: SparkSession, *paths: str) -> DataFrame:
+    return parse_ratings(spark.read.text(list(paths)))
+
+
+def parse_ratings(lines: DataFrame) -> DataFrame:
     """(device_id, feed_id, rating) of `device::item::score` lines; item ids lose two digits, scores are capped."""
     parts = F.split("value", "::")
-    return spark.read.text(list(paths)).select(
+    return lines.select(
         parts[0].alias("device_id"),
         item_family(parts[1]).alias("feed_id"),
         capped_rating(parts[2].cast("double")).alias("rating"),
@@ -126,7 +159,11 @@ def read_labels(
     spark: SparkSession, root: str, day: str, schema: T.StructType = FEATURE_LOG, file_name: str = ""
 ) -> DataFrame:
     """(device_id, feed_id, label) of the day after `day`."""
-    rows = read_days(spark, root, [shifted(day, 1)], schema, file_name)
+    return label_columns(read_days(spark, root, [shifted(day, 1)], schema, file_name))
+
+
+def label_columns(rows: DataFrame) -> DataFrame:
+    """(device_id, feed_id, label) of log rows; item ids lose two digits."""
     return rows.select("device_id", item_family(F.col("feed_id")).alias("feed_id"), "label")
 
 

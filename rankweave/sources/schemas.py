@@ -30,6 +30,7 @@ _TYPES = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleTy
 
 
 def _schema(columns: str) -> T.StructType:
+    """Pairs of a name and a type, without a session: Spark's own DDL parser needs a running one."""
     pairs = [column.split() for column in columns.replace("\n", " ").split(",")]
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
