@@ -72,7 +72,7 @@ class Recommender:
         indexed = pairs
         if not set(indexes) <= set(pairs.columns):
             by_user = with_index(pairs, self.users, self.user_column)
-            indexed = with_index(by_user, self.items, self.item_column, sized_by=pairs)
+            indexed = with_index(by_user, self.items, self.item_column)
         return self.model.transform(indexed).drop(*indexes)
 
 
@@ -117,7 +117,7 @@ def fit_als(
     rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(*columns)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     users, items = tables or index_tables(rows, user, item)
-    indexed = rows if ready else with_index(with_index(rows, users, user), items, item, sized_by=rows)
+    indexed = rows if ready else with_index(with_index(rows, users, user), items, item)
     als = ALS(
         userCol=indexes[0],
         itemCol=indexes[1],
@@ -239,7 +239,7 @@ def cross_validate(
     user, item = estimator.getOrDefault(estimator.userCol), estimator.getOrDefault(estimator.itemCol)
     users, items = estimator.tables = index_tables(ratings, user, item)
     # Written once: folds of a recomputed table could overlap.
-    ratings = cut_lineage(with_index(with_index(ratings, users, user), items, item, sized_by=ratings))
+    ratings = cut_lineage(with_index(with_index(ratings, users, user), items, item))
     grid = ParamGridBuilder().addGrid(estimator.rank, list(ranks)).addGrid(estimator.maxIter, list(iterations)).build()
     evaluator = RankingMetricsEvaluator(
         predictionCol="recommendations", labelCol="label", metricName=metric, topK=top_k
@@ -267,7 +267,7 @@ def cross_validate_rmse(
 ) -> DataFrame:
     """(rank, iterations, rmse): the same search by rating error, best first."""
     users, items = tables = index_tables(ratings, user, item)
-    indexed = with_index(with_index(ratings, users, user), items, item, sized_by=ratings)
+    indexed = with_index(with_index(ratings, users, user), items, item)
     # Written once: a split of a recomputed table could put a row into two parts.
     parts = cut_lineage(indexed).randomSplit([1.0] * folds, seed)
     rows = []

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.functions.tags import MISSING_TAG
-from rankweave.operators.joins import SHARE_ROWS, skew_safe_join
+from rankweave.operators.joins import skew_safe_join
 
 ID_COLUMNS = ("device_id", "feed_id", "label_date", "timestamp")
 LABEL_KEY = ("label_date", "device_id", "feed_id")
@@ -93,18 +93,24 @@ def multi_record_users(
     item: str = "feed_id",
     min_records: int = 2,
     salt_by: Sequence[str] | None = None,
-    share_rows: int = SHARE_ROWS,
+    share_rows: int | None = None,
 ) -> DataFrame:
-    """Rows of users that have at least `min_records` rows with an item."""
-    users = df.groupBy(user).agg(F.count(item).alias("_records")).where(F.col("_records") >= min_records).select(user)
-    return skew_safe_join(df, users, [user], "left_semi", salt_by, share_rows)
+    """Rows of users that have at least `min_records` rows with an item.
+
+    With `share_rows`, users with more rows than that are split over several tasks, by the same counts.
+    """
+    counts = df.groupBy(user).agg(F.count(item).alias("_records"), F.count(F.lit(1)).alias("_rows"))
+    users = counts.where(F.col("_records") >= min_records).select(user)
+    if share_rows is None:
+        return skew_safe_join(df, users, [user], "left_semi")
+    return skew_safe_join(df, users, [user], "left_semi", salt_by, share_rows, counts)
 
 
 def best_label_of_repeat_users(
     df: DataFrame,
     tie_break: Sequence[Column] = (),
     salt_by: Sequence[str] | None = None,
-    share_rows: int = SHARE_ROWS,
+    share_rows: int | None = None,
 ) -> DataFrame:
     """`best_label` followed by `multi_record_users`, with the users found first.
 
@@ -114,10 +120,12 @@ def best_label_of_repeat_users(
     """
     pair = F.struct("label_date", "feed_id")
     pairs = df.where(F.col("feed_id").isNotNull()).groupBy("device_id").agg(
-        F.min(pair).alias("_low"), F.max(pair).alias("_high")
+        F.min(pair).alias("_low"), F.max(pair).alias("_high"), F.count(F.lit(1)).alias("_rows")
     )
     users = pairs.where(F.col("_low") != F.col("_high")).select("device_id")
-    return best_label(skew_safe_join(df, users, ["device_id"], "left_semi", salt_by, share_rows), tie_break)
+    if share_rows is None:
+        return best_label(skew_safe_join(df, users, ["device_id"], "left_semi"), tie_break)
+    return best_label(skew_safe_join(df, users, ["device_id"], "left_semi", salt_by, share_rows, pairs), tie_break)
 
 
 def active_users(df: DataFrame, min_days: int = 3, user: str = "device_id", date: str = "label_date") -> DataFrame:

@@ -38,7 +38,7 @@ def index_ids(df: DataFrame, column: str, output: str) -> DataFrame:
 
 
 def with_index(
-    df: DataFrame, index: DataFrame, column: str, how: str = "inner", sized_by: DataFrame | None = None
+    df: DataFrame, index: DataFrame, column: str, how: str = "inner", counts: DataFrame | None = None
 ) -> DataFrame:
     """`df` with the index column of `index_ids` joined on."""
-    return skew_safe_join(df, index, [column], how, sized_by=sized_by)
+    return skew_safe_join(df, index, [column], how, counts=counts)

@@ -16,18 +16,23 @@ MAX_HOT_KEYS = 10_000
 _NULL_KEY_SHARES = 1024
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share_rows: int = SHARE_ROWS) -> DataFrame | None:
-    """(keys, _shares) of all keys with more than `share_rows` rows; None when there are none.
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _rows): rows per key. One table of a log's keys serves filters on counts and all joins of that log."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
-    This runs one job that reads the key columns only and combines on the map side. Up to MAX_HOT_KEYS keys come back
-    as a local table marked for broadcasting; a longer list stays a distributed one, and every key in it is split too.
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], share_rows: int = SHARE_ROWS) -> DataFrame | None:
+    """(keys, _shares) of all keys with more than `share_rows` rows in `key_counts`; None when there are none.
+
+    Up to MAX_HOT_KEYS keys come back as a local table marked for broadcasting; a longer list stays a distributed one,
+    and every key in it is split too. This runs a job over the counts.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > share_rows)
-    found = counts.select(*keys, F.ceil(F.col("_rows") / F.lit(share_rows)).cast("int").alias("_shares"))
+    shares = F.ceil(F.col("_rows") / F.lit(share_rows)).cast("int").alias("_shares")
+    found = counts.where(F.col("_rows") > share_rows).select(*keys, shares)
     rows = found.limit(MAX_HOT_KEYS + 1).collect()
     if len(rows) > MAX_HOT_KEYS:
         return found
-    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema)) if rows else None
+    return F.broadcast(counts.sparkSession.createDataFrame(rows, found.schema)) if rows else None
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -53,19 +58,19 @@ def skew_safe_join(
     how: str = "left",
     salt_by: Sequence[str] | None = None,
     share_rows: int = SHARE_ROWS,
-    sized_by: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of a large, possibly skewed `left` with `right`, which is unique or narrow per key.
 
-    Without hot keys this is the plain join: adaptive execution broadcasts a small right side by its measured size.
-    With hot keys, their rows are spread over shares by a hash of `salt_by` (all columns by default; name an id column
+    Without `counts` this is the plain join and starts no job: adaptive execution broadcasts a small right side by its
+    measured size and splits skewed partitions. With the `key_counts` of the left side, rows of hot keys are spread over shares by a hash of `salt_by` (all columns by default; name an id column
     when many rows are exact copies) and the matching right rows are copied into each share. A row's share depends on
     its values only, so a task that is run again after a lost executor puts it in the same place.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} cannot be split on the left")
     on = list(on)
-    hot = hot_keys(left if sized_by is None else sized_by, on, share_rows)
+    hot = None if counts is None else hot_keys(counts, on, share_rows)
     if hot is None:
         return left.join(right, on, how)
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)])

@@ -23,16 +23,16 @@ def previous_day_vectors(
     output: str,
     salt_by: Sequence[str] | None = None,
     share_rows: int = SHARE_ROWS,
-    sized_by: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Append the embedding of `id_column` from the day before `label_date`; zeros when there is none.
 
-    `vectors` has (id, dt, vec), one row per id and day. Popular ids are split over several tasks; `sized_by` is a
-    cheaper table with the same ids and dates to find them in.
+    `vectors` has (id, dt, vec), one row per id and day. With `counts`, the `key_counts` of (id, label_date), popular
+    ids are split over several tasks; without, that is left to adaptive execution.
     """
     before = shift_date(F.col("label_date"), -1)
     keyed = df.withColumn("_day", before)
-    sizes = None if sized_by is None else sized_by.withColumn("_day", before)
+    sizes = None if counts is None else counts.withColumn("_day", before)
     table = vectors.select(F.col("id").alias(id_column), F.col("dt").alias("_day"), F.col("vec").alias(output))
     joined = skew_safe_join(keyed, table, [id_column, "_day"], "left", salt_by, share_rows, sizes)
     return joined.select(*df.columns, F.coalesce(F.col(output), zero_array(width)).alias(output))
@@ -56,7 +56,7 @@ def history_profiles(items: DataFrame, vectors: DataFrame, width: int, history_o
     """
     dated = items.withColumn("label_date", shift_date(F.col("dt"), -history_offset))
     counted = dated.groupBy("device_id", "label_date", "feed_id").agg(F.count(F.lit(1)).alias("_times"))
-    looked_up = previous_day_vectors(counted, vectors, "feed_id", width, "_vec", sized_by=dated)
+    looked_up = previous_day_vectors(counted, vectors, "feed_id", width, "_vec")
     unit = looked_up.select("device_id", "label_date", "_times", normalized(F.col("_vec")).alias("_unit"))
     sums = [F.sum(F.col("_unit")[i] * F.col("_times")) for i in range(width)]
     return unit.groupBy("device_id", "label_date").agg(
@@ -81,7 +81,7 @@ def add_history_similarity(
     """
     profiles = history_profiles(items, vectors, width, history_offset)
     with_vector = previous_day_vectors(df, vectors, "feed_id", width, vector_column, salt_by=salt_by)
-    joined = skew_safe_join(with_vector, profiles, ["device_id", "label_date"], "left", salt_by, sized_by=df)
+    joined = skew_safe_join(with_vector, profiles, ["device_id", "label_date"], "left", salt_by)
     similarity = dot(normalized(F.col(vector_column)), F.col("_profile")) / F.col("_items")
     return joined.select(*df.columns, vector_column, F.coalesce(similarity, F.lit(0.0)).alias(output))
 
@@ -100,9 +100,11 @@ BLOCK_ROWS = 50_000
 SCORE_CELLS = 8_000_000
 
 
-def _block_count(df: DataFrame, block_rows: int, least: int) -> int:
-    """Blocks of at most `block_rows` on average; small data still gets up to `least` blocks to work in parallel."""
-    rows = df.select("id").count()
+def _block_count(df: DataFrame, rows: int | None, block_rows: int, least: int) -> int:
+    """Blocks of at most `block_rows` on average; small data still gets up to `least` blocks to work in parallel.
+
+    Rows that are not given are counted, which runs a job over the input."""
+    rows = df.select("id").count() if rows is None else rows
     return max(math.ceil(rows / block_rows), min(least, math.ceil(rows / 256)), 1)
 
 
@@ -112,17 +114,20 @@ def top_n_by_dot(
     n: int,
     exclude_same_id: bool = False,
     block_rows: int = BLOCK_ROWS,
+    query_rows: int | None = None,
+    item_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, item_id, score, rank): exact top `n` items by inner product for each query.
 
     Both inputs are (id, vec). They are hashed into blocks of bounded size; each pair of blocks is one matrix product
-    inside a task, which hands on only its `n` best per query. The final ranking merges those lists. Work spreads
+    inside a task, which hands on only its `n` best per query. The final ranking merges those lists. Give the numbers of
+    rows where they are known. Work spreads
     over query blocks x item blocks tasks, nothing is broadcast and no pair of rows is ever materialised.
     """
     spark = queries.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
-    query_blocks = _block_count(queries, block_rows, parallelism)
-    item_blocks = _block_count(items, block_rows, 1)
+    query_blocks = _block_count(queries, query_rows, block_rows, parallelism)
+    item_blocks = _block_count(items, item_rows, block_rows, 1)
     id_types = {f.name: f.dataType.simpleString() for f in queries.select("id").schema.fields}
     item_type = items.select("id").schema[0].dataType.simpleString()
 

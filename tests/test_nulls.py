@@ -72,7 +72,7 @@ def test_scores_of_a_null_group(spark):
 def test_every_hot_key_is_split(spark, monkeypatch):
     monkeypatch.setattr(joins, "MAX_HOT_KEYS", 2)
     left = spark.createDataFrame([(k % 5, k) for k in range(100)], "k int, v int")
-    assert joins.hot_keys(left, ["k"], 10).count() == 5
+    assert joins.hot_keys(joins.key_counts(left, ["k"]), ["k"], 10).count() == 5
     right = spark.createDataFrame([(k, str(k)) for k in range(5)], "k int, name string")
-    joined = joins.skew_safe_join(left, right, ["k"], share_rows=10).collect()
+    joined = joins.skew_safe_join(left, right, ["k"], share_rows=10, counts=joins.key_counts(left, ["k"])).collect()
     assert len(joined) == 100 and all(r.name == str(r.k) for r in joined)

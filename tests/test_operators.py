@@ -18,7 +18,7 @@ from rankweave.functions.scores import gaussian_cdf, normalize_scores, sigmoid
 from rankweave.functions.vectors import cosine_similarity, sparse_vector
 from rankweave.operators import binary_eval, cleaning, profile, ranking_eval, sequences, similarity
 from rankweave.operators.indexing import index_ids
-from rankweave.operators.joins import hot_keys, skew_safe_join
+from rankweave.operators.joins import hot_keys, key_counts, skew_safe_join
 
 BYTE_HASHES = {
     "test": (-1167338989, -2353579381090595187, [-6017608668500074083, -7344664891132916350]),
@@ -50,16 +50,16 @@ def test_skew_join_equals_plain_join(spark, how):
     left = spark.createDataFrame(skewed_rows(), "id long, k string, x int").repartition(3)
     right = spark.createDataFrame([("hot", 1), ("a", 2), ("a", 3), ("z", 4)], "k string, y int")
     expected = sorted(map(repr, left.join(right, ["k"], how).collect()))
-    found = skew_safe_join(left, right, ["k"], how, salt_by=["id"], share_rows=10)
+    found = skew_safe_join(left, right, ["k"], how, salt_by=["id"], share_rows=10, counts=key_counts(left, ["k"]))
     assert sorted(map(repr, found.select(left.join(right, ["k"], how).columns).collect())) == expected
     assert "_share" not in found.columns
 
 
 def test_hot_keys(spark):
     left = spark.createDataFrame(skewed_rows(), "id long, k string, x int")
-    hot = {r["k"]: r["_shares"] for r in hot_keys(left, ["k"], 100).collect()}
+    hot = {r["k"]: r["_shares"] for r in hot_keys(key_counts(left, ["k"]), ["k"], 100).collect()}
     assert set(hot) == {"hot"} and hot["hot"] >= 2
-    assert hot_keys(left, ["k"], 1000) is None
+    assert hot_keys(key_counts(left, ["k"]), ["k"], 1000) is None
 
 
 def event_rows(n=300, seed=5):
@@ -400,3 +400,19 @@ def test_plans_read_needed_columns_only(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
     sequences_plan = sequences.user_sequences(views.interactions(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     assert "event_type" in sequences_plan and "value" not in sequences_plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_building_a_join_starts_no_job(spark):
+    rows = spark.range(10).selectExpr("id", "CAST(id % 3 AS STRING) AS device_id", "CAST(id AS STRING) AS feed_id", "1 AS label", "'2024-01-02' AS label_date")
+    vectors = spark.range(3).selectExpr("CAST(id AS STRING) AS id", "'2024-01-01' AS dt", "array(1.0D, 2.0D) AS vec")
+    items = rows.select("device_id", rows.label_date.alias("dt"), "feed_id")
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        cleaning.multi_record_users(rows)
+        cleaning.best_label_of_repeat_users(rows)
+        similarity.previous_day_vectors(rows, vectors, "feed_id", 2, "v")
+        similarity.add_history_similarity(rows, items, vectors, 2)
+        similarity.top_n_by_dot(vectors, vectors, 2, query_rows=3, item_rows=3)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
