@@ -140,6 +140,19 @@ def rule_label(text: str, kind: int, start: int, end: int) -> int | None:
     return None
 
 
+def spoiled(text: str, kind: int, start: int, end: int) -> tuple[str, tuple[int, int, int]] | None:
+    """The text with an address or card number made impossible, and where it stands: a sure example of no personal data."""
+    body = text[start:end]
+    if kind == 1:
+        first, dot, rest = body.partition(".")
+        body = f"{300 + int(first) % 600}{dot}{rest}"
+    elif kind == 2:
+        body = body[:-1] + str((int(body[-1]) + 1 + start % 8) % 10)
+    else:
+        return None
+    return text[:start] + body + text[end:], (kind, start, start + len(body))
+
+
 @dataclass
 class Model:
     """Trees and, for each kind, the least probability for redaction (over 1: never)."""
@@ -205,8 +218,8 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 def fit(docs: DataFrame, settings: Settings = Settings(), *, id: str = "doc_id", text: str = "text") -> Model:
     """Train on the candidates of at most `settings.rows` documents, the first by a hash of the id.
 
-    There are no tables of labelled personal data, so rules label what they are sure of (`rule_label`); what they cannot
-    tell is not trained on, but scored like the rest. Null ids are not sampled. One task trains on that bounded sample.
+    There are no tables of labelled personal data, so rules label what they are sure of (`rule_label`), and each address
+    and card number found is a counterexample once spoiled; what the rules cannot tell is only scored. Null ids are not sampled. One task trains on that bounded sample.
     """
     ids = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(settings.rows)
     texts = docs.select(F.col(id).alias("_id"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("text").alias("text"))
@@ -219,6 +232,9 @@ def fit(docs: DataFrame, settings: Settings = Settings(), *, id: str = "doc_id",
                     found = [(c, y) for c in candidates(value) if (y := rule_label(value, *c)) is not None]
                     rows += features(value, [c for c, _ in found]).tolist()
                     labels += [y for _, y in found]
+                    for changed, span in filter(None, (spoiled(value, *c) for c, y in found if y)):
+                        rows += features(changed, [span]).tolist()
+                        labels.append(0)
             yield pa.record_batch([pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32())], names=["x", "y"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
