@@ -16,6 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.llm.text import frugal, give_back
+
 #: Text bytes in one chunk, the unit in which documents wait for the ids of their words.
 CHUNK_BYTES = 8 << 20
 #: Words in one batch of results.
@@ -162,7 +164,7 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
         if ids:
             yield chunk()
 
-    chunks = thin.mapInArrow(pack, f"chunk long, ids array<{kind}>, counts array<int>, numbers binary, lengths binary, words binary").repartition("chunk")
+    chunks = thin.mapInArrow(frugal(pack), f"chunk long, ids array<{kind}>, counts array<int>, numbers binary, lengths binary, words binary").repartition("chunk")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,8 +191,8 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
             yield pa.record_batch([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "bucket", "sizes", "tokens"])
 
     # All columns, as the cogroup below: a narrower projection would move under the shuffle and make it a second one.
-    asked = chunks.mapInArrow(ask, "bucket int, chunk long, lengths binary, words binary")
-    answers = asked.repartition("bucket").mapInArrow(answer, "chunk long, bucket int, sizes binary, tokens binary")
+    asked = chunks.mapInArrow(frugal(ask), "bucket int, chunk long, lengths binary, words binary")
+    answers = asked.repartition("bucket").mapInArrow(frugal(answer), "chunk long, bucket int, sizes binary, tokens binary")
 
     def place_back(left: Iterator[pa.RecordBatch], right: pa.Table) -> Iterator[pa.RecordBatch]:
         order = np.argsort(right.column("bucket").to_numpy(), kind="stable") if right.num_rows else []
@@ -223,6 +225,7 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
                 first = last
 
     def group(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         rows = []
         for k in range(left.num_rows):
             row = {c: left.column(c)[k].as_py() for c in ("counts", "numbers", "lengths", "words")}
@@ -280,5 +283,5 @@ def decode(encoded: DataFrame, vocabulary: str, *, id: str = "doc_id", ids: str
                 yield pa.record_batch([batch.column("id").slice(first, last - first), numbers, pa.array(texts, pa.string())], names=["id", "ids", "text"])
                 first = last
 
-    found = thin.mapInArrow(run, f"id {dict(thin.dtypes)['id']}, ids array<int>, text string")
+    found = thin.mapInArrow(frugal(run), f"id {dict(thin.dtypes)['id']}, ids array<int>, text string")
     return found.select(F.col("id").alias(id), F.col("ids").alias(ids), F.col("text").alias(text))

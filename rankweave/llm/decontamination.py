@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.llm.text import LOWER, byte_table, ngram_hashes, pieces, runs, span_hashes
+from rankweave.llm.text import LOWER, byte_table, frugal, ngram_hashes, pieces, runs, span_hashes
 
 _WORD = byte_table([*range(ord("a"), ord("z") + 1), *range(ord("0"), ord("9") + 1), *range(0x80, 0x100)])
 _SLOT_BITS = 20
@@ -177,7 +177,7 @@ def _rare(index: Index, thin: DataFrame, s: Settings) -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(np.append(found, -1)), pa.array(np.append(total[found], rows_seen))], names=["seed", "n"])
 
-    counted = thin.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
+    counted = thin.select("text").mapInArrow(frugal(count), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
     documents = np.zeros(len(index.seeds) + 1, np.int64)  # the last place, -1, has all documents
     documents[counted["seed"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     limit = np.full(len(index.seeds), s.rare_rows + s.rare_share * documents[-1])
@@ -213,7 +213,7 @@ def _searched(docs: DataFrame, ids: pa.Array, texts: pa.Array, s: Settings, id:
             yield pa.record_batch([batch.column("id"), pa.ListArray.from_arrays(pa.array(np.cumsum(cuts), pa.int32()), leaks)], names=["id", "leaks"])
 
     kind = dict(thin.dtypes)["id"]
-    return thin.mapInArrow(run, f"id {kind}, leaks array<struct<item: {item_type}, score: double, points: bigint, start: bigint, end: bigint>>")
+    return thin.mapInArrow(frugal(run), f"id {kind}, leaks array<struct<item: {item_type}, score: double, points: bigint, start: bigint, end: bigint>>")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), *, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:

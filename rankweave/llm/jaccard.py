@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.llm.graph import components
-from rankweave.llm.text import mix, pieces, shingle_sets
+from rankweave.llm.text import frugal, give_back, mix, pieces, shingle_sets
 from rankweave.llm.storage import settle
 
 #: Text bytes in one chunk of documents.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 _MAX_BAND = 40
 #: Elements are counted by so many classes of their hashes.
 _CLASSES = 32
@@ -280,6 +280,7 @@ def _choose(found: Signatures, own: np.ndarray, probing: np.ndarray, stands: np.
 
 def _suspects(segments: Segments, buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         out: list[list] = [[], [], [], [], [], [], [], [], [], []]
         packed = sorted(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist(), strict=True))
         for ids, offsets, texts in zip(*(left.column(c).to_pylist() for c in ("ids", "offsets", "texts")), strict=True):
@@ -335,9 +336,9 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     thin = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    chunks = thin.mapInArrow(_pack, "chunk long, ids array<long>, offsets binary, texts binary").repartition("chunk")
-    asked = chunks.mapInArrow(_ask(segments, buckets), "bucket int, chunk long, steps binary, counts binary")
-    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "chunk long, bucket int, totals binary")
+    chunks = thin.mapInArrow(frugal(_pack), "chunk long, ids array<long>, offsets binary, texts binary").repartition("chunk")
+    asked = chunks.mapInArrow(frugal(_ask(segments, buckets)), "bucket int, chunk long, steps binary, counts binary")
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_answer), "chunk long, bucket int, totals binary")
     known = settle(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(segments, buckets), _SCHEMA))
 
     same = ["one", "two", "n"]
@@ -429,7 +430,7 @@ def _short_links(thin: DataFrame, sets: DataFrame) -> DataFrame:
                 cuts = np.searchsorted(rows, np.arange(len(offsets))).astype(np.int32)
                 yield pa.record_batch([batch.column("id").slice(first, len(offsets) - 1), pa.ListArray.from_arrays(pa.array(cuts), pa.array(shingles.view(np.int64)))], names=["id", "shingles"])
 
-    everything = thin.where("id is not null").mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id", "shingles"])
+    everything = thin.where("id is not null").mapInArrow(frugal(run), "id long, shingles array<long>").dropDuplicates(["id", "shingles"])
     wanted = short.select(F.col("id").alias("_id"), F.col("n").alias("_n"), F.explode("shingles").alias("e"))
     found = everything.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("e")).join(wanted, "e").where("id <> _id and 100 * least(n, _n) >= 75 * greatest(n, _n)")
     return _verified(found.select(F.col("id").alias("a"), F.col("_id").alias("b")).distinct(), everything)

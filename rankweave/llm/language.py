@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rankweave.llm.learning import held_out
-from rankweave.llm.text import LOWER, pieces
+from rankweave.llm.text import LOWER, frugal, pieces
 
 #: Bytes of context at most. A context and its symbol fit in 32 bits.
 ORDER = 3
@@ -181,7 +181,7 @@ def identify(docs: DataFrame, trees: ContextTrees, *, id: str = "doc_id", text:
             yield pa.record_batch([batch.column("id"), pa.array(names[best], pa.string()), pa.array(score), pa.array(rate)], names=["id", "lang_pred", "score", "bits_per_byte"])
 
     thin = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("readable"))
-    return thin.mapInArrow(run, f"id {dict(thin.dtypes)['id']}, lang_pred string, score double, bits_per_byte double").withColumnRenamed("id", id)
+    return thin.mapInArrow(frugal(run), f"id {dict(thin.dtypes)['id']}, lang_pred string, score double, bits_per_byte double").withColumnRenamed("id", id)
 
 
 def predict(docs: DataFrame, rows: int = 400, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.llm.text import frugal
+
 from rankweave.llm.boosting import Boosted, boost
 
 #: The kinds in the order in which spans are listed. The first four have base patterns.
@@ -247,9 +249,9 @@ def fit(docs: DataFrame, settings: Settings = Settings(), *, id: str = "doc_id",
             trees = m.trees
             yield pa.record_batch([pa.array([[trees.base], trees.feature.ravel().tolist(), trees.cut.ravel().tolist(), trees.leaf.ravel().tolist(), m.least, [float(len(trees.leaf))]], pa.list_(pa.float64()))], names=["v"])
 
-    described = texts.mapInArrow(describe, "x array<double>, y int")
+    described = texts.mapInArrow(frugal(describe), "x array<double>, y int")
     ordered = described.repartition(1).sortWithinPartitions(F.xxhash64("x"), "x", "y")
-    found = [r.v for r in ordered.mapInArrow(run, "v array<double>").collect()]
+    found = [r.v for r in ordered.mapInArrow(frugal(run), "v array<double>").collect()]
     if not found:
         return Model()
     base, feature, cut, leaf, least, (count,) = found
@@ -278,4 +280,4 @@ def find(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text
 
     thin = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = "array<struct<kind: string, start: bigint, end: bigint>>"
-    return thin.mapInArrow(run, f"id {dict(thin.dtypes)['id']}, base {kind}, spans {kind}, redacted string").withColumnRenamed("id", id)
+    return thin.mapInArrow(frugal(run), f"id {dict(thin.dtypes)['id']}, base {kind}, spans {kind}, redacted string").withColumnRenamed("id", id)

@@ -7,13 +7,14 @@ piece of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE_VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -22,6 +23,26 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _SHINGLE_FACTORS = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function over batches that hands freed memory back to the system at its end.
+
+    Spark keeps Python workers for later tasks, and several of them wait beside each running one."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than GNU's
+        pass
+
+
 def byte_table(members) -> np.ndarray:
     table = np.zeros(256, dtype=bool)
     table[list(members)] = True
