@@ -99,16 +99,17 @@ def fit_als(
     alpha: float = 1.0,
     implicit: bool = False,
     nonnegative: bool = False,
-    blocks: int = 10,
+    blocks: int | None = None,
     seed: int = 12345,
     tables: tuple[DataFrame, DataFrame] | None = None,
 ) -> Recommender:
     """Factorise (user, item, rating) rows; without `rating` every row counts 1.
 
     `tables` are the `index_tables` of these or of more ratings; rows that already carry both index columns are used
-    as they are.
+    as they are. `blocks` of users and of items are factorised side by side; the default follows the session's cores.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
+    blocks = blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
     indexes = [f"{user}_index", f"{item}_index"]
     ready = set(indexes) <= set(ratings.columns)
     value = F.col(rating).cast("float") if rating else F.lit(1.0).cast("float")
@@ -116,8 +117,6 @@ def fit_als(
     # Numbering, sizing the joins and fitting all read the rows; whatever they come from is computed once.
     rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(*columns)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    users, items = tables or index_tables(rows, user, item)
-    indexed = rows if ready else with_index(with_index(rows, users, user), items, item)
     als = ALS(
         userCol=indexes[0],
         itemCol=indexes[1],
@@ -133,8 +132,12 @@ def fit_als(
         coldStartStrategy="drop",
         seed=seed,
     )
-    model = als.fit(indexed.select(*indexes, "rating"))
-    rows.unpersist()
+    try:
+        users, items = tables or index_tables(rows, user, item)
+        indexed = rows if ready else with_index(with_index(rows, users, user), items, item)
+        model = als.fit(indexed.select(*indexes, "rating"))
+    finally:
+        rows.unpersist()
     return Recommender(model, users, items, user, item)
 
 

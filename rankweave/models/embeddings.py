@@ -17,15 +17,17 @@ def train_embeddings(
     window: int = 5,
     min_count: int = 5,
     iterations: int = 1,
-    partitions: int = 8,
+    partitions: int | None = None,
     step: float = 0.025,
     seed: int = 12345,
 ) -> DataFrame:
     """(id, vec): skip-gram vectors of the words of an array column.
 
     Each partition trains on its own sequences and the vectors are averaged per iteration, so more partitions train
-    faster and need more iterations. Long sequences may come in parts; training reads them in windows anyway.
+    faster and need more iterations; the default follows the session's cores. Long sequences may come in parts; training
+    reads them in windows anyway.
     """
+    partitions = partitions or max(8, sequences.sparkSession.sparkContext.defaultParallelism)
     model = Word2Vec(
         vectorSize=width,
         windowSize=window,

@@ -10,6 +10,7 @@ from rankweave.models import als, embeddings, ffm, fm, trees, tuning
 from rankweave.operators import binary_eval, ranking_eval, sequences
 from rankweave.plans import views
 from rankweave.plans.catalog import query
+from rankweave.session import cut_lineage
 
 WIDTH = views.VECTOR_WIDTH
 FACTORS = 4
@@ -192,7 +193,7 @@ def gbt_leaf_fm(spark, sf_dir):
 @query("stack_report")
 def stack_report(spark, sf_dir):
     """Areas and weighted metrics of the tree-leaf stack, overall and on the slice of each label."""
-    scored = gbt_leaf_lr(spark, sf_dir).persist()
+    scored = cut_lineage(gbt_leaf_lr(spark, sf_dir))
     whole = binary_eval.areas(scored).select(F.lit("all").alias("slice"), "auroc", "aupr")
     report = binary_eval.classification_report(scored, groups=["label"])
     slices = report.select(F.concat(F.lit("label "), F.col("label")).alias("slice"), "accuracy", "weighted_f1")
