@@ -12,13 +12,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rankweave.llm.learning import held_out
-from rankweave.llm.text import LOWER, frugal, pieces
+from rankweave.llm.text import LOWER, byte_table, frugal, pieces, runs
 
 #: Bytes of context at most. A context and its symbol fit in 32 bits.
 ORDER = 3
 UNKNOWN = "und"
 _PAD = 0x20
 _SLOT_BITS = 22
+_LETTER = byte_table([*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)])
+_WORD = byte_table([*range(ord("a"), ord("z") + 1), *range(ord("0"), ord("9") + 1), *range(0x80, 0x100)])
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -102,10 +104,14 @@ class ContextTrees:
 
     def text_bits(self, data: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> np.ndarray:
         """Exact code lengths (languages x texts) of whole texts."""
+        return self.text_and_span_bits(data, offsets, index, np.empty(0, int), np.empty(0, int))[0]
+
+    def text_and_span_bits(self, data: np.ndarray, offsets: np.ndarray, index: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`text_bits`, and the least code length that any language gives each span of bytes (not empty, in order)."""
         rows = len(offsets) - 1
-        out = np.zeros((len(self.languages), rows))
+        out, least = np.zeros((len(self.languages), rows)), np.full(len(starts), np.inf)
         if not len(data):
-            return out
+            return out, least
         codes = grams(data, offsets)
         at = index[_slot(codes)]
         miss = np.flatnonzero(self.grams[ORDER][at] != codes)
@@ -118,7 +124,42 @@ class ContextTrees:
             cost[miss] = 0
             out[l, full] = np.add.reduceat(cost, offsets[:-1][full])
             out[l] += np.bincount(owners, other_bits[l][back], minlength=rows)
-        return out
+            if len(starts):
+                cost[miss] = other_bits[l][back]
+                edges = np.stack([starts, ends], axis=1).ravel()
+                least = np.minimum(least, np.add.reduceat(np.append(cost, 0), edges)[::2])
+        return out, least
+
+
+def prose(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, rows) of the words without digits; of a text with none, of all its words."""
+    lower = LOWER[data]
+    starts, ends, rows = runs(_WORD[lower], offsets)
+    if not len(starts):
+        return starts, ends, rows
+    letters = np.append(0, np.cumsum(_LETTER[lower] > 0))
+    plain = letters[ends] - letters[starts] == ends - starts
+    some = np.zeros(len(offsets) - 1, bool)
+    some[rows[plain]] = True
+    kept = plain | ~some[rows]
+    return starts[kept], ends[kept], rows[kept]
+
+
+@dataclass
+class Norms:
+    """What each language's own texts need outside training: bits per byte of prose, and their spread per root of a byte.
+
+    A text fits if its words, each under the language that codes it shortest, need at most `factor` times the rate of
+    its best language, and `doubts` spreads more; short texts vary more, and their spread is larger.
+    """
+
+    rate: np.ndarray
+    spread: np.ndarray
+    factor: float = 1.6
+    doubts: float = 4.0
+
+    def fits(self, best: np.ndarray, bits: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return bits <= self.factor * self.rate[best] * size + self.doubts * self.spread[best] * np.sqrt(size)
 
 
 def _slot(codes: np.ndarray) -> np.ndarray:
@@ -135,6 +176,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([pa.array([names[first + i]] * len(seen), pa.string()), pa.array(seen.astype(np.int64)), pa.array(counts)], names=["lang", "code", "n"])
 
 
+def _sample(docs: DataFrame, rows: int, id: str, text: str, lang: str) -> DataFrame:
+    """(_id, lang, text) of at most `rows` labelled documents of each language, the first by a hash of the id."""
+    known = docs.where(F.col(lang).isNotNull() & F.col(id).isNotNull() & F.col(text).isNotNull())
+    ids = known.select(F.col(id).alias("_id"), F.col(lang).alias("lang"))
+    order = W.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
+    chosen = ids.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= rows).select("_id", "lang").distinct()
+    texts = known.select(F.col(id).alias("_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    return texts.join(F.broadcast(chosen), ["_id", "lang"]).groupBy("_id", "lang").agg(F.min("text").alias("text"))
+
+
 def fit(docs: DataFrame, rows: int = 400, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> ContextTrees:
     """Trees from at most `rows` whole documents of each language outside the held-out fold.
 
@@ -142,12 +193,7 @@ def fit(docs: DataFrame, rows: int = 400, *, id: str = "doc_id", text: str = "te
     `rows` ids for each language are broadcast, and each id counts once. Counting is a map over those texts and a sum;
     the driver gets the distinct 4-byte codes of the sample, and its size is bounded by the sample's, not the corpus's.
     """
-    known = docs.where(F.col(lang).isNotNull() & F.col(id).isNotNull() & F.col(text).isNotNull() & ~held_out(id))
-    ids = known.select(F.col(id).alias("_id"), F.col(lang).alias("lang"))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = ids.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= rows).select("_id", "lang").distinct()
-    texts = known.select(F.col(id).alias("_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sample = texts.join(F.broadcast(chosen), ["_id", "lang"]).groupBy("_id", "lang").agg(F.min("text").alias("text"))
+    sample = _sample(docs.where(~held_out(id)), rows, id, text, lang)
     counted = sample.select("lang", "text").mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     found = counted.toPandas()
     languages = sorted(found["lang"].unique())
@@ -155,8 +201,42 @@ def fit(docs: DataFrame, rows: int = 400, *, id: str = "doc_id", text: str = "te
     return ContextTrees.build(languages, found["code"].to_numpy(np.int64).astype(np.uint32), owners, found["n"].to_numpy(float))
 
 
-def identify(docs: DataFrame, trees: ContextTrees, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(`id`, lang_pred, score, bits_per_byte) for every row, from its whole text alone.
+def norms(docs: DataFrame, trees: ContextTrees, rows: int = 400, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Norms:
+    """The trees' norms from at most `rows` held-out labelled documents of each language, which no tree has learned from.
+
+    A language without such a document takes the largest rate and spread of the others; with none at all, any text fits.
+    """
+    index = trees.index() if trees.languages else None
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, found = batch.column("lang").to_pylist(), []
+            for first, _, data, offsets in pieces(batch.column("text")):
+                starts, ends, owners = prose(data, offsets)
+                _, bits = trees.text_and_span_bits(data, offsets, index, starts, ends)
+                size = (ends - starts).astype(float)
+                for row in np.unique(owners):
+                    b, n = bits[owners == row], size[owners == row]
+                    found.append((names[first + row], b.sum(), n.sum(), b @ b, b @ n, n @ n))
+            columns = list(zip(*found, strict=True)) or [[]] * 6
+            yield pa.record_batch([pa.array(columns[0], pa.string()), *(pa.array(c, pa.float64()) for c in columns[1:])], names=["lang", "b", "n", "bb", "bn", "nn"])
+
+    rate, spread = np.full((2, len(trees.languages)), np.nan)
+    if trees.languages:
+        sample = _sample(docs.where(held_out(id)), rows, id, text, lang).select("lang", "text")
+        sums = sample.mapInArrow(measure, "lang string, b double, n double, bb double, bn double, nn double").groupBy("lang")
+        for r in sums.agg(*[F.sum(c).alias(c) for c in ("b", "n", "bb", "bn", "nn")]).collect():
+            if r.lang in trees.languages and r.n:
+                at, mean = trees.languages.index(r.lang), r.b / r.n
+                rate[at], spread[at] = mean, np.sqrt(max(r.bb - 2 * mean * r.bn + mean**2 * r.nn, 0) / r.n)
+    if np.isnan(rate).all():
+        return Norms(np.full(len(rate), np.inf), np.zeros(len(rate)))
+    return Norms(np.where(np.isnan(rate), np.nanmax(rate), rate), np.where(np.isnan(spread), np.nanmax(spread), spread))
+
+
+def identify(docs: DataFrame, trees: ContextTrees, norms: Norms | None = None, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(`id`, lang_pred, score, bits_per_byte) for every row, from its whole text alone; with `norms`, also fits: whether
+    the text is in a learned language at all, which the score cannot tell.
 
     The prediction is the language with the shortest code (ties: the first by name); the score is its probability if all
     languages are equally likely beforehand. A null text, a text without a Unicode letter, or a model without languages
@@ -168,20 +248,25 @@ def identify(docs: DataFrame, trees: ContextTrees, *, id: str = "doc_id", text:
         names = np.array([*trees.languages, UNKNOWN], object)
         for batch in batches:
             size = batch.num_rows
-            best, score, rate = np.full(size, len(names) - 1), np.zeros(size), np.zeros(size)
+            best, score, rate, fits = np.full(size, len(names) - 1), np.zeros(size), np.zeros(size), np.zeros(size, bool)
             if trees.languages:
                 readable = np.asarray(batch.column("readable").to_numpy(zero_copy_only=False), bool)
                 for first, last, data, offsets in pieces(batch.column("text")):
-                    bits = trees.text_bits(data, offsets, index)
+                    starts, ends, owners = prose(data, offsets) if norms else [np.empty(0, int)] * 3
+                    bits, words = trees.text_and_span_bits(data, offsets, index, starts, ends)
                     least = bits.min(axis=0)
                     best[first:last] = bits.argmin(axis=0)
                     score[first:last] = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(axis=0)
                     rate[first:last] = least / np.maximum(np.diff(offsets), 1)
-                best[~readable], score[~readable], rate[~readable] = len(names) - 1, 0, 0
-            yield pa.record_batch([batch.column("id"), pa.array(names[best], pa.string()), pa.array(score), pa.array(rate)], names=["id", "lang_pred", "score", "bits_per_byte"])
+                    if norms:
+                        spent, spelt = (np.bincount(owners, w, minlength=last - first) for w in (words, ends - starts))
+                        fits[first:last] = norms.fits(best[first:last], spent, spelt)
+                best[~readable], score[~readable], rate[~readable], fits[~readable] = len(names) - 1, 0, 0, False
+            columns = {"id": batch.column("id"), "lang_pred": pa.array(names[best], pa.string()), "score": pa.array(score), "bits_per_byte": pa.array(rate)}
+            yield pa.record_batch(columns | ({"fits": pa.array(fits)} if norms else {}))
 
     thin = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("readable"))
-    return thin.mapInArrow(frugal(run), f"id {dict(thin.dtypes)['id']}, lang_pred string, score double, bits_per_byte double").withColumnRenamed("id", id)
+    return thin.mapInArrow(frugal(run), f"id {dict(thin.dtypes)['id']}, lang_pred string, score double, bits_per_byte double{', fits boolean' * bool(norms)}").withColumnRenamed("id", id)
 
 
 def predict(docs: DataFrame, rows: int = 400, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -1,6 +1,7 @@
 """The pipeline's stages, each against a plain version of its own input, and the registered queries."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -34,6 +35,21 @@ def test_language_keeps_readable_documents(spark, docs):
     assert kept.where("doc_id is null").first().lang == "es"
 
 
+def test_language_rejects_what_fits_no_learned_language(spark, docs):
+    rnd = random.Random(3)
+    noise = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 9))) for _ in range(80))
+    strange = [
+        "Il gatto nero dorme sul tappeto vicino alla finestra mentre la pioggia cade piano sul giardino e nessuno parla.",
+        "Kissa nukkuu ikkunan vieressä ja sade putoaa hiljaa puutarhaan, mutta kukaan ei puhu mitään.",
+        "Кошка спит у окна, а дождь тихо падает в сад, и никто ничего не говорит.", "猫は窓のそばで眠り、雨が静かに庭に降っている。", noise,
+    ]
+    known = [docs.where(f"doc_id < 9000 and lang = '{lang}'").orderBy("doc_id").first().text[:400] for lang in ("en", "fr", "de", "es")]
+    known += [known[0] + " " + known[1], known[0] + ' token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" 4762461758468721', "the of and"]
+    planted = spark.createDataFrame([(20000 + i, t, lang, "s", len(t)) for i, t in enumerate(strange + known) for lang in (None,)], docs.schema)
+    kept = STAGES["language"](spark, docs.unionByName(planted), SF).where("doc_id >= 20000")
+    assert sorted(r.doc_id - 20000 for r in kept.collect()) == list(range(len(strange), len(strange + known)))
+
+
 def test_one_document_of_each_group_stays(spark, docs):
     kept = STAGES["near_duplicates"](spark, docs, SF)
     assert kept.columns == docs.columns
