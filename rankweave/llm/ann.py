@@ -54,30 +54,34 @@ def dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Lists:
-    """The fitted lists and what a query needs besides: sizes, the sample with its lists, and the largest length."""
+    """The fitted lists and what a query needs besides: sizes, and the sample with its lists."""
 
     centres: np.ndarray
     sample_ids: np.ndarray
     sample: np.ndarray
     sample_list: np.ndarray
     sizes: np.ndarray
-    reach: float
     rotation: np.ndarray
 
     def nearness(self, x: np.ndarray) -> np.ndarray:
         """Smaller is nearer: squared distances to the centres, less the vector's own square."""
         return (self.centres**2).sum(axis=1) - 2 * x @ self.centres.T
 
-    def turned(self, x: np.ndarray) -> np.ndarray:
-        """Rotated vectors with one component more, which gives all the same length: then near is a large product."""
-        rest = np.sqrt(np.maximum(self.reach**2 - (x**2).sum(axis=1), 0))
+    def turned(self, x: np.ndarray, reach: float) -> np.ndarray:
+        """Rotated vectors with one component more, which gives all the length `reach`: then near is a large product."""
+        rest = np.sqrt(np.maximum(reach**2 - (x**2).sum(axis=1), 0))
         return (np.hstack([x, rest[:, None]]) @ self.rotation).astype(np.float32)
 
     def turned_queries(self, q: np.ndarray) -> np.ndarray:
         return (np.hstack([q, np.zeros((len(q), 1))]) @ self.rotation).astype(np.float32)
 
 
-def _fit(ids: np.ndarray, x: np.ndarray, count: int, reach: float, s: Settings) -> Lists:
+def norm_classes(x: np.ndarray) -> np.ndarray:
+    """Vectors of one class differ in length by a factor of 2 at most; lengths about 1 are within one class."""
+    return np.floor(np.log2(np.sqrt((x**2).sum(axis=1))) + 0.5).astype(np.int64)
+
+
+def _fit(ids: np.ndarray, x: np.ndarray, count: int, s: Settings) -> Lists:
     random = np.random.default_rng(s.seed)
     number = int(min(s.lists, max(1, np.sqrt(count)), len(x)))
     centres = x[random.permutation(len(x))[:number]].copy()
@@ -89,7 +93,7 @@ def _fit(ids: np.ndarray, x: np.ndarray, count: int, reach: float, s: Settings)
         centres = np.where(held[:, None] > 0, total / np.maximum(held, 1)[:, None], centres)
     home = ((centres**2).sum(axis=1) - 2 * x @ centres.T).argmin(axis=1)
     rotation = np.linalg.qr(random.standard_normal((x.shape[1] + 1, x.shape[1] + 1)))[0]
-    return Lists(centres, ids, x, home, np.zeros(number, np.int64), reach, rotation)
+    return Lists(centres, ids, x, home, np.zeros(number, np.int64), rotation)
 
 
 def _best(query: np.ndarray, score: np.ndarray, vector: np.ndarray, keep: int) -> np.ndarray:
@@ -114,28 +118,33 @@ def _bounds(query: np.ndarray, score: np.ndarray, count: int, keep: int) -> np.n
     return out
 
 
-def scan(lists: Lists, x: np.ndarray, ids: np.ndarray, blocks: list[np.ndarray], cuts: list[int], q: np.ndarray, turned: np.ndarray, own: np.ndarray, bound: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(query, vector) positions that no test abandoned, for all queries against all vectors of one list.
+def scan(reach: float, ids: np.ndarray, blocks: list[np.ndarray], cuts: list[int], q: np.ndarray, turned: np.ndarray, own: np.ndarray, bound: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) positions that no test abandoned, for all queries against all vectors of one list and length class.
 
-    `bound` is each query's score to beat; as squared distance it is |q|^2 + reach^2 - 2 x score.
+    `bound` is each query's score to beat; as squared distance it is |q|^2 + reach^2 - 2 x score. Distances are summed in
+    single precision; `slack` is over their rounding error, which grows with the lengths and the number of columns.
     """
-    limit = (q**2).sum(axis=1) + lists.reach**2 - 2 * bound
     width = cuts[-1]
+    long = np.sqrt((q**2).sum(axis=1))
+    limit = long**2 + reach**2 - 2 * bound
+    slack = 1e-4 + (width + 8) * float(np.finfo(np.float32).eps) * (long + reach) ** 2
     found_q, found_x = [], []
-    step = max(1, (1 << 22) // max(1, len(x)))
+    step = max(1, (1 << 22) // max(1, len(ids)))
     for first in range(0, len(q), step):
         part = slice(first, first + step)
         a, b = turned[part, : cuts[0]], blocks[0]
         so_far = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1) - 2 * a @ b.T
         allow = limit[part] * (cuts[0] / width) * (1 + s.doubt / np.sqrt(cuts[0])) ** 2
-        at_q, at_x = np.nonzero(so_far <= allow[:, None] + 1e-4)
+        at_q, at_x = np.nonzero(so_far <= (allow + slack[part])[:, None])
         so_far = so_far[at_q, at_x]
         at_q = at_q + first
         for k in range(1, len(cuts)):
-            gap = turned[at_q, cuts[k - 1] : cuts[k]] - blocks[k][at_x]
-            so_far = so_far + (gap**2).sum(axis=1)
+            some = (1 << 24) // (cuts[k] - cuts[k - 1])
+            for f in range(0, len(at_q), some):
+                gap = turned[at_q[f : f + some], cuts[k - 1] : cuts[k]] - blocks[k][at_x[f : f + some]]
+                so_far[f : f + some] += (gap**2).sum(axis=1)
             allow = limit[at_q] * (cuts[k] / width) * (1 + (s.doubt / np.sqrt(cuts[k]) if k < len(cuts) - 1 else 0)) ** 2
-            kept = so_far <= allow + 1e-4
+            kept = so_far <= allow + slack[at_q]
             at_q, at_x, so_far = at_q[kept], at_x[kept], so_far[kept]
         found_q.append(at_q)
         found_x.append(at_x)
@@ -160,15 +169,14 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     s, spark = settings, vectors.sparkSession
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, v: a + v * v))
-    kinds = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(length).alias("reach")).orderBy(F.desc("n"), "d").limit(1).collect()
+    kinds = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, id long, score double").withColumnRenamed("id", id)
     if not kinds:
         return empty
-    width, count, reach = kinds[0]
+    width, count = kinds[0]
     rows = rows.where(F.size("v") == width)
     sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(s.sample).toArrow()
-    lists = _fit(sample.column("id").to_numpy(), _matrix(sample.column("v")), count, float(reach) * (1 + 1e-12), s)
+    lists = _fit(sample.column("id").to_numpy(), _matrix(sample.column("v")), count, s)
     cuts = [c for c in s.blocks if c < width + 1] + [width + 1]
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(shuffle, -(-count // s.group))
@@ -236,19 +244,24 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
         found_id = np.concatenate([np.array(x, np.int64) for x in right.column("seeds").to_pylist()] or [np.empty(0, np.int64)])
         found_score = np.concatenate([np.array(x, float) for x in right.column("scores").to_pylist()] or [np.empty(0)])
         if left.num_rows and right.num_rows:
-            order = np.argsort(left.column("list").to_numpy(), kind="stable")
-            x, ids, home = _matrix(left.column("v"))[order], left.column("id").to_numpy()[order], left.column("list").to_numpy()[order]
+            x, home = _matrix(left.column("v")), left.column("list").to_numpy()
+            kind = norm_classes(x)
+            order = np.lexsort((kind, home))
+            x, ids, home, kind = x[order], left.column("id").to_numpy()[order], home[order], kind[order]
+            edges = np.append(np.flatnonzero((np.diff(home, prepend=-1) != 0) | (np.diff(kind, prepend=0) != 0)), len(home))
+            edges = np.unique(np.append(0, edges))
             q = _matrix(right.column("q"))
-            turned, turned_q = lists.turned(x), lists.turned_queries(q)
+            turned_q = lists.turned_queries(q)
             looked = right.column("lists").combine_chunks()
             asked, by = looked.flatten().to_numpy(), np.repeat(np.arange(len(own)), looked.value_lengths().to_numpy())
-            for k in np.unique(home):
-                a, b = np.searchsorted(home, [k, k + 1])
-                who = by[asked == k]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                who = by[asked == home[a]]
                 if not len(who):
                     continue
-                blocks = [np.ascontiguousarray(turned[a:b, p:c]) for p, c in zip([0, *cuts[:-1]], cuts, strict=True)]
-                at_q, at_x = scan(lists, x[a:b], ids[a:b], blocks, cuts, q[who], turned_q[who], own[who], bound[who], s)
+                reach = float(np.sqrt((x[a:b] ** 2).sum(axis=1).max())) * (1 + 1e-12)
+                turned = lists.turned(x[a:b], reach)
+                blocks = [np.ascontiguousarray(turned[:, p:c]) for p, c in zip([0, *cuts[:-1]], cuts, strict=True)]
+                at_q, at_x = scan(reach, ids[a:b], blocks, cuts, q[who], turned_q[who], own[who], bound[who], s)
                 score = np.concatenate([dot(q[who[at_q[f : f + 100_000]]], x[a:b][at_x[f : f + 100_000]]) for f in range(0, len(at_q), 100_000)] or [np.empty(0)])
                 found_q = np.concatenate([found_q, who[at_q]])
                 found_id = np.concatenate([found_id, ids[a:b][at_x]])

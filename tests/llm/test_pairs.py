@@ -80,6 +80,20 @@ def test_neighbours_of_small_and_empty_tables(spark):
     assert sorted((r["rank"], r.vec_id) for r in found) == [(1, 1), (2, 2), (3, 3), (4, 4)]
 
 
+def test_neighbours_beside_one_long_vector(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((600, 64))
+    x /= np.sqrt((x**2).sum(axis=1))[:, None]
+    x[599] *= 30_000
+    df = vectors(spark, [(i, v.tolist(), "s", "l") for i, v in enumerate(x)])
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, ann.Settings(sample=60, probe=1.0, doubt=100.0)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    near = x @ x.T
+    np.fill_diagonal(near, -np.inf)
+    assert {q: mine == set(np.argsort(-near[q])[:20].tolist()) for q, mine in got.items()} == dict.fromkeys(range(0, 600, 20), True)
+
+
 def test_recall_on_the_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = {r.vec_id: np.array(r.embedding, float) for r in df.collect()}
