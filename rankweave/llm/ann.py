@@ -17,7 +17,8 @@ class Settings:
     """`sample` vectors fit the lists, whose number is the root of the number of vectors, at most `lists`. A query looks
     into `probe` of the lists and `least_lists` at least. Columns are read in blocks that end at `blocks`; after d of D
     columns a candidate goes if its distance so far, times D / d, is over the bound times (1 + `doubt` / root of d)^2.
-    A list is cut into parts of about `part` vectors, and parts are dealt to groups of about `group` vectors."""
+    A list is cut into parts of about `part` vectors, and parts are dealt to groups of about `group` vectors; queries are dealt to
+    blocks of about `asked`, and a task has one block and one group."""
 
     neighbours: int = 20
     sample: int = 20_000
@@ -28,6 +29,7 @@ class Settings:
     doubt: float = 2.1
     part: int = 4096
     group: int = 100_000
+    asked: int = 32_768
     rounds: int = 10
     seed: int = 5
 
@@ -163,23 +165,25 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
 
     Lists are fitted on a bounded sample, the first rows by a hash of the id; every row is put into its list. Lists are
     cut into parts by a hash of the id and parts are dealt to groups, so a list with a third of all rows is spread over
-    many tasks. A query travels once to each group that holds a list it looks into. It starts with the bound of its best
+    many tasks. A query travels once to each group that holds a list it looks into. Queries are dealt to blocks by a hash
+    of id and vector, equal rows asking once, and each block has its copy of a group, so that a task's queries are bounded. It starts with the bound of its best
     sample vectors in those lists, and each list that a group has scanned tightens it.
     """
     s, spark = settings, vectors.sparkSession
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
-    kinds = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
+    kinds = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).orderBy(F.desc("n"), "d").limit(1).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, id long, score double").withColumnRenamed("id", id)
     if not kinds:
         return empty
-    width, count = kinds[0]
+    width, count, asking_rows = kinds[0]
     rows = rows.where(F.size("v") == width)
     sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(s.sample).toArrow()
     lists = _fit(sample.column("id").to_numpy(), _matrix(sample.column("v")), count, s)
     cuts = [c for c in s.blocks if c < width + 1] + [width + 1]
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(shuffle, -(-count // s.group))
+    query_blocks = max(1, -(-asking_rows // s.asked))
     shipped = spark.sparkContext.broadcast(lists)  # the sample and the centres: bounded by the settings
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +200,7 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     cells = homed.join(F.broadcast(part_count), "list").select(
         F.pmod(F.xxhash64("list", F.pmod(F.xxhash64("id"), F.col("parts"))), F.lit(groups)).cast("int").alias("group"), "list", "id", "v"
     )
+    cells = cells.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))) if query_blocks > 1 else F.lit(0))
     places = part_count.select("list", F.explode(F.sequence(F.lit(0), F.greatest("parts", F.lit(1)) - 1)).alias("p"))
     places = places.select("list", F.pmod(F.xxhash64("list", F.col("p").cast("long")), F.lit(groups)).cast("int").alias("group")).groupBy("list").agg(F.collect_set("group").alias("groups"))
     # At most `lists` rows, each with at most `groups` numbers.
@@ -206,9 +211,9 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
         lists, spread = shipped.value, where.value
         probes = max(int(np.ceil(s.probe * len(lists.sizes))), min(s.least_lists, len(lists.sizes)))
         for batch in batches:
-            every, every_id = _matrix(batch.column("v")), batch.column("id").to_numpy()
+            every, every_id, every_block = _matrix(batch.column("v")), batch.column("id").to_numpy(), batch.column("block").to_numpy()
             for begin in range(0, len(every), 256):
-                q, own = every[begin : begin + 256], every_id[begin : begin + 256]
+                q, own, block = (a[begin : begin + 256] for a in (every, every_id, every_block))
                 order = np.argsort(lists.nearness(q), axis=1, kind="stable")
                 # More lists, if these hold too few vectors for a full answer.
                 enough = (np.cumsum(lists.sizes[order], axis=1) < 2 * s.neighbours + 1).sum(axis=1) + 1
@@ -218,7 +223,7 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
                 near = q @ lists.sample.T
                 near[~looks[:, lists.sample_list] | (lists.sample_ids == own[:, None])] = -np.inf
                 top = np.argsort(-near, axis=1, kind="stable")[:, : s.neighbours]
-                out: list[list] = [[], [], [], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], [], [], []]
                 for i in range(len(q)):
                     seeds = top[i][np.isfinite(near[i, top[i]])]
                     scores = dot(np.repeat(q[i : i + 1], len(seeds), axis=0), lists.sample[seeds])
@@ -229,20 +234,22 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
                             mine.setdefault(g, []).append(k)
                     for n, (g, ks) in enumerate(mine.items()):
                         first = n == 0
-                        for column, value in zip(out, (g, own[i], q[i], ks, bound, lists.sample_ids[seeds] if first else [], scores if first else []), strict=True):
+                        for column, value in zip(out, (g, block[i], own[i], q[i], ks, bound, lists.sample_ids[seeds] if first else [], scores if first else []), strict=True):
                             column.append(value)
-                kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["group", "query", "q", "lists", "bound", "seeds", "scores"])
+                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["group", "block", "query", "q", "lists", "bound", "seeds", "scores"])
 
-    asking = rows.where("asks").select("id", "v").mapInArrow(ask, "group int, query long, q array<double>, lists array<int>, bound double, seeds array<long>, scores array<double>")
+    asks = rows.where("asks").select("id", "v")
+    asks = asks.distinct() if query_blocks > 1 else asks
+    asks = asks.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(query_blocks)).cast("int"))
+    asking = asks.mapInArrow(ask, "group int, block int, query long, q array<double>, lists array<int>, bound double, seeds array<long>, scores array<double>")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         lists = shipped.value
         own, bound = right.column("query").to_numpy(), right.column("bound").to_numpy().copy()
-        seeds = [np.array(x, float) for x in right.column("seeds").to_pylist()]
-        found_q = np.repeat(np.arange(len(own)), [len(x) for x in seeds])
-        found_id = np.concatenate([np.array(x, np.int64) for x in right.column("seeds").to_pylist()] or [np.empty(0, np.int64)])
-        found_score = np.concatenate([np.array(x, float) for x in right.column("scores").to_pylist()] or [np.empty(0)])
+        seeds, scores = right.column("seeds").combine_chunks(), right.column("scores").combine_chunks()
+        found_q = np.repeat(np.arange(len(own)), seeds.value_lengths().to_numpy())
+        found_id, found_score = seeds.flatten().to_numpy(), scores.flatten().to_numpy()
         if left.num_rows and right.num_rows:
             x, home = _matrix(left.column("v")), left.column("list").to_numpy()
             kind = norm_classes(x)
@@ -272,7 +279,7 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
         kept = found_score >= bound[found_q]
         return pa.table({"query_id": own[found_q[kept]], "id": found_id[kept], "score": found_score[kept]})
 
-    found = cells.groupBy("group").cogroup(asking.groupBy("group")).applyInArrow(meet, "query_id long, id long, score double")
+    found = cells.groupBy("group", "block").cogroup(asking.groupBy("group", "block")).applyInArrow(meet, "query_id long, id long, score double")
     found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.neighbours)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from rankweave.llm import ann, licenses, sharding
 from rankweave.llm.graph import components
@@ -94,6 +95,28 @@ def test_neighbours_beside_one_long_vector(spark):
     assert {q: mine == set(np.argsort(-near[q])[:20].tolist()) for q, mine in got.items()} == dict.fromkeys(range(0, 600, 20), True)
 
 
+def test_queries_come_to_a_task_in_bounded_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((400, 12))
+    df = vectors(spark, [(i, v.tolist(), "s", "l") for i, v in enumerate(x)] + [(8, x[8].tolist(), "s", "l")] * 90)
+    seen, apply = [], PandasCogroupedOps.applyInArrow
+
+    def watched(self, *args, **more):
+        asking = self._gd2._df
+        keys = [c for c in ("group", "block") if c in asking.columns]
+        seen.append(asking.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return apply(self, *args, **more)
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", watched)
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 2 == 0, ann.Settings(sample=50, probe=1.0, doubt=100.0, asked=20)).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    near = x @ x.T
+    np.fill_diagonal(near, -np.inf)
+    assert got == {q: dict(enumerate(np.argsort(-near[q])[:20].tolist(), 1)) for q in range(0, 400, 2)}
+    assert len(seen) == 1 and 1 <= seen[0] <= 60
+
+
 def test_recall_on_the_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = {r.vec_id: np.array(r.embedding, float) for r in df.collect()}
