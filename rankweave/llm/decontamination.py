@@ -20,7 +20,8 @@ _SLOT_BITS = 20
 class Settings:
     """Seeds are `width` words. A seed is rare if at most `rare_rows` plus `rare_share` of all documents have it, or at
     most 4 times as many as have its item's median seed. Words align at `match`, `mismatch` and `gap` points. A passage
-    leaks from `share` of the item's full score on, or from `points` on. Items are searched in blocks of `block_bytes`."""
+    leaks from `share` of the item's full score on, but not under `least` points unless it is the whole item, or from
+    `points` on. Items are searched in blocks of `block_bytes`."""
 
     width: int = 3
     rare_rows: int = 20
@@ -29,6 +30,7 @@ class Settings:
     mismatch: int = -1
     gap: int = -1
     share: float = 0.4
+    least: int = 10
     points: int = 40
     block_bytes: int = 16 << 20
 
@@ -143,8 +145,10 @@ def _leaks(index: Index, rare: np.ndarray, s: Settings, data: np.ndarray, offset
         low = max(begin[row], shift[a:b].min() - slack[i])
         high = min(begin[row + 1], shift[a:b].max() + length[i] + slack[i])
         points, first, last = smith_waterman(index.word_hashes[index.bounds[i] : index.bounds[i + 1]], hashes[low:high], s)
-        share = points / (s.match * length[i])
-        if (share >= s.share or points >= s.points) and points > best.get((row, i), (0, 0))[1]:
+        full = s.match * length[i]
+        share = points / full
+        # One shared n-gram, or two that overlap, are no leak: in a short item they alone reach the share.
+        if ((share >= s.share and points >= min(full, s.least)) or points >= s.points) and points > best.get((row, i), (0, 0))[1]:
             best[row, i] = (share, points, int(starts[low + first] - offsets[row]), int(ends[low + last - 1] - offsets[row]))
     for (row, i), found in sorted(best.items()):
         yield row, i, *found

@@ -267,3 +267,22 @@ def test_a_leak_in_most_documents_is_found(spark):
     rows = [(i, f"start {i} {text} end") for i in range(300)] + [(1000 + i, f"other text number {i}") for i in range(100)]
     got = decontamination.find_leaks(clash(spark, rows), spark.createDataFrame([(1, text)], "item_id long, text string")).collect()
     assert {r.doc_id for r in got} == set(range(300))
+
+
+def test_clean_documents_share_a_little_with_short_items(spark):
+    items = [(n, " ".join(f"item{n}word{k}" for k in range(n))) for n in range(3, 11)]
+    rows, leaks = [], set()
+    for n, text in items:
+        words = text.split()
+        rows += [(100 * n, f"start {text} end")]
+        leaks |= {(100 * n, n)}
+        if n > 3:
+            rows += [(100 * n + 1, "a clean text with " + " ".join(words[:3]) + " and more")]
+        if n > 4:
+            rows += [(100 * n + 2, "a clean text with " + " ".join(words[1:5]) + " and more")]
+        if n > 6:
+            rows += [(100 * n + 3, "an edited copy " + " ".join([*words[:3], "other", *words[4:]]) + " here")]
+            leaks |= {(100 * n + 3, n)}
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(clash(spark, rows), benchmark).collect()} == leaks
+    assert {r.doc_id for r in decontamination.drop_leaks(clash(spark, rows), benchmark).collect()} == {i for i, _ in rows} - {i for i, _ in leaks}
