@@ -59,7 +59,7 @@ TEXTS = [
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
 ]
 
-#: Every known wording has one of these words; a text or line without them is not looked at further.
+#: Every wording of TEXTS has one of these words; a text or line without them is not compared with TEXTS.
 MENTIONS = "licen[cs]e|permission"
 _OWNER_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)"
 _RIGHTS_LINE = r"^[^a-z0-9]*all rights reserved[^a-z0-9]*$"
@@ -75,21 +75,26 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
 
 
+def _may_match(text: Column, default: bool) -> Column:
+    return F.translate(text, _UPPER, _LOWER).rlike(MENTIONS) if default else text.isNotNull()
+
+
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document that is, and each line that is, a known wording: `id`, line (from 1; 0 for the whole
     text), license. A wording of several licenses gives a row for each.
 
     `known` has the columns license and text and is broadcast, so it must be a list of wordings, not a corpus; the
-    default is TEXTS. All work is one pass without a shuffle: entries that mention a license are brought to canonical
-    form and their sha256 is hash-joined with the known ones. Null and empty texts match nothing; equal rows each give
+    default is TEXTS. All work is one pass without a shuffle: entries are brought to canonical form, for TEXTS only those
+    that mention a license, and their sha256 is hash-joined with the known ones. Null and empty texts match nothing; equal rows each give
     their rows; other columns are not read.
     """
-    if known is None:
+    default = known is None
+    if default:
         known = docs.sparkSession.createDataFrame(TEXTS, "license string, text string")
-    digests = known.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
+    digests = known.where(canonical(F.col("text")) != "").select("license", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
     body = F.col(text)
     whole = F.struct(F.lit(0).alias("line"), body.alias("entry"))
     lines = F.transform(F.split(body, "\n"), lambda line, k: F.struct((k + 1).alias("line"), line.alias("entry")))
-    mentions = docs.where(F.translate(body, _UPPER, _LOWER).rlike(MENTIONS)).select(F.col(id).alias("id"), F.explode(F.concat(F.array(whole), lines)).alias("e"))
-    entries = mentions.where(F.translate("e.entry", _UPPER, _LOWER).rlike(MENTIONS)).select("id", "e.line", F.sha2(canonical(F.col("e.entry")), 256).alias("digest"))
+    mentions = docs.where(_may_match(body, default)).select(F.col(id).alias("id"), F.explode(F.concat(F.array(whole), lines)).alias("e"))
+    entries = mentions.where(_may_match(F.col("e.entry"), default)).select("id", "e.line", F.sha2(canonical(F.col("e.entry")), 256).alias("digest"))
     return entries.join(F.broadcast(digests), "digest").select(F.col("id").alias(id), "line", "license")

@@ -143,6 +143,14 @@ def test_licenses_in_any_spelling(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], CLASH)).count() == 0
 
 
+def test_handed_in_wordings_need_no_mention_of_a_license(spark):
+    wording = "Redistribution and use in source and binary forms, with or without modification, are allowed."
+    known = spark.createDataFrame([("X", wording), ("Y", " -- ")], "license string, text string")
+    rows = [(1, "Copyright 2001 A\n" + wording.upper()), (2, f"before\n{wording}\n\n--"), (3, None), (4, ""), (5, wording + " Not")]
+    got = sorted(map(tuple, licenses.scan_licenses(spark.createDataFrame(clash(rows), CLASH), known).collect()))
+    assert got == [(1, 0, "X"), (1, 2, "X"), (2, 2, "X")]
+
+
 def test_every_wording_passes_the_word_filter():
     import re
 
