@@ -59,6 +59,14 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    one, two = (" ".join(f"{name}{k}" for k in range(40)) for name in ("apple", "pear"))
+    texts = [(1, one), (5, None), (5, two), (7, one + " more"), (7, "a text that is like no other one"), (7, "a text that is like no other one"), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = STAGES["near_duplicates"](spark, docs, SF).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, one), (5, ""), (5, two), (7, texts[4][1]), (9, "")]
+
+
 def test_benchmark_passages_go_and_clean_documents_stay(spark, docs):
     kept = STAGES["decontamination"](spark, docs, SF)
     assert kept.columns == docs.columns
