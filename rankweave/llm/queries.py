@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankweave.llm import ann, bpe, language, pii, quality, sql, toxicity
+from rankweave.llm import ann, bpe, importance, language, middle, pii, quality, simhash, sql, toxicity
 from rankweave.llm.decontamination import find_leaks
 from rankweave.llm.jaccard import jaccard_groups
 from rankweave.llm.licenses import scan_licenses
@@ -81,3 +81,23 @@ def op2_ann(spark, sf_dir):
 @query("op3_licenses", sql.LICENSES)
 def op3_licenses(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_simhash", sql.SIMHASH)
+def op11_simhash(spark, sf_dir):
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op12_fill_in_middle", sql.MIDDLE)
+def op12_fill_in_middle(spark, sf_dir):
+    cut = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(middle.restore("output", "form"), "UTF-8"), 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_importance", sql.IMPORTANCE)
+def op13_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

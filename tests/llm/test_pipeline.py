@@ -111,7 +111,7 @@ def test_the_whole_pipeline(spark):
 
 def test_queries_are_registered():
     names = list(entry_points.queries())
-    assert [n for n in range(1, 11) if not any(name.startswith(f"op{n}_") for name in names)] == []
+    assert [n for n in range(1, 14) if not any(name.startswith(f"op{n}_") for name in names)] == []
     assert "pipeline" in names
 
 
