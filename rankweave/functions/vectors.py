@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,16 +30,48 @@ def sparse_vector(indices: Column, size: int, values: Column | None = None) -> C
     return F.from_json(F.concat(F.lit('{"v":'), body, F.lit("}")), _VECTOR_FIELD)["v"]
 
 
-#: Vectors up to this width list their slots in the column metadata, which feature interaction needs.
-LISTED_SLOTS = 4096
+def vector_metadata(size: int) -> dict:
+    """Column metadata that tells ML stages the vector width. Slots are not listed, so it has one size at any width."""
+    return {"ml_attr": {"num_attrs": size}}
 
 
-def vector_metadata(size: int) -> dict:
-    """Column metadata that tells ML stages the vector width, and for narrow vectors that each slot is 0 or 1."""
-    if size > LISTED_SLOTS:
-        return {"ml_attr": {"num_attrs": size}}
-    slots = [{"idx": i, "name": str(i)} for i in range(size)]
-    return {"ml_attr": {"attrs": {"binary": slots}, "num_attrs": size}}
+def slot_values(column: Column, width: int) -> Column:
+    """The non-zero slots of a feature as array<struct<i int, v double>>, by slot.
+
+    `width` says what the column is: an ML vector of that width; 0 a number, which has slot 0; -k a category 0 to k - 1,
+    whose slot has the value 1. Other categories (null and NaN among them) have no slot, as a number null has none.
+    """
+    if width > 0:
+        raw = F.unwrap_udt(column)
+        places = F.when(raw["type"] == 0, raw["indices"]).otherwise(F.transform(raw["values"], lambda _, i: i))
+        zipped = F.zip_with(places, raw["values"], lambda i, v: F.struct(i.alias("i"), v.alias("v")))
+        return F.coalesce(F.filter(zipped, lambda e: e["v"] != 0.0), _no_slots())
+    number = column.cast("double")
+    if width == 0:
+        return F.when(number != 0.0, F.array(F.struct(F.lit(0).alias("i"), number.alias("v")))).otherwise(_no_slots())
+    inside = (number >= 0) & (number < -width) & (number == F.floor(number))
+    return F.when(inside, F.array(F.struct(number.cast("int").alias("i"), F.lit(1.0).alias("v")))).otherwise(_no_slots())
+
+
+def _no_slots() -> Column:
+    return F.array().cast("array<struct<i: int, v: double>>")
+
+
+def outer_product(columns: Sequence[Column], widths: Sequence[int]) -> tuple[Column, int]:
+    """(slots as by `slot_values`, width) of the product of several features: every combination of their slots, the last
+    feature's slot running fastest. Only non-zero slots are multiplied, so the width costs nothing."""
+    size = math.prod(max(abs(w), 1) for w in widths)
+    if size > 2**31 - 1:
+        raise ValueError(f"a product of {size} slots is wider than an ML vector can be")
+    found = slot_values(columns[0], widths[0])
+    for column, width in zip(columns[1:], widths[1:], strict=True):
+        step = max(abs(width), 1)
+
+        def with_next(e: Column, other: Column) -> Column:
+            return F.transform(other, lambda o: F.struct((e["i"] * step + o["i"]).alias("i"), (e["v"] * o["v"]).alias("v")))
+
+        found = bind(slot_values(column, width), lambda other: F.flatten(F.transform(found, lambda e: with_next(e, other))))  # noqa: B023
+    return found, size
 
 
 def dot(x: Column, y: Column) -> Column:

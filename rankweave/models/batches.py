@@ -10,18 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Upper bound for model parameters that are sent to every executor and summed up on the driver. The parameters grow
-#: with the width of the (hashed) feature space, never with the number of rows.
-MAX_MODEL_BYTES = 1 << 30
-
-
-def check_model_size(values: int) -> None:
-    if values * 8 > MAX_MODEL_BYTES:
-        raise ValueError(
-            f"{values} model parameters exceed {MAX_MODEL_BYTES} bytes; use a smaller feature dimension or fewer factors"
-        )
-
-
 def vector_parts(vector: Column) -> tuple[Column, Column]:
     """Indices and values of an ML vector, dense or sparse, as arrays."""
     raw = F.unwrap_udt(vector)

@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Transformer
-from pyspark.ml.feature import Bucketizer, Interaction, VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 
-from rankweave.models.stages import KeyValueExtractor, TagHasher, TagUnionHasher, ThresholdOneHot, ValueOneHot
+from rankweave.models.stages import ColumnProduct, KeyValueExtractor, TagHasher, TagUnionHasher, ThresholdOneHot, ValueOneHot
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,8 @@ class FeatureSet:
     `tags`, `positive_tags`: column -> vector size. `key_values`: `key:value` column -> allowed keys (one-hot).
     `one_hot`: column -> allowed values. `thresholds`: numeric column -> interval bounds (one-hot).
     `buckets`: numeric column -> inner splits (bucket number). `vectors`: ready vector columns. `numbers`: used as they
-    are. `products`: new name -> columns described here that are multiplied out, by their first description.
+    are. `products`: new name -> columns described here that are multiplied out, by their first description, at any
+    width; a bucket number counts as a category there, and ready vectors need the width in their metadata.
     """
 
     tags: Mapping[str, int] = field(default_factory=dict)
@@ -49,15 +50,15 @@ class FeatureSet:
         """Transformers in order; the last one assembles the `output` vector."""
         made: list[Transformer] = []
         outputs: list[str] = []
-        parts: dict[str, str] = {}
+        parts: dict[str, tuple[str, int]] = {}
 
-        def use(name: str, column: str) -> None:
+        def use(name: str, column: str, width: int = 0) -> None:
             outputs.append(column)
-            parts.setdefault(name, column)
+            parts.setdefault(name, (column, width))
 
-        def add(name: str, stage: Transformer) -> None:
+        def add(name: str, stage: Transformer, width: int = 0) -> None:
             made.append(stage)
-            use(name, stage.getOutputCol())
+            use(name, stage.getOutputCol(), width)
 
         for columns, positive in ((self.tags, False), (self.positive_tags, True)):
             for name, dim in columns.items():
@@ -88,14 +89,14 @@ class FeatureSet:
             add(name, ThresholdOneHot(inputCol=name, outputCol=f"{name}_vec", thresholds=list(bounds)))
         for name, splits in self.buckets.items():
             edges = [-float("inf"), *splits, float("inf")]
-            add(name, Bucketizer(splits=edges, inputCol=name, outputCol=f"{name}_bucket", handleInvalid="keep"))
+            add(name, Bucketizer(splits=edges, inputCol=name, outputCol=f"{name}_bucket", handleInvalid="keep"), -(len(splits) + 1))
         for name in (*self.numbers, *self.vectors):
             use(name, name)
         for name, factors in self.products.items():
             unknown = [f for f in factors if f not in parts]
             if unknown:
                 raise ValueError(f"product {name!r} uses undescribed columns {unknown}")
-            add(name, Interaction(inputCols=[parts[f] for f in factors], outputCol=f"{name}_vec"))
+            add(name, ColumnProduct(inputCols=[parts[f][0] for f in factors], widths=[parts[f][1] for f in factors], outputCol=f"{name}_vec"))
         if not outputs:
             raise ValueError("no features described")
         return [*made, VectorAssembler(inputCols=outputs, outputCol=output)]

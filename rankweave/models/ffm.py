@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.models.batches import check_model_size, flat_list
+from rankweave.models.batches import flat_list
 from rankweave.models.fm import log_loss, sigmoid
 
 #: Cells of the per-row field tables that are held at once.
@@ -153,13 +153,13 @@ def train(
     weights; the changes are averaged over the partitions. batch_rows=1 updates after every row.
 
     solver "sgd" uses the plain step, "adagrad" divides it by the root of the summed squared gradients (from 1).
-    Partitions emit changed weights only, and Spark sums them per (feature, field).
+    Partitions emit changed weights only, and Spark sums them per (feature, field). The weights travel to the executors and
+    back in each iteration: `ffm_table.train` is the one for models that should not be in one place.
     """
     if solver not in ("sgd", "adagrad"):
         raise ValueError(f"unknown solver {solver!r}")
     adaptive = solver == "adagrad"
     shape = (n_features, n_fields, n_factors)
-    check_model_size(math.prod(shape) * (2 if adaptive else 1))
     fields, features, values = _node_columns(F.col(nodes))
     rows = df.select(
         F.when(F.col(label) > 0, 1.0).otherwise(-1.0).alias("sign"),

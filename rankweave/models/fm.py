@@ -1,7 +1,8 @@
 """Factorization machines: scoring, and training by gradient descent or L-BFGS.
 
-Rows stay on the executors. Each pass ships the parameters out, every partition sums its gradient over Arrow batches
-and emits only the features it has seen, and Spark adds the partial sums up per feature.
+This is the form for models that fit one machine: rows stay on the executors, each pass ships the parameters out, every
+partition sums its gradient over Arrow batches and emits only the features it has seen, and Spark adds the partial sums up
+per feature. `fm_table` has the same training, losses and scores with the parameters as a table of any width.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.models.batches import SparseBatch, check_model_size, read_batches, sparse_rows, vector_parts
+from rankweave.models.batches import SparseBatch, read_batches, sparse_rows, vector_parts
 
 FORMAT_CLASS = "rankweave.FactorizationMachine"
 FORMAT_VERSION = "1.0"
@@ -50,7 +51,6 @@ class FMModel:
             raise ValueError(f"unknown task {self.task!r}")
         if len(self.weights) != len(self.factors):
             raise ValueError(f"{len(self.weights)} weights do not fit {len(self.factors)} factor rows")
-        check_model_size(self.weights.size + self.factors.size)
 
     @property
     def n_features(self) -> int:
@@ -141,7 +141,6 @@ class FMModel:
         meta = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
         if meta.get("class") != FORMAT_CLASS or meta.get("version") != FORMAT_VERSION:
             raise ValueError(f"{path} holds {meta.get('class')} version {meta.get('version')}")
-        check_model_size(meta["features"] * (meta["factors"] + 1))
         return cls.from_table(
             spark.read.schema(PARAMETER_SCHEMA).parquet(f"{path}/parameters"),
             meta["features"],
@@ -156,7 +155,6 @@ class FMModel:
         cls, table: DataFrame, features: int, factors: int, task: str, min_target=-math.inf, max_target=math.inf
     ) -> FMModel:
         """Read back a parameter table; its size must fit the stated dimensions."""
-        check_model_size(features * (factors + 1))
         pdf = table.toPandas()
         expected = 1 + features + features * factors
         if len(pdf) != expected:
@@ -194,6 +192,25 @@ def score_with_table(df: DataFrame, key: str, features: str, weights: DataFrame,
     return df.select(key).join(scored, key, "left").select(key, F.coalesce("margin", F.lit(intercept)).alias("margin"))
 
 
+def gradient(model: FMModel, batch: SparseBatch) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """Summed over the rows of a batch: loss, and its gradient by intercept, weights and factors."""
+    n, k = model.factors.shape
+    margin, sums = model.margins(batch)
+    if model.task == "regression":
+        slope = margin - batch.label
+        loss = 0.5 * slope * slope
+    else:
+        sign = np.where(batch.label > 0, 1.0, -1.0)
+        slope = -sign * sigmoid(-sign * margin)
+        loss = log_loss(margin, sign)
+    pull = slope[batch.row] * batch.value
+    cross = np.empty((n, k))
+    for f in range(k):
+        own = model.factors[batch.feature, f] * batch.value
+        cross[:, f] = np.bincount(batch.feature, pull * (sums[batch.row, f] - own), n)
+    return float(loss.sum()), float(slope.sum()), np.bincount(batch.feature, pull, n), cross
+
+
 @dataclass
 class _Pass:
     """Result of one pass over the data: mean loss and mean gradient."""
@@ -218,21 +235,11 @@ def _one_pass(rows: DataFrame, model: FMModel) -> _Pass:
         linear, cross = np.zeros(n), np.zeros((n, k))
         count, loss_sum, slope_sum = 0, 0.0, 0.0
         for batch in read_batches(batches, n):
-            margin, sums = m.margins(batch)
-            if m.task == "regression":
-                slope = margin - batch.label
-                loss = 0.5 * slope * slope
-            else:
-                sign = np.where(batch.label > 0, 1.0, -1.0)
-                slope = -sign * sigmoid(-sign * margin)
-                loss = log_loss(margin, sign)
-            count, loss_sum, slope_sum = count + batch.size, loss_sum + loss.sum(), slope_sum + slope.sum()
-            pull = slope[batch.row] * batch.value
+            loss, slope, *sums = gradient(m, batch)
+            count, loss_sum, slope_sum = count + batch.size, loss_sum + loss, slope_sum + slope
             touched[batch.feature] = True
-            linear += np.bincount(batch.feature, pull, n)
-            for f in range(k):
-                own = m.factors[batch.feature, f] * batch.value
-                cross[:, f] += np.bincount(batch.feature, pull * (sums[batch.row, f] - own), n)
+            linear += sums[0]
+            cross += sums[1]
         seen = np.flatnonzero(touched)
         # Feature -1 carries the totals of the partition: rows, loss and the gradient of the intercept.
         none = np.zeros(len(seen))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Transformer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions import encode, tag_hash, tags
-from rankweave.functions.vectors import sparse_vector, vector_metadata
+from rankweave.functions.binding import bind
+from rankweave.functions.vectors import outer_product, sparse_vector, vector_metadata
 
 
 def _bool_list(value) -> list[bool]:
@@ -154,6 +156,38 @@ class ThresholdOneHot(_OneInput):
         return self._append_slots(dataset, slots, len(thresholds) - 1)
 
 
+class ColumnProduct(_Stage, HasInputCols):
+    """Outer product of vector, number and category columns as one sparse vector of any width.
+
+    `widths` says for each input: the width of a vector (0: as its metadata has it), -k for a category 0 to k - 1; an
+    input that is no vector and has 0 is a number.
+    """
+
+    widths = Param(Params._dummy(), "widths", "width of each input", typeConverter=TypeConverters.toListInt)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCol=None, widths=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _input_names(self) -> list[str]:
+        return self.getInputCols()
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        names = self.getInputCols()
+        widths = self.getOrDefault(self.widths) if self.isDefined(self.widths) else [0] * len(names)
+        if len(widths) != len(names):
+            raise ValueError(f"{len(widths)} widths do not fit {len(names)} columns")
+        fields = {f.name: f for f in dataset.schema.fields}
+        for k, name in enumerate(names):
+            if name in fields and isinstance(fields[name].dataType, VectorUDT) and widths[k] <= 0:
+                widths[k] = fields[name].metadata.get("ml_attr", {}).get("num_attrs", 0)
+                if widths[k] <= 0:
+                    raise ValueError(f"give the width of {name!r}: its metadata does not say it")
+        found, size = outer_product([F.col(c) for c in names], widths)
+        return self._append(dataset, bind(found, lambda p: sparse_vector(p["i"], size, p["v"])), vector_metadata(size))
+
+
 class LeafOneHot(_OneInput):
     """Leaf number per tree (vector or array) to sparse 0/1 vector with one active slot per tree."""
 

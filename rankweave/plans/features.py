@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from rankweave.functions import encode, tag_hash, tags, vectors
 from rankweave.functions.byte_hash import byte_hash
 from rankweave.functions.scores import normalize_scores
-from rankweave.models.stages import TagUnionHasher
+from rankweave.models.batches import vector_parts
+from rankweave.models.stages import ColumnProduct, TagHasher, TagUnionHasher, ValueOneHot
 from rankweave.operators import profile, sequences, similarity
 from rankweave.plans import views
 from rankweave.plans.catalog import query
@@ -335,6 +336,29 @@ def assemble_interact(spark, sf_dir):
     )
 
 
+WIDE = 50_000
+
+
+@query(
+    "wide_products",
+    f"""{_TAG_PARTS}, lead AS (SELECT item_id, {_before_bad('terms', 'terms')} AS lead FROM split),
+    wide AS (
+      SELECT DISTINCT item_id, unnest(list_transform(lead, lambda t: {sql_tag_hash('t')} % {WIDE})) AS slot FROM lead)
+    SELECT item_id, CAST(slot * 3 + p_size % 3 AS INTEGER) AS slot, p_retailprice AS value,
+           count(*) OVER (PARTITION BY item_id) AS slots
+    FROM wide JOIN tags USING (item_id) WHERE p_retailprice <> 0""",
+)
+def wide_products(spark, sf_dir):
+    """A tag column of 50,000 slots times a one-hot of three values times a number."""
+    rows = views.tags(spark, sf_dir).withColumn("small", F.col("p_size") % 3)
+    rows = TagHasher(inputCol="tags", outputCol="wide", dim=WIDE).transform(rows)
+    rows = ValueOneHot(inputCol="small", outputCol="hot", values=["0", "1", "2"]).transform(rows)
+    rows = ColumnProduct(inputCols=["wide", "hot", "p_retailprice"], widths=[0, 0, 0], outputCol="product").transform(rows)
+    places, values = vector_parts(F.col("product"))
+    pairs = rows.select("item_id", F.size(places).cast("long").alias("slots"), F.explode(F.arrays_zip(places.alias("slot"), values.alias("value"))).alias("e"))
+    return pairs.select("item_id", "e.slot", "e.value", "slots")
+
+
 @query(
     "cosine_pairs",
     f"""WITH {views.DAILY_VECTORS}

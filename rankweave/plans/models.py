@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from rankweave.models import als, embeddings, ffm, fm, trees, tuning
+from rankweave.models import als, embeddings, ffm, ffm_table, fm, fm_table, trees, tuning
 from rankweave.operators import binary_eval, ranking_eval, sequences
 from rankweave.plans import views
 from rankweave.plans.catalog import query
@@ -98,6 +98,99 @@ def ffm_score(spark, sf_dir):
     return rows.select("id", F.round(_formula_ffm().score(_nodes(F.col("vec"))), 6).alias("margin"))
 
 
+# Gradients of the mean loss at the formula parameters, with the regularisation (0.1, 0.01, 0.02).
+_REG = (0.1, 0.01, 0.02)
+_FM_GRADIENT = f"""{_FM_MARGIN}, slopes AS (
+  SELECT id, CASE WHEN label = 1 THEN -1.0::DOUBLE / (1.0::DOUBLE + exp(margin)) ELSE 1.0::DOUBLE / (1.0::DOUBLE + exp(-margin)) END AS slope
+  FROM scored JOIN vectors USING (id)),
+gradients AS (
+  SELECT 'intercept' AS kind, 0 AS factor, 0 AS feature, 0.1::DOUBLE AS value, avg(slope) + {_REG[0]} * 0.1::DOUBLE AS g FROM slopes
+  UNION ALL
+  SELECT 'weight', 0, i, ((i * 5) % 7 - 3) / 10.0::DOUBLE, sum(slope * x) / count(*) + {_REG[1]} * (((i * 5) % 7 - 3) / 10.0::DOUBLE)
+  FROM cells JOIN slopes USING (id) GROUP BY i
+  UNION ALL
+  SELECT 'factor', f, i, ((i * 7 + f * 3) % 11 - 5) / 10.0::DOUBLE,
+         sum(slope * x * (s - ((i * 7 + f * 3) % 11 - 5) / 10.0::DOUBLE * x)) / count(*) + {_REG[2]} * (((i * 7 + f * 3) % 11 - 5) / 10.0::DOUBLE)
+  FROM cells JOIN slopes USING (id) JOIN sums USING (id) GROUP BY i, f)"""
+
+
+def _blocks_as_rows(spark, blocks, column):
+    """(kind, factor, feature, value) of one packed column of a block table."""
+    packed = blocks.select("block", F.col(column).alias("x"))
+    return fm_table.FMTable(packed, WIDTH, FACTORS).parameter_table()
+
+
+@query(
+    "fm_gradient_step",
+    f"""WITH {_FM_GRADIENT}
+    SELECT kind, CAST(factor AS INTEGER) AS factor, CAST(feature AS BIGINT) AS feature, round(g, 8) AS gradient FROM gradients""",
+)
+def fm_gradient_step(spark, sf_dir):
+    """The gradient of all rows by every parameter, summed by block on the executors."""
+    first = fm_table.FMTable.of(spark, _formula_fm("classification"))
+    rows, _, _ = fm_table._deal(_labelled(spark, sf_dir), "features", "label", WIDTH, FACTORS, "classification", None)
+    try:
+        found = fm_table.Objective(rows, FACTORS, "classification", _REG).evaluate(first.blocks)[0]
+    finally:
+        rows.release()
+    return _blocks_as_rows(spark, found, "g").select("kind", "factor", "feature", F.round("value", 8).alias("gradient"))
+
+
+@query(
+    "fm_sgd_step",
+    f"""WITH {_FM_GRADIENT}
+    SELECT kind, CAST(factor AS INTEGER) AS factor, CAST(feature AS BIGINT) AS feature, round(value - 0.5 * g, 8) AS value FROM gradients""",
+)
+def fm_sgd_step(spark, sf_dir):
+    """Parameters after one step of gradient descent from the formula parameters."""
+    first = fm_table.FMTable.of(spark, _formula_fm("classification"))
+    rows = _labelled(spark, sf_dir)
+    model = fm_table.train_sgd(rows, iterations=1, step_size=0.5, n_factors=FACTORS, n_features=WIDTH, reg=_REG, first=first)
+    return model.parameter_table().withColumn("value", F.round("value", 8))
+
+
+@query(
+    "fm_lbfgs_step",
+    f"""WITH {_FM_GRADIENT}
+    SELECT kind, CAST(factor AS INTEGER) AS factor, CAST(feature AS BIGINT) AS feature,
+           round(value - g / greatest(1.0::DOUBLE, sqrt((SELECT sum(g * g) FROM gradients))), 8) AS value FROM gradients""",
+)
+def fm_lbfgs_step(spark, sf_dir):
+    """Parameters after the first step of vector-free L-BFGS, which has no history yet."""
+    first = fm_table.FMTable.of(spark, _formula_fm("classification"))
+    rows = _labelled(spark, sf_dir)
+    model = fm_table.train_lbfgs(rows, iterations=1, n_factors=FACTORS, n_features=WIDTH, reg=_REG, first=first)
+    return model.parameter_table().withColumn("value", F.round("value", 8))
+
+
+def _ffm_weight(feature: str, field: str) -> str:
+    return f"(({feature} * 7 + {field} * 5 + d * 3) % 13 - 6) / 10.0::DOUBLE"
+
+
+@query(
+    "ffm_gradient_step",
+    f"""WITH {views.VECTORS}, cells AS (
+      SELECT id, unnest(generate_series(0, {WIDTH - 1})) AS j, unnest(vec) AS x FROM vectors),
+    factors AS (SELECT unnest(generate_series(0, {FACTORS - 1})) AS d),
+    margins AS (
+      SELECT a.id, sum(2.0::DOUBLE * a.x * b.x * {_ffm_weight('a.j', f'(b.j % {FIELDS})')} * {_ffm_weight('b.j', f'(a.j % {FIELDS})')}) AS margin
+      FROM cells a JOIN cells b ON a.id = b.id AND a.j < b.j CROSS JOIN factors GROUP BY a.id),
+    slopes AS (
+      SELECT id, CASE WHEN label > 0 THEN -1.0::DOUBLE / (1.0::DOUBLE + exp(margin)) ELSE 1.0::DOUBLE / (1.0::DOUBLE + exp(-margin)) END AS slope
+      FROM margins JOIN vectors USING (id))
+    SELECT CAST(a.j AS BIGINT) AS feature, CAST(b.j % {FIELDS} AS INTEGER) AS field, CAST(d AS INTEGER) AS factor,
+           round(sum(2.0::DOUBLE * slope * a.x * b.x * {_ffm_weight('b.j', f'(a.j % {FIELDS})')}) / (SELECT count(*) FROM vectors), 8) AS gradient
+    FROM cells a JOIN cells b ON a.id = b.id AND a.j <> b.j JOIN slopes ON slopes.id = a.id CROSS JOIN factors
+    GROUP BY a.j, b.j % {FIELDS}, d""",
+)
+def ffm_gradient_step(spark, sf_dir):
+    """The gradient of all rows by every weight of the formula model, summed by block on the executors."""
+    rows = views.vectors(spark, sf_dir).withColumn("nodes", _nodes(F.col("vec")))
+    model = ffm_table.FFMTable.of(spark, _formula_ffm().weights)
+    found = ffm_table.gradient(rows, model)[0]
+    return ffm_table.cells(found, model, "g").select("feature", "field", "factor", F.round("value", 8).alias("gradient"))
+
+
 def _scored(rows, score):
     return rows.select("id", "label", score.alias("score"))
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from rankweave.models import ffm, fm
+from rankweave.models import ffm, ffm_table, fm, fm_table
 from rankweave.operators.binary_eval import areas
 
 
@@ -150,3 +150,103 @@ def test_ffm_learns(spark, solver, step):
     assert model.loss_history[-1] < model.loss_history[0]
     found = areas(df.select(model.score(F.col("nodes")).alias("score"), (F.col("label") > 0).cast("int").alias("label")))
     assert found.first()["auroc"] > 0.9
+
+
+def same_model(a, b, tolerance=1e-9):
+    np.testing.assert_allclose(a.weights, b.weights, atol=tolerance)
+    np.testing.assert_allclose(a.factors, b.factors, atol=tolerance)
+    assert a.intercept == pytest.approx(b.intercept, abs=tolerance)
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    """Blocks of a few features and few groups to a share, so that every step has several of them."""
+    from rankweave.models import parameter_blocks
+
+    monkeypatch.setattr(parameter_blocks, "BLOCK_VALUES", 8)
+    monkeypatch.setattr(parameter_blocks, "SHARE_GROUPS", 3)
+
+
+def test_table_training_equals_local_training(spark, interacting, small_blocks):
+    first = fm.initial_model(4, 3, "classification", 0.3, 1, -np.inf, np.inf)
+    start = fm_table.FMTable.of(spark, first)
+    settings = {"n_factors": 3, "init_std": 0.3, "reg": (0.1, 0.01, 0.02), "n_features": 4}
+    plain = fm.train_sgd(interacting, iterations=3, step_size=2.0, tolerance=0, seed=1, **settings)
+    found = fm_table.train_sgd(interacting, iterations=3, step_size=2.0, tolerance=0, first=start, group_rows=40, **settings)
+    np.testing.assert_allclose(found.loss_history, plain.loss_history)
+    same_model(found.local(), plain)
+    plain = fm.train_lbfgs(interacting, iterations=6, corrections=2, seed=1, **settings)
+    found = fm_table.train_lbfgs(interacting, iterations=6, corrections=2, first=start, group_rows=100, **settings)
+    np.testing.assert_allclose(found.loss_history, plain.loss_history)
+    same_model(found.local(), plain, 1e-7)
+    scored = found.score(interacting.withColumn("id", F.monotonically_increasing_id()), "id")
+    assert scored.count() == interacting.count()
+
+
+def test_table_models_of_wide_sparse_rows(spark):
+    rows = [(i, Vectors.sparse(1_000_000, [3, 999_998 + i % 2], [1.0, 2.0]), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    model = fm_table.train_sgd(df, n_factors=1, iterations=4, step_size=1.0, n_features=1_000_000, init_std=0.01)
+    assert model.loss_history[-1] < model.loss_history[0]
+    by_label = {r["id"] % 2: r["score"] for r in model.score(df, "id").collect()}
+    assert by_label[0] < 0.5 < by_label[1]
+    with pytest.raises(ValueError):
+        fm_table.train_sgd(df.limit(0), n_factors=1)
+
+
+def test_parameter_table_of_blocks_and_back(spark, small_blocks):
+    values = [("intercept", 0, 0, 0.5), ("weight", 0, 3, 1.0), ("weight", 0, 8, -3.0), ("factor", 1, 3, 2.0), ("factor", 0, 9, 0.5)]
+    parameters = spark.createDataFrame(values, fm.PARAMETER_SCHEMA)
+    model = fm_table.FMTable.from_parameters(parameters, 10, 2)
+    assert model.local().weights.tolist() == [0, 0, 0, 1.0, 0, 0, 0, 0, -3.0, 0]
+    whole = model.parameter_table()
+    assert whole.count() == 1 + 10 * 3
+    assert sorted(map(tuple, whole.where("value <> 0").collect())) == sorted(values)
+    again = fm.FMModel.from_table(whole, 10, 2, "classification")
+    same_model(again, model.local(), 0)
+    with pytest.raises(Exception, match="beyond"):
+        fm_table.FMTable.from_parameters(parameters, 8, 2)
+
+
+def test_table_regression_and_features_outside(spark, interacting):
+    found = fm_table.train_sgd(interacting, task="regression", iterations=2, n_factors=2)
+    low, high = found.score(interacting.withColumn("id", F.monotonically_increasing_id()), "id").agg(F.min("score"), F.max("score")).first()
+    assert 0.0 <= low <= high <= 1.0
+    with pytest.raises(Exception, match="outside"):
+        fm_table.train_sgd(interacting, n_features=2, n_factors=2, iterations=1)
+
+
+def test_two_loops_equal_the_usual_recursion():
+    rng = np.random.default_rng(3)
+    s, y, g = rng.normal(size=(3, 9)), rng.normal(size=(3, 9)), rng.normal(size=9)
+    basis = np.concatenate([s, y, g[None]])
+    q, used = g.copy(), []
+    for i in reversed(range(3)):
+        a = (s[i] @ q) / (s[i] @ y[i])
+        q -= a * y[i]
+        used.append((i, a))
+    q *= (s[2] @ y[2]) / (y[2] @ y[2])
+    for i, a in reversed(used):
+        q += s[i] * (a - (y[i] @ q) / (s[i] @ y[i]))
+    np.testing.assert_allclose(fm_table.two_loops(basis @ basis.T, 3) @ basis, -q)
+    np.testing.assert_allclose(fm_table.two_loops(np.array([[4.0]]), 0), [-1.0])
+
+
+@pytest.mark.parametrize("solver,step", [("adagrad", 0.3), ("sgd", 0.5)])
+def test_ffm_table_learns_and_scores(spark, solver, step, small_blocks):
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 3, 300), rng.integers(0, 3, 300)
+    rows = [(i, [(0, int(x), 1.0), (1, 3 + int(y), 1.0), (9, 9, 1.0)], 1 if x == y else -1) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame([*rows, (300, [], 1), (301, [(7, 0, 1.0)], -1)], "id int, " + NODES + ", label int").repartition(2).cache()
+    model = ffm_table.train(df, 2, 6, iterations=6, step_size=step, solver=solver, batch_rows=16, group_rows=120)
+    assert model.loss_history[-1] < model.loss_history[0]
+    local = model.local()
+    joined = model.score(df, "id").join(df.select("id", local.score(F.col("nodes")).alias("own")), "id").collect()
+    assert len(joined) == 302 and all(r["score"] == pytest.approx(r["own"], abs=1e-12) for r in joined)
+    # One group and one pass is what a single partition of the local training does.
+    first = ffm_table.FFMTable.of(spark, 0.5 / np.sqrt(4) * np.random.default_rng(12345).random((6, 2, 4)))
+    one = df.coalesce(1).sortWithinPartitions("id")
+    found = ffm_table.train(one, 2, 6, iterations=2, step_size=step, solver=solver, batch_rows=16, first=first, group_rows=10_000)
+    plain = ffm.train(one, 2, 6, iterations=2, step_size=step, solver=solver, batch_rows=16)
+    np.testing.assert_allclose(found.loss_history, plain.loss_history)
+    np.testing.assert_allclose(found.local().weights, plain.weights)

@@ -416,3 +416,37 @@ def test_building_a_join_starts_no_job(spark):
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
     finally:
         spark.sparkContext.setJobGroup("", "")
+
+
+def test_wide_products(spark):
+    from pyspark.ml.feature import Interaction, VectorAssembler
+    from pyspark.ml.linalg import Vectors
+
+    from rankweave.models.feature_stages import FeatureSet
+    from rankweave.models.stages import ColumnProduct
+
+    data = [(1, Vectors.sparse(3, [0, 2], [2.0, 0.0]), Vectors.dense([0.0, 3.0]), 2.0), (2, Vectors.dense([1.0, 0.0, -1.0]), Vectors.dense([1.0, 2.0]), 0.0), (3, Vectors.sparse(3, [], []), Vectors.dense([1.0, 2.0]), 5.0)]
+    rows = spark.createDataFrame(data, ["id", "a", "b", "n"])
+    ours = ColumnProduct(inputCols=["a", "b", "n"], widths=[3, 2, 0], outputCol="p").transform(rows)
+    listed = VectorAssembler(inputCols=["n"], outputCol="n_vec").transform(rows)
+    for name, size in (("a", 3), ("b", 2)):
+        slots = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": str(i)} for i in range(size)]}, "num_attrs": size}}
+        listed = listed.withColumn(name, F.col(name).alias(name, metadata=slots))
+    spark_own = Interaction(inputCols=["a", "b", "n_vec"], outputCol="p").transform(listed)
+    want = {r["id"]: r["p"].toArray().tolist() for r in spark_own.collect()}
+    assert {r["id"]: r["p"].toArray().tolist() for r in ours.collect()} == want
+    with pytest.raises(ValueError):
+        ColumnProduct(inputCols=["a", "b"], outputCol="p").transform(rows)
+    with pytest.raises(ValueError):
+        ColumnProduct(inputCols=["a", "b"], widths=[100_000, 100_000], outputCol="p").transform(rows)
+
+    tags = spark.createDataFrame([(1, "x,y", 1, 0.5, 3.0), (2, "x", 9, 2.5, float("nan"))], "id int, tags string, kind int, ctr double, age double")
+    wide = FeatureSet(tags={"tags": 50_000}, one_hot={"kind": ["1", "2"]}, numbers=["ctr"], buckets={"age": [2.0]}, products={"p": ["tags", "kind", "ctr"], "q": ["tags", "age"]})
+    for stage in wide.stages():
+        tags = stage.transform(tags)
+    got = {r["id"]: r for r in tags.collect()}
+    assert got[1]["p_vec"].size == 100_000 and sorted(got[1]["p_vec"].values) == [0.5, 0.5]
+    assert [i // 2 for i in got[1]["p_vec"].indices] == list(got[1]["tags_vec"].indices)
+    assert [i - 1 for i in got[1]["q_vec"].indices] == [2 * i for i in got[1]["tags_vec"].indices]
+    assert len(got[2]["p_vec"].indices) == len(got[2]["q_vec"].indices) == 0
+    assert got[1]["features"].size == 50_000 + 2 + 1 + 1 + 100_000 + 100_000
