@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rankweave.llm.learning import first_by_hash
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -65,6 +67,10 @@ class Lists:
     sizes: np.ndarray
     rotation: np.ndarray
 
+    def fields(self) -> tuple:
+        """Plain arrays: what a broadcast holds is read by name, and executors need not have this package."""
+        return self.centres, self.sample_ids, self.sample, self.sample_list, self.sizes, self.rotation
+
     def nearness(self, x: np.ndarray) -> np.ndarray:
         """Smaller is nearer: squared distances to the centres, less the vector's own square."""
         return (self.centres**2).sum(axis=1) - 2 * x @ self.centres.T
@@ -178,24 +184,25 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
         return empty
     width, count, asking_rows = kinds[0]
     rows = rows.where(F.size("v") == width)
-    sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(s.sample).toArrow()
+    sample = first_by_hash(rows.select("id", "v"), "id", s.sample).toArrow()
     lists = _fit(sample.column("id").to_numpy(), _matrix(sample.column("v")), count, s)
     cuts = [c for c in s.blocks if c < width + 1] + [width + 1]
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(shuffle, -(-count // s.group))
     query_blocks = max(1, -(-asking_rows // s.asked))
-    shipped = spark.sparkContext.broadcast(lists)  # the sample and the centres: bounded by the settings
+    shipped = spark.sparkContext.broadcast(lists.fields())  # the sample and the centres: bounded by the settings
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = Lists(*shipped.value)
         for batch in batches:
-            home = shipped.value.nearness(_matrix(batch.column("v"))).argmin(axis=1) if batch.num_rows else np.empty(0, int)
+            home = lists.nearness(_matrix(batch.column("v"))).argmin(axis=1) if batch.num_rows else np.empty(0, int)
             yield pa.record_batch([batch.column("id"), batch.column("v"), pa.array(home.astype(np.int32))], names=["id", "v", "list"])
 
     homed = rows.select("id", "v").mapInArrow(put, "id long, v array<double>, list int")
     held = homed.groupBy("list").count().collect()  # one row for each list
     lists.sizes[[r[0] for r in held]] = [r[1] for r in held]
     parts = -(-lists.sizes // s.part)
-    shipped = spark.sparkContext.broadcast(lists)
+    shipped = spark.sparkContext.broadcast(lists.fields())
     part_count = spark.createDataFrame([(k, int(p)) for k, p in enumerate(parts)], "list int, parts int")
     cells = homed.join(F.broadcast(part_count), "list").select(
         F.pmod(F.xxhash64("list", F.pmod(F.xxhash64("id"), F.col("parts"))), F.lit(groups)).cast("int").alias("group"), "list", "id", "v"
@@ -208,7 +215,7 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     where = spark.sparkContext.broadcast(spread)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists, spread = shipped.value, where.value
+        lists, spread = Lists(*shipped.value), where.value
         probes = max(int(np.ceil(s.probe * len(lists.sizes))), min(s.least_lists, len(lists.sizes)))
         for batch in batches:
             every, every_id, every_block = _matrix(batch.column("v")), batch.column("id").to_numpy(), batch.column("block").to_numpy()
@@ -245,7 +252,7 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     asking = asks.mapInArrow(ask, "group int, block int, query long, q array<double>, lists array<int>, bound double, seeds array<long>, scores array<double>")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = shipped.value
+        lists = Lists(*shipped.value)
         own, bound = right.column("query").to_numpy(), right.column("bound").to_numpy().copy()
         seeds, scores = right.column("seeds").combine_chunks(), right.column("scores").combine_chunks()
         found_q = np.repeat(np.arange(len(own)), seeds.value_lengths().to_numpy())

@@ -179,11 +179,13 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
                 )
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known = _tokenizer(shipped.value), {}
+        tokenizer, known, last = _tokenizer(shipped.value), {}, None
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for bucket, key, lengths, body in zip(*(batch.column(c).to_pylist() for c in ("bucket", "chunk", "lengths", "words")), strict=True):
                 words = _unjoin(lengths, body)
+                if bucket != last:  # rows are sorted by bucket, and no word is in two
+                    known, last = {}, bucket
                 _learn(tokenizer, known, words)
                 found = [known[w] for w in words]
                 for column, value in zip(out, (key, bucket, _squeeze(np.array([len(f) for f in found], np.int32).tobytes()), _squeeze(b"".join(f.tobytes() for f in found))), strict=True):
@@ -192,7 +194,7 @@ def encode(docs: DataFrame, vocabulary: str, *, id: str = "doc_id", text: str =
 
     # All columns, as the cogroup below: a narrower projection would move under the shuffle and make it a second one.
     asked = chunks.mapInArrow(frugal(ask), "bucket int, chunk long, lengths binary, words binary")
-    answers = asked.repartition("bucket").mapInArrow(frugal(answer), "chunk long, bucket int, sizes binary, tokens binary")
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(answer), "chunk long, bucket int, sizes binary, tokens binary")
 
     def place_back(left: Iterator[pa.RecordBatch], right: pa.Table) -> Iterator[pa.RecordBatch]:
         order = np.argsort(right.column("bucket").to_numpy(), kind="stable") if right.num_rows else []

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from rankweave.llm.graph import components
 from rankweave.llm.text import frugal, give_back, mix, pieces, shingle_sets
 from rankweave.llm.storage import settle
+from rankweave.operators.joins import skew_safe_join
 
 #: Text bytes in one chunk of documents.
 CHUNK_BYTES = 4 << 20
@@ -343,8 +344,9 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
 
     same = ["one", "two", "n"]
     marks = settle(known.select("id", *same))
-    classes = marks.where("n > 0").groupBy(*same).agg(F.min("id").alias("_class"))
-    suspects = known.where("signatures is not null").join(classes, same).where("id = _class")
+    classes = marks.where("n > 0").groupBy(*same).agg(F.min("id").alias("_class"), F.count(F.lit(1)).alias("_rows"))
+    # By id as well: a key that all copies of a text share would be one task's.
+    suspects = known.where("signatures is not null").join(classes.select(F.col("_class").alias("id"), *same), ["id", *same], "left_semi")
     sets = settle(suspects.select("id", "n", "odd", "shingles", "short", "classes", F.arrays_zip("signatures", "flags").alias("_held")))
     del known, suspects
     # Links are among these sets, so elements that only one of them has are in no other's. With u such elements of n, a
@@ -408,11 +410,19 @@ def jaccard_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", s
     new = _verified(pairs.join(tried, ["a", "b"], "left_anti"), sets).union(_short_links(thin, sets))
     groups = components(new if links is None else links.union(new))
 
-    named = marks.join(classes, same, "left").join(groups.withColumnRenamed("node", "_class"), "_class", "left")
+    # Rows without words and those alone with their set need no look-up by set; a set that very many rows share is split.
+    found = groups.withColumnRenamed("node", "_class")
+    several = classes.where("_rows > 1").join(found, "_class", "left").select(*same, F.coalesce("component", "_class").alias("_of_set"), "_rows")
+    rows = marks.where("n > 0")
+    share = max(rows.count() // (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))), 1024)
+    placed = skew_safe_join(rows, several.drop("_rows"), same, "left", ["id"], share, several.select(*same, "_rows"))
+    alone = placed.where("_of_set is null").join(found.select(F.col("_class").alias("id"), "component"), "id", "left")
+    named = placed.where("_of_set is not null").withColumn("component", F.col("_of_set")).unionByName(alone)
+    named = named.select("id", "n", "component").unionByName(marks.where("n = 0 or n is null").select("id", "n", F.lit(None).cast("long").alias("component")))
     return named.select(
         F.col("id").cast(dict(docs.dtypes)[id]).alias(id),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce(F.least("component", "_class", "id"), "id")).cast(dict(docs.dtypes)[id]).alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.least("component", "id")).cast(dict(docs.dtypes)[id]).alias("component_id"),
     )
 
 

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rankweave.llm.learning import held_out
+from rankweave.llm.learning import hash_below, held_out
 from rankweave.llm.text import LOWER, byte_table, frugal, pieces, runs
 
 #: Bytes of context at most. A context and its symbol fit in 32 bits.
@@ -177,9 +178,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sample(docs: DataFrame, rows: int, id: str, text: str, lang: str) -> DataFrame:
-    """(_id, lang, text) of at most `rows` labelled documents of each language, the first by a hash of the id."""
+    """(_id, lang, text) of at most `rows` labelled documents of each language, the first by a hash of the id.
+
+    Ids are counted by language first, so that only those with a hash below a bound are ordered; a language of which too
+    few come through (its ids repeat very often) is ordered whole."""
     known = docs.where(F.col(lang).isNotNull() & F.col(id).isNotNull() & F.col(text).isNotNull())
     ids = known.select(F.col(id).alias("_id"), F.col(lang).alias("lang"))
+    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    ids = ids.join(F.broadcast(counts), "lang").withColumn("_share", F.lit(4.0 * rows) / F.col("_n"))
+    below = (F.col("_share") >= 1) | hash_below(F.col("_id"), F.col("_share"))
+    passed = ids.where(below).groupBy("lang").agg(F.count_distinct("_id").alias("_passed"), F.first("_share").alias("_share"))
+    scarce = [r.lang for r in passed.where((F.col("_passed") < rows) & (F.col("_share") < 1)).select("lang").collect()]
+    ids = ids.where(below | F.col("lang").isin(scarce))
     order = W.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
     chosen = ids.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= rows).select("_id", "lang").distinct()
     texts = known.select(F.col(id).alias("_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
@@ -206,9 +216,11 @@ def norms(docs: DataFrame, trees: ContextTrees, rows: int = 400, *, id: str = "d
 
     A language without such a document takes the largest rate and spread of the others; with none at all, any text fits.
     """
-    index = trees.index() if trees.languages else None
+    shipped = _shipped(docs.sparkSession, trees)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields, index = shipped.value
+        trees = ContextTrees(*fields)
         for batch in batches:
             names, found = batch.column("lang").to_pylist(), []
             for first, _, data, offsets in pieces(batch.column("text")):
@@ -234,6 +246,43 @@ def norms(docs: DataFrame, trees: ContextTrees, rows: int = 400, *, id: str = "d
     return Norms(np.where(np.isnan(rate), np.nanmax(rate), rate), np.where(np.isnan(spread), np.nanmax(spread), spread))
 
 
+def _shipped(spark: SparkSession, trees: ContextTrees) -> Broadcast:
+    """The trees and their index for all executors, as plain arrays: a broadcast is read by name, and executors need not
+    have this package."""
+    fields = (trees.languages, trees.grams, trees.cost, trees.contexts, trees.escape)
+    return spark.sparkContext.broadcast((fields, trees.index() if trees.languages else None))
+
+
+def _identified(shipped: Broadcast, norms: Norms | None):
+    """A function over (texts, readable) that gives lang_pred, score, bits_per_byte and fits."""
+
+    def run(texts: pa.Array, readable: pa.Array) -> list[pa.Array]:
+        fields, index = shipped.value
+        trees = ContextTrees(*fields)
+        names, size = np.array([*trees.languages, UNKNOWN], object), len(texts)
+        best, score, rate, fits = np.full(size, len(names) - 1), np.zeros(size), np.zeros(size), np.zeros(size, bool)
+        if trees.languages:
+            readable = np.asarray(readable.to_numpy(zero_copy_only=False), bool)
+            for first, last, data, offsets in pieces(texts):
+                starts, ends, owners = prose(data, offsets) if norms else [np.empty(0, int)] * 3
+                bits, words = trees.text_and_span_bits(data, offsets, index, starts, ends)
+                least = bits.min(axis=0)
+                best[first:last] = bits.argmin(axis=0)
+                score[first:last] = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(axis=0)
+                rate[first:last] = least / np.maximum(np.diff(offsets), 1)
+                if norms:
+                    spent, spelt = (np.bincount(owners, w, minlength=last - first) for w in (words, ends - starts))
+                    fits[first:last] = norms.fits(best[first:last], spent, spelt)
+            best[~readable], score[~readable], rate[~readable], fits[~readable] = len(names) - 1, 0, 0, False
+        return [pa.array(names[best], pa.string()), pa.array(score), pa.array(rate), pa.array(fits)]
+
+    return run
+
+
+def _readable(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def identify(docs: DataFrame, trees: ContextTrees, norms: Norms | None = None, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(`id`, lang_pred, score, bits_per_byte) for every row, from its whole text alone; with `norms`, also fits: whether
     the text is in a learned language at all, which the score cannot tell.
@@ -242,33 +291,30 @@ def identify(docs: DataFrame, trees: ContextTrees, norms: Norms | None = None, *
     languages are equally likely beforehand. A null text, a text without a Unicode letter, or a model without languages
     gives `und` with score 0. Rows with equal ids stay apart; other columns are not read.
     """
-    index = trees.index() if trees.languages else None
+    found = _identified(_shipped(docs.sparkSession, trees), norms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*trees.languages, UNKNOWN], object)
         for batch in batches:
-            size = batch.num_rows
-            best, score, rate, fits = np.full(size, len(names) - 1), np.zeros(size), np.zeros(size), np.zeros(size, bool)
-            if trees.languages:
-                readable = np.asarray(batch.column("readable").to_numpy(zero_copy_only=False), bool)
-                for first, last, data, offsets in pieces(batch.column("text")):
-                    starts, ends, owners = prose(data, offsets) if norms else [np.empty(0, int)] * 3
-                    bits, words = trees.text_and_span_bits(data, offsets, index, starts, ends)
-                    least = bits.min(axis=0)
-                    best[first:last] = bits.argmin(axis=0)
-                    score[first:last] = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(axis=0)
-                    rate[first:last] = least / np.maximum(np.diff(offsets), 1)
-                    if norms:
-                        spent, spelt = (np.bincount(owners, w, minlength=last - first) for w in (words, ends - starts))
-                        fits[first:last] = norms.fits(best[first:last], spent, spelt)
-                best[~readable], score[~readable], rate[~readable], fits[~readable] = len(names) - 1, 0, 0, False
-            columns = {"id": batch.column("id"), "lang_pred": pa.array(names[best], pa.string()), "score": pa.array(score), "bits_per_byte": pa.array(rate)}
-            yield pa.record_batch(columns | ({"fits": pa.array(fits)} if norms else {}))
-
-    thin = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("readable"))
+            columns = [batch.column("id"), *found(batch.column("text"), batch.column("readable"))]
+            yield pa.record_batch(columns[: 5 if norms else 4], names=["id", "lang_pred", "score", "bits_per_byte", "fits"][: 5 if norms else 4])
+
+    thin = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), _readable(F.col(text)).alias("readable"))
     return thin.mapInArrow(frugal(run), f"id {dict(thin.dtypes)['id']}, lang_pred string, score double, bits_per_byte double{', fits boolean' * bool(norms)}").withColumnRenamed("id", id)
 
 
+def described(docs: DataFrame, trees: ContextTrees, norms: Norms, *, text: str = "text", output: str = "found") -> DataFrame:
+    """The rows with all their columns and `output`, a struct of what `identify` finds. Only the texts travel to the Python
+    workers, and only the finding comes back."""
+    found = _identified(_shipped(docs.sparkSession, trees), norms)
+
+    def run(texts: pa.Array, readable: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(found(texts, readable), ["lang_pred", "score", "bits_per_byte", "fits"])
+
+    # Deterministic functions would be run once for each use of their result.
+    column = F.arrow_udf(run, "lang_pred string, score double, bits_per_byte double, fits boolean").asNondeterministic()
+    return docs.withColumn(output, column(F.col(text), _readable(F.col(text))))
+
+
 def predict(docs: DataFrame, rows: int = 400, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Learn from the labelled rows outside the held-out fold and predict every row: `id`, held_out, lang_pred, score."""
     trees = fit(docs, rows, id=id, text=text, lang=lang)

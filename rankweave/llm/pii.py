@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.llm.text import frugal
-
 from rankweave.llm.boosting import Boosted, boost
+from rankweave.llm.learning import first_by_hash
+from rankweave.llm.text import frugal
 
 #: The kinds in the order in which spans are listed. The first four have base patterns.
 KINDS = ["email", "ip", "card", "phone", "secret", "account"]
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, settings: Settings = Settings(), *, id: str = "doc_id",
     There are no tables of labelled personal data, so rules label what they are sure of (`rule_label`), and each address
     and card number found is a counterexample once spoiled; what the rules cannot tell is only scored. Null ids are not sampled. One task trains on that bounded sample.
     """
-    ids = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(settings.rows)
+    ids = first_by_hash(docs.where(F.col(id).isNotNull()).select(F.col(id).alias("_id")).distinct(), "_id", settings.rows)
     texts = docs.select(F.col(id).alias("_id"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("text").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,3 +281,19 @@ def find(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text
     thin = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = "array<struct<kind: string, start: bigint, end: bigint>>"
     return thin.mapInArrow(frugal(run), f"id {dict(thin.dtypes)['id']}, base {kind}, spans {kind}, redacted string").withColumnRenamed("id", id)
+
+
+def without_personal_data(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """The rows with all their columns, `text` redacted as `find` does it. Only the texts travel to the Python workers, and
+    only the changed ones come back."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for value in texts:
+            value = value.as_py()
+            every = select(value, model)[1] if value and _MAYBE.search(value) else []
+            out.append(redacted(value, every) if every else None)
+        return pa.array(out, pa.string())
+
+    changed = F.arrow_udf(run, "string").asNondeterministic()(F.col(text))
+    return docs.withColumn("_changed", changed).withColumn(text, F.coalesce("_changed", F.col(text))).drop("_changed")
