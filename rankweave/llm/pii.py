@@ -295,5 +295,8 @@ def without_personal_data(docs: DataFrame, model: Model, *, text: str = "text")
             out.append(redacted(value, every) if every else None)
         return pa.array(out, pa.string())
 
+    name = "_changed"
+    while name in docs.columns:
+        name += "_"
     changed = F.arrow_udf(run, "string").asNondeterministic()(F.col(text))
-    return docs.withColumn("_changed", changed).withColumn(text, F.coalesce("_changed", F.col(text))).drop("_changed")
+    return docs.withColumn(name, changed).withColumn(text, F.coalesce(F.col(name), F.col(text))).drop(name)
