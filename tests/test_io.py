@@ -184,3 +184,17 @@ def test_report_and_schema_json(spark, tmp_path):
     model_store.write_report(df, str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report")).count() == 1
     assert '"weighted_f1"' in schemas.schema_json(df)
+
+
+def test_workers_do_not_have_the_package(spark):
+    """Every other test of this session runs with such workers, so none of the queries needs it there."""
+
+    def look(batches):
+        import importlib.util
+
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.record_batch([pa.array([importlib.util.find_spec(name) is not None for name in ("rankweave", "tests", "corpus_pipeline")])], names=["found"])
+
+    assert [r.found for r in spark.range(1, numPartitions=1).mapInArrow(look, "found boolean").collect()] == [False] * 3
