@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from rankweave.functions.dates import shift_date
 from rankweave.functions.vectors import dot, normalized, zero_array
@@ -92,87 +94,199 @@ def top_n(df: DataFrame, group: Sequence[str], order, n: int, rank: str = "rank"
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
-#: Rows of one block. A pair of blocks is one unit of work; larger blocks mean fewer copies of each side (queries are
-#: copied once per item block and items once per query block), and 50,000 vectors of width 100 are 40 MB.
+#: Queries of one block, which a task holds while items stream past.
 BLOCK_ROWS = 50_000
 
-#: Scores held at once inside a unit of work.
-SCORE_CELLS = 8_000_000
-
-
-def _block_count(df: DataFrame, rows: int | None, block_rows: int, least: int) -> int:
-    """Blocks of at most `block_rows` on average; small data still gets up to `least` blocks to work in parallel.
+#: Items of one part; each part streams past every block of queries in a task of its own.
+PART_ROWS = 500_000
 
-    Rows that are not given are counted, which runs a job over the input."""
-    rows = df.select("id").count() if rows is None else rows
-    return max(math.ceil(rows / block_rows), min(least, math.ceil(rows / 256)), 1)
+#: Items that give each query a first bound for its n-th best score.
+HEAD_ROWS = 4_096
 
+#: Scores held at once inside a unit of work.
+SCORE_CELLS = 8_000_000
 
-def top_n_by_dot(
-    queries: DataFrame,
-    items: DataFrame,
-    n: int,
-    exclude_same_id: bool = False,
-    block_rows: int = BLOCK_ROWS,
-    query_rows: int | None = None,
-    item_rows: int | None = None,
-) -> DataFrame:
+#: Lengths are told apart by quarters of a factor of two; the zero vector has a class of its own.
+_CLASSES_A_DOUBLING, _ZERO_CLASS = 4, -5_000
+
+
+def _length_class(length: Column) -> Column:
+    return F.when(length > 0, F.floor(F.log2(length) * _CLASSES_A_DOUBLING)).otherwise(F.lit(_ZERO_CLASS)).cast("int")
+
+
+def _with_length(df: DataFrame) -> DataFrame:
+    length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda total, v: total + v * v))
+    return df.select("id", F.col("vec").cast("array<double>").alias("vec"), length.alias("length"))
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _best_of(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the `n` best entries of each row: higher scores, then smaller ids."""
+    order = np.lexsort((np.unique(ids, return_inverse=True)[1], -scores, rows))
+    rows = rows[order]
+    first = np.searchsorted(rows, rows, "left")
+    return order[np.arange(len(rows)) - first < n]
+
+
+class _Best:
+    """A block of queries and the best items that have passed it."""
+
+    def __init__(self, n: int, exclude: bool, ids: np.ndarray, vectors: np.ndarray, lengths: np.ndarray, bounds: np.ndarray):
+        self.n, self.exclude, self.ids, self.vectors, self.lengths, self.bounds = n, exclude, ids, vectors, lengths, bounds
+        self.row, self.item, self.score = np.empty(0, np.int64), np.empty(0, object), np.empty(0)
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, longest: float) -> bool:
+        """Take in items of length `longest` at most; False if no item so short can be among the best of any query."""
+        # By Cauchy and Schwarz; the slack is for rounding. Equal scores count, since the smaller id wins.
+        can = np.flatnonzero(self.lengths * longest * (1 + 1e-9) + 1e-300 >= self.bounds)
+        if not len(can):
+            return False
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], vectors[order]
+        step = max(1, SCORE_CELLS // len(ids))
+        for k in range(0, len(can), step):
+            rows = can[k : k + step]
+            scores = self.vectors[rows] @ vectors.T
+            if self.exclude:
+                scores[self.ids[rows][:, None] == ids[None, :]] = -np.inf
+            floor = self.bounds[rows, None]
+            if self.n < scores.shape[1]:
+                floor = np.maximum(floor, -np.partition(-scores, self.n - 1, axis=1)[:, self.n - 1 : self.n])
+            at, item = np.nonzero((scores >= floor) & (scores > -np.inf))
+            order = np.lexsort((item, -scores[at, item], at))
+            at, item = at[order], item[order]
+            kept = np.arange(len(at)) - np.searchsorted(at, at, "left") < self.n
+            at, item = at[kept], item[kept]
+            self.row, self.item, self.score = np.append(self.row, rows[at]), np.append(self.item, ids[item]), np.append(self.score, scores[at, item])
+        if len(self.row) > 4 * self.n * len(self.ids):
+            self.tighten()
+        return True
+
+    def tighten(self) -> None:
+        """Keep the best and raise each query's bound to the score of its n-th."""
+        best = _best_of(self.row, self.item, self.score, self.n)
+        self.row, self.item, self.score = self.row[best], self.item[best], self.score[best]
+        full = np.flatnonzero(np.bincount(self.row, minlength=len(self.ids)) >= self.n)
+        least = np.full(len(self.ids), np.inf)
+        np.minimum.at(least, self.row, self.score)
+        self.bounds[full] = np.maximum(self.bounds[full], least[full])
+
+
+def _first_bounds(n: int, exclude: bool):
+    """Queries of a block against the head: each query's n-th best score there."""
+
+    def run(queries: pa.Table, head: pa.Table) -> pa.Table:
+        bounds = np.full(queries.num_rows, -np.inf)
+        if queries.num_rows and head.num_rows:
+            vectors, items = _matrix(queries["vec"]), _matrix(head["head_vec"])
+            own, others = queries["id"].to_numpy(), head["head_id"].to_numpy()
+            step = max(1, SCORE_CELLS // len(items))
+            for k in range(0, len(vectors), step):
+                scores = vectors[k : k + step] @ items.T
+                if exclude:
+                    scores[own[k : k + step, None] == others[None, :]] = -np.inf
+                if n <= scores.shape[1]:
+                    bounds[k : k + step] = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
+        # Rounding may differ between matrix products of different shapes.
+        return queries.append_column("bound", pa.array(bounds - 1e-9 * np.abs(bounds)))
+
+    return run
+
+
+def _stream_past(n: int, exclude: bool, fields: pa.Schema):
+    """Rows (block, part, kind, falling length, ...): the queries of a unit, then its items, the longest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, best, waiting, open_ = None, None, [], True
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if best is not None and len(best.row):
+                best.tighten()
+                yield pa.RecordBatch.from_arrays([pa.array(best.ids[best.row], fields.field(0).type), pa.array(best.item, fields.field(1).type), pa.array(best.score)], schema=fields)
+
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("block", "part", "kind")])
+            heads = np.append(0, np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1) if batch.num_rows else []
+            for a, b in zip(heads, np.append(heads, batch.num_rows)[1:], strict=True):
+                rows = batch.slice(a, b - a)
+                if unit != tuple(keys[:2, a]):
+                    yield from finish()
+                    unit, best, waiting, open_ = tuple(keys[:2, a]), None, [], True
+                if keys[2, a] == 0:
+                    waiting.append(rows)
+                    continue
+                if waiting:
+                    held = pa.Table.from_batches(waiting)
+                    best, waiting = _Best(n, exclude, held["query_id"].to_numpy(), _matrix(held["vec"]), held["length"].to_numpy(), held["bound"].to_numpy().copy()), []
+                if best is not None and open_:
+                    open_ = best.meet(rows.column("item_id").to_numpy(zero_copy_only=False), _matrix(rows.column("vec")), float(rows.column("length")[0].as_py()))
+        yield from finish()
+
+    return run
+
+
+def _units(queries: DataFrame, items: DataFrame, n: int, exclude: bool, block_rows: int) -> DataFrame:
+    """(block, part, kind, query_id, item_id, vec, length, bound): which items each block of queries has to see."""
+    parallelism = queries.sparkSession.sparkContext.defaultParallelism
+    queries, items = _with_length(queries), _with_length(items).withColumn("class", _length_class(F.col("length")))
+
+    def several(rows: DataFrame, size: int, least: int) -> Column:
+        """How many pieces of `size` rows; small data still gets up to `least`. A scalar subquery: nothing runs yet."""
+        n = F.count(F.lit(1))
+        return rows.agg(F.greatest(F.ceil(n / size), F.least(F.lit(least), F.ceil(n / 256)), F.lit(1)).alias("n")).scalar()
+
+    blocks, parts = several(queries, block_rows, parallelism), several(items, PART_ROWS, 1)
+    # A query of length 0 can be bounded by nothing; such ones have blocks of their own, with negative numbers.
+    place = F.pmod(F.xxhash64("id"), blocks)
+    queries = queries.withColumn("block", F.when(F.col("length") > 0, place).otherwise(-1 - place))
+    # The head: some of the longest items. Any items would give true bounds; long ones give high ones.
+    falling = Window.orderBy(F.desc("class")).rowsBetween(Window.unboundedPreceding, 0)  # one row for each class of lengths
+    counted = items.groupBy("class").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(falling))
+    enough = F.col("upto") >= HEAD_ROWS
+    cut = counted.agg(
+        F.struct(F.coalesce(F.max(F.when(enough, F.col("class"))), F.min("class")).alias("class"), F.coalesce(F.min(F.when(enough, F.col("upto"))), F.max("upto")).alias("n")).alias("cut")
+    ).scalar()
+    chosen = (F.col("class") >= cut["class"]) & (F.xxhash64("id", F.lit("head")) / F.lit(2.0**64) + 0.5 <= F.lit(float(HEAD_ROWS)) / cut["n"])
+    head = items.where(chosen).select(F.col("id").alias("head_id"), F.col("vec").alias("head_vec"), F.explode(F.sequence(-blocks, blocks - 1)).alias("block"))
+    kind = dict(queries.dtypes)["id"]
+    bounded = queries.groupBy("block").cogroup(head.groupBy("block")).applyInArrow(_first_bounds(n, exclude), f"id {kind}, vec array<double>, length double, block long, bound double")
+
+    # Items shorter than the block's smallest bound over its queries' lengths cannot win.
+    least = F.min(F.when(F.col("length") > 0, F.col("bound") / F.col("length")).otherwise(F.lit(-math.inf))) * (1 - 1e-9)
+    shortest = F.when(least > 0, _length_class(least)).otherwise(F.lit(_ZERO_CLASS))
+    classes = items.agg(F.collect_set("class")).scalar()
+    numbers = F.sequence(F.lit(0).cast("long"), parts - 1)
+    wanted = bounded.groupBy("block").agg(shortest.alias("shortest")).withColumn("classes", classes)
+    wanted = wanted.select("block", "shortest", F.explode("classes").alias("class")).where("class >= shortest").drop("shortest")
+    wanted = wanted.withColumn("part", F.explode(numbers))
+    item_part = F.pmod(F.xxhash64("id"), parts)
+    shown = items.withColumn("part", item_part).join(wanted, ["class", "part"])
+    none = F.lit(None)
+    kinds = {"query_id": kind, "item_id": dict(items.dtypes)["id"]}
+    left = bounded.select("block", F.explode(numbers).alias("part"), F.lit(0).alias("kind"), F.col("id").alias("query_id"), none.cast(kinds["item_id"]).alias("item_id"), "vec", "length", "bound")
+    right = shown.select("block", "part", F.lit(1).alias("kind"), none.cast(kind).alias("query_id"), F.col("id").alias("item_id"), "vec", "length", none.cast("double").alias("bound"))
+    return left.unionByName(right)
+
+
+def top_n_by_dot(queries: DataFrame, items: DataFrame, n: int, exclude_same_id: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, item_id, score, rank): exact top `n` items by inner product for each query.
 
-    Both inputs are (id, vec). They are hashed into blocks of bounded size; each pair of blocks is one matrix product
-    inside a task, which hands on only its `n` best per query. The final ranking merges those lists. Give the numbers of
-    rows where they are known. Work spreads
-    over query blocks x item blocks tasks, nothing is broadcast and no pair of rows is ever materialised.
+    Both inputs are (id, vec). Queries are hashed into blocks of bounded size. A few of the longest items give each query a
+    first bound for its n-th best score. Only items that are long enough to beat a block's bounds are sent to it, and they
+    stream past it from the longest on, while the bounds rise; a task stops at the first item that is too short to win. So
+    a task holds one block of queries, whatever the number of items, and skewed lengths save most of the pairs. With equal
+    lengths every item has to be seen. No job runs while the plan is built.
     """
-    spark = queries.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    query_blocks = _block_count(queries, query_rows, block_rows, parallelism)
-    item_blocks = _block_count(items, item_rows, block_rows, 1)
-    id_types = {f.name: f.dataType.simpleString() for f in queries.select("id").schema.fields}
-    item_type = items.select("id").schema[0].dataType.simpleString()
-
-    def blocks(df: DataFrame, own: str, own_count: int, other: str, other_count: int) -> DataFrame:
-        return df.select(
-            "id", "vec", F.pmod(F.xxhash64("id"), F.lit(own_count)).cast("int").alias(own)
-        ).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_count - 1))))
-
-    left = blocks(queries, "_qb", query_blocks, "_ib", item_blocks)
-    right = blocks(items, "_ib", item_blocks, "_qb", query_blocks)
-
-    def best(left_pdf: pd.DataFrame, right_pdf: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "item_id", "score"]
-        if left_pdf.empty or right_pdf.empty:
-            return pd.DataFrame({c: [] for c in columns})
-        right_pdf = right_pdf.sort_values("id", kind="stable")
-        item_ids = right_pdf["id"].to_numpy()
-        item_matrix = np.stack(right_pdf["vec"].to_numpy()).astype(np.float64)
-        take = min(n + int(exclude_same_id), len(item_ids))
-        parts = []
-        rows_at_once = max(1, SCORE_CELLS // len(item_ids))
-        for start in range(0, len(left_pdf), rows_at_once):
-            chunk = left_pdf.iloc[start : start + rows_at_once]
-            query_ids = chunk["id"].to_numpy()
-            scores = np.stack(chunk["vec"].to_numpy()).astype(np.float64) @ item_matrix.T
-            if take < scores.shape[1]:
-                # Everything at or above the take-th best score; the sort below settles ties by item id.
-                floor = -np.partition(-scores, take - 1, axis=1)[:, take - 1 : take]
-                keep = scores >= floor
-            else:
-                keep = np.ones(scores.shape, dtype=bool)
-            rows, cols = np.nonzero(keep)
-            order = np.lexsort((cols, -scores[rows, cols], rows))
-            rows, cols = rows[order], cols[order]
-            starts = np.searchsorted(rows, np.arange(len(query_ids)))
-            within = np.arange(len(rows)) - starts[rows] < take
-            rows, cols = rows[within], cols[within]
-            part = pd.DataFrame(
-                {"query_id": query_ids[rows], "item_id": item_ids[cols], "score": scores[rows, cols]}
-            )
-            parts.append(part[part["query_id"] != part["item_id"]] if exclude_same_id else part)
-        return pd.concat(parts, ignore_index=True)
-
-    schema = f"query_id {id_types['id']}, item_id {item_type}, score double"
-    partial = left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInPandas(best, schema)
+    types = {"query_id": queries.schema["id"].dataType.simpleString(), "item_id": items.schema["id"].dataType.simpleString()}
+    schema = f"query_id {types['query_id']}, item_id {types['item_id']}, score double"
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    units = _units(queries, items, n, exclude_same_id, block_rows)
+    ordered = units.repartition("block", "part").sortWithinPartitions("block", "part", "kind", F.desc("length"))
+    partial = ordered.mapInArrow(_stream_past(n, exclude_same_id, fields), schema)
     return top_n(partial, ["query_id"], [F.col("score").desc(), F.col("item_id")], n)
 
 

@@ -177,6 +177,35 @@ def test_top_n_over_many_blocks(spark):
         assert [g[2] for g in got] == pytest.approx([scores[j] for j in expected])
 
 
+def test_top_n_visits_few_pairs_of_skewed_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(3000, 6)) * np.exp(rng.normal(size=(3000, 1)) * 2)
+    data[100:140] = 0.0
+    data[500:700] = data[500] / np.linalg.norm(data[500]) * 1e-3
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id long, vec array<double>")
+    asked = np.vstack([rng.normal(size=(300, 6)), np.zeros((2, 6))])
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "id long, vec array<double>")
+    monkeypatch.setattr(similarity, "HEAD_ROWS", 100)
+    monkeypatch.setattr(similarity, "PART_ROWS", 1000)
+    units = similarity._units(queries.where("id < 300"), items, 10, False, 40)
+    sizes = units.groupBy("block", "part").agg(F.count_if(F.col("kind") == 0).alias("q"), F.count_if(F.col("kind") == 1).alias("i")).collect()
+    assert sum(r["q"] * r["i"] for r in sizes) + 300 * 200 < 0.2 * 300 * 3000
+    for exclude in (False, True):
+        found = collections.defaultdict(list)
+        for r in similarity.top_n_by_dot(queries, items, 10, exclude, block_rows=40).collect():
+            found[r["query_id"]].append((r["rank"], r["item_id"], r["score"]))
+        for q in range(302):
+            scores = data @ asked[q]
+            order = sorted((i for i in range(3000) if not (exclude and i == q)), key=lambda i: (-scores[i], i))[:10]
+            got = sorted(found[q])
+            assert [g[2] for g in got] == pytest.approx([scores[i] for i in order], rel=1e-9, abs=1e-12)
+            if len(set(np.round(scores[order], 12))) == 10 or q >= 300:
+                assert [g[1] for g in got] == order
+    few = similarity.top_n_by_dot(queries.where("id < 2"), items.where("id < 3"), 10).collect()
+    assert len(few) == 6
+    assert similarity.top_n_by_dot(queries.limit(0), items, 3).count() == similarity.top_n_by_dot(queries, items.limit(0), 3).count() == 0
+
+
 def test_similar_items_leave_themselves_out(spark):
     df, data = vector_table(spark, 40, 4, 3)
     unit = data / np.linalg.norm(data, axis=1, keepdims=True)
@@ -412,7 +441,7 @@ def test_building_a_join_starts_no_job(spark):
         cleaning.best_label_of_repeat_users(rows)
         similarity.previous_day_vectors(rows, vectors, "feed_id", 2, "v")
         similarity.add_history_similarity(rows, items, vectors, 2)
-        similarity.top_n_by_dot(vectors, vectors, 2, query_rows=3, item_rows=3)
+        similarity.top_n_by_dot(vectors.select("id", "vec"), vectors.select("id", "vec"), 2)
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
     finally:
         spark.sparkContext.setJobGroup("", "")
