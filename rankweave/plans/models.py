@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from rankweave.models import als, embeddings, ffm, ffm_table, fm, fm_table, trees, tuning
+from rankweave.models import als, embeddings, ffm, ffm_table, fm, fm_table, tree_table, trees, tuning
 from rankweave.operators import binary_eval, ranking_eval, sequences
 from rankweave.plans import views
 from rankweave.plans.catalog import query
@@ -252,6 +252,41 @@ def gbt_fit_score(spark, sf_dir):
     )
 
 
+#: A formula ensemble: five complete trees of depth 3, nodes numbered level by level.
+_TREES, _INNER = 5, 7
+_TREE_FEATURE = f"((t * 7 + n * 11) % {WIDTH})"
+_TREE_CUT = "(((t * 5 + n * 3) % 7 - 3) / 20.0::DOUBLE)"
+
+
+def _tree_step(level: int) -> str:
+    return f"""level{level + 1} AS (
+      SELECT id, vec, t, 2 * n + CASE WHEN vec[{_TREE_FEATURE} + 1] <= {_TREE_CUT} THEN 1 ELSE 2 END AS n FROM level{level})"""
+
+
+@query(
+    "tree_leaf_score",
+    f"""WITH {views.VECTORS}, level0 AS (
+      SELECT id, vec, t, 0 AS n FROM vectors CROSS JOIN (SELECT unnest(generate_series(0, {_TREES - 1})) AS t)),
+    {_tree_step(0)}, {_tree_step(1)}, {_tree_step(2)},
+    summed AS (
+      SELECT id, string_agg(CAST(n - {_INNER} AS VARCHAR), ',' ORDER BY t) AS leaves,
+             sum(CASE WHEN t = 0 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END * ((t * 3 + n) % 9 - 4) / 10.0::DOUBLE) AS margin
+      FROM level3 GROUP BY id)
+    SELECT id, leaves, round(margin, 6) AS margin, round(1.0::DOUBLE / (1.0::DOUBLE + exp(-2 * margin)), 6) AS probability FROM summed""",
+)
+def tree_leaf_score(spark, sf_dir):
+    """Leaves, margin and probability of an ensemble that is given as a table of nodes."""
+    nodes = []
+    for t in range(_TREES):
+        for n in range(2 * _INNER + 1):
+            inner = n < _INNER
+            split = ((t * 7 + n * 11) % WIDTH, ((t * 5 + n * 3) % 7 - 3) / 20.0, None, 2 * n + 1, 2 * n + 2) if inner else (-1, None, None, -1, -1)
+            nodes.append((t, 0.5 if t else 1.0, n, *split, ((t * 3 + n) % 9 - 4) / 10.0, -1 if inner else n - _INNER))
+    ensemble = tree_table.TreeTable.of(spark.createDataFrame(nodes, tree_table.NODE_SCHEMA))
+    scored = ensemble.score(_labelled(spark, sf_dir).select("id", "features")).select("id", "trees.*")
+    return scored.select("id", F.array_join(F.col("leaves").cast("array<string>"), ",").alias("leaves"), F.round("margin", 6).alias("margin"), F.round("probability", 6).alias("probability"))
+
+
 @query("tree_importance")
 def tree_importance(spark, sf_dir):
     rows = _tree_features(spark, sf_dir)

@@ -129,3 +129,47 @@ def test_byte_hash_blocks_against_scalar_arithmetic():
 
     texts = ["abcd" * n for n in range(9)] + ["spark sql engine"]
     assert murmur32(pd.Series(texts), 0).tolist() == [scalar(t.encode()) for t in texts]
+
+
+def test_tree_table_equals_the_fitted_model(spark, tmp_path):
+    import random
+
+    from pyspark.ml.feature import VectorIndexer
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from rankweave.models import tree_table, trees
+
+    rnd = random.Random(4)
+    rows = []
+    for i in range(300):
+        x = [float(rnd.randrange(4)), rnd.uniform(-1, 1), rnd.uniform(-1, 1), 0.0 if rnd.random() < 0.6 else 1.5]
+        label = float((x[0] in (1.0, 3.0)) != (x[1] > 0.2))
+        rows.append((i, Vectors.dense(x) if i % 2 else Vectors.sparse(4, [(k, v) for k, v in enumerate(x) if v]), label))
+    df = spark.createDataFrame(rows, ["id", "raw", "label"])
+    df = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=4).fit(df).transform(df).cache()
+    model = trees.boosted_trees(rounds=4, depth=3, sample=1.0).fit(df)
+    nodes = tree_table.export_trees(model, str(tmp_path / "model"), spark)
+    assert nodes.where("categories is not null").count() and nodes.where("cut is not null").count()
+    tree_table.write_trees(nodes, str(tmp_path / "nodes"))
+    again = tree_table.TreeTable.of(tree_table.read_trees(spark, str(tmp_path / "nodes")))
+    scored = again.score(model.transform(df)).select(
+        "trees.*", vector_to_array("predLeaf").cast("array<int>").alias("own"), vector_to_array("gbt_margin")[1].alias("own_margin"), vector_to_array("gbt_probability")[1].alias("own_probability")
+    )
+    for r in scored.collect():
+        assert r["leaves"] == r["own"]
+        assert r["margin"] == pytest.approx(r["own_margin"]) and r["probability"] == pytest.approx(r["own_probability"])
+    plain = again.score(df.select(vector_to_array("features").alias("features"), "id")).select("id", "trees.margin")
+    assert {r["id"]: r["margin"] for r in plain.collect()} == {r["id"]: r["margin"] for r in again.score(df).select("id", "trees.margin").collect()}
+
+    one = DecisionTreeRegressor(maxDepth=2).fit(df)
+    single = tree_table.TreeTable.of(tree_table.export_trees(one, str(tmp_path / "one"), spark))
+    both = single.score(one.transform(df)).select("trees.margin", "prediction").collect()
+    assert all(r["margin"] == pytest.approx(r["prediction"]) for r in both)
+    stump = spark.createDataFrame([(0, 1.0, 0, -1, None, None, -1, -1, 0.5, 0)], tree_table.NODE_SCHEMA)
+    assert tree_table.TreeTable.of(stump).score(df).select("trees.margin", "trees.leaves").first().asDict() == {"margin": 0.5, "leaves": [0]}
+    with pytest.raises(ValueError):
+        tree_table.TreeTable.of(nodes.where("node <> 0"))
+    odd = spark.createDataFrame([(1, [None, 0.1, 0.1, 0.0]), (2, [float("nan")] * 4)], "id int, features array<double>")
+    assert again.score(odd).count() == 2
