@@ -15,6 +15,10 @@ ERF_TERMS = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 INV_SQRT_2 = 0.707106781
 
 
+#: Shares into which the rows of each group are dealt.
+SHARES = 64
+
+
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
@@ -37,12 +41,15 @@ def gaussian_cdf(x: Column, mean: Column | float = 0.0, std: Column | float = 1.
 def normalize_scores(df: DataFrame, score: str, groups: Sequence[str], method: str = "cdf") -> DataFrame:
     """Append `<score>_norm`: each score against mean and deviation of its group.
 
-    The statistics are aggregated first (map-side combine) and joined back, so no group is ever gathered in one task
-    and the statistics, one row per group, are joined by the plan that adaptive execution picks from their size. Null
-    groups are a group; a group without spread gets 0.5.
+    The statistics are aggregated first (map-side combine) and joined back. Rows of a group are dealt to shares by their
+    values and its statistics, one row, are copied into each, so that a few large groups do not make a few large tasks.
+    Null groups are a group; a group without spread gets 0.5.
     """
     stats = df.groupBy(*groups).agg(F.avg(score).alias("_mean"), F.stddev_samp(score).alias("_std"))
-    joined = null_safe_join(df, stats, list(groups), "left")
+    values = [c for c, kind in df.dtypes if not kind.startswith("map") and "map<" not in kind]
+    dealt = df.withColumn("_share", F.pmod(F.xxhash64(*values), F.lit(SHARES)).cast("int"))
+    copied = stats.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    joined = null_safe_join(dealt, copied, [*groups, "_share"], "left")
     z = (F.col(score) - F.col("_mean")) / F.col("_std")
     if method == "cdf":
         value = gaussian_cdf(F.col(score), F.col("_mean"), F.col("_std"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.operators.indexing import index_ids, with_index
+from rankweave.operators.naming import name_lists
 from rankweave.operators.ranking_eval import RankingMetricsEvaluator
 from rankweave.session import cut_lineage, ensure_checkpoint_dir
 
@@ -31,34 +32,35 @@ class Recommender:
     user_column: str
     item_column: str
 
-    def _named(self, lists: DataFrame, key: str, own: DataFrame, own_name: str, other: DataFrame, other_name: str) -> DataFrame:
-        ranked = lists.select(F.col(key), F.posexplode("recommendations").alias("rank", "r")).select(
-            key, (F.col("rank") + 1).alias("rank"), F.col(f"r.{other_name}_index").alias("_other"), F.col("r.rating").alias("score")
-        )
-        names = other.select(F.col(other_name), F.col(f"{other_name}_index").alias("_other"))
+    def _named_lists(self, lists: DataFrame, key: str, own: DataFrame, own_name: str, other: DataFrame, other_name: str) -> DataFrame:
+        """(own name, names, scores): the lists of the model with names for numbers. Every popular item is in most lists, so
+        they are not joined by item."""
+        entries = F.col("recommendations")
+        split = lists.select(key, F.transform(entries, lambda r: r[f"{other_name}_index"]).alias("ids"), F.transform(entries, lambda r: r["rating"]).alias("scores"))
+        names = other.select(F.col(f"{other_name}_index").alias("id"), F.col(other_name).alias("name"))
         owners = own.select(F.col(own_name), F.col(f"{own_name}_index").alias(key))
-        return ranked.join(names, "_other").join(owners, key).select(own_name, other_name, "score", "rank")
+        return name_lists(split, names, key).join(owners, key).select(own_name, "names", "scores")
+
+    def _rows(self, named: DataFrame, own_name: str, other_name: str) -> DataFrame:
+        pairs = named.select(own_name, F.posexplode(F.arrays_zip("names", "scores")).alias("rank", "r"))
+        return pairs.select(own_name, F.col("r.names").alias(other_name), F.col("r.scores").alias("score"), (F.col("rank") + 1).alias("rank"))
+
+    def _item_lists(self, n: int) -> DataFrame:
+        lists = self.model.recommendForAllUsers(n)
+        return self._named_lists(lists, f"{self.user_column}_index", self.users, self.user_column, self.items, self.item_column)
 
     def top_items(self, n: int = TOP_ITEMS) -> DataFrame:
         """(user, item, score, rank): the best `n` items of every user, by blocked factor products."""
-        key = f"{self.user_column}_index"
-        lists = self.model.recommendForAllUsers(n)
-        return self._named(lists, key, self.users, self.user_column, self.items, self.item_column)
+        return self._rows(self._item_lists(n), self.user_column, self.item_column)
 
     def top_users(self, n: int = TOP_ITEMS) -> DataFrame:
-        key = f"{self.item_column}_index"
         lists = self.model.recommendForAllItems(n)
-        return self._named(lists, key, self.items, self.item_column, self.users, self.user_column)
+        named = self._named_lists(lists, f"{self.item_column}_index", self.items, self.item_column, self.users, self.user_column)
+        return self._rows(named, self.item_column, self.user_column)
 
     def recommendation_lists(self, n: int = TOP_ITEMS) -> DataFrame:
         """(user, recommendations): ordered item lists of at most `n`."""
-        entry = F.struct("rank", self.item_column)
-        ordered = F.sort_array(F.collect_list(entry))
-        return (
-            self.top_items(n)
-            .groupBy(self.user_column)
-            .agg(F.transform(ordered, lambda e: e[self.item_column]).alias("recommendations"))
-        )
+        return self._item_lists(n).select(self.user_column, F.col("names").alias("recommendations"))
 
     def with_labels(self, labels: DataFrame, n: int = TOP_ITEMS) -> DataFrame:
         """Recommendation lists next to the distinct label lists (user, label) of the same users."""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, VectorIndexer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.models import fm
@@ -150,6 +150,18 @@ def training_summary(df: DataFrame, model: LogisticRegressionModel) -> DataFrame
     return df.sparkSession.createDataFrame(rows, "iteration int, objective double")
 
 
+def training_roc(model: LogisticRegressionModel) -> DataFrame:
+    """(point, fpr, tpr): the ROC curve of a logistic regression on its training data, from (0, 0) to (1, 1)."""
+    roc = model.summary.roc
+    order = F.row_number().over(Window.orderBy("FPR", "TPR"))  # Spark's curve has some thousand points at most
+    return roc.select(order.cast("bigint").alias("point"), F.col("FPR").alias("fpr"), F.col("TPR").alias("tpr"))
+
+
+def training_area(df: DataFrame, model: LogisticRegressionModel) -> DataFrame:
+    """One row: the area under that curve."""
+    return df.sparkSession.createDataFrame([(float(model.summary.areaUnderROC),)], "area_under_roc double")
+
+
 def use_best_threshold(model: LogisticRegressionModel) -> float:
     """Set the model's threshold to the one with the highest F-measure on its training data."""
     by_threshold = model.summary.fMeasureByThreshold

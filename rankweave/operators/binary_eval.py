@@ -1,8 +1,9 @@
 """Evaluation of binary scores: threshold curves, areas, confusion-based metrics.
 
 A curve needs running totals over all scores in order. Instead of one global window, scores are grouped (equal scores
-become one row), cut into ranges at approximate quantiles, totalled per range, and each range then adds the totals of
-the ranges above it. The quantiles only balance the work; results are exact whatever they are.
+become one row), cut into ranges, totalled per range, and each range then adds the totals of the ranges above it. Ranges
+come from quantile sketches in two levels, as many as the number of distinct scores asks for. The sketches only balance
+the work; results are exact whatever they are.
 """
 
 from __future__ import annotations
@@ -12,22 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: 2^bits score ranges; the table of range totals has that many rows at most. More bits let more tasks work: with the
-#: default a task sorts a 512th of the distinct scores, so take log2(distinct scores / 10^6) for more than 5 * 10^8.
-RANGE_BITS = 9
+#: Distinct scores of one range, which a task sorts; there are at most 512 ranges of 512 each.
+RANGE_ROWS = 100_000
 
+_FAN_BITS = 9
+_FAN = 1 << _FAN_BITS
 
-def _range_of(value: Column, bounds: Column, bits: int) -> Column:
-    """Number of sorted `bounds` (2^bits - 1 of them) that are <= value, by bisection inside the row."""
+
+def _range_of(value: Column, bounds: Column) -> Column:
+    """Number of sorted `bounds` (fewer than 512) that are <= value, by bisection inside the row."""
 
     def halve(low: Column, step: Column) -> Column:
         return F.when(F.get(bounds, low + step - 1) <= value, low + step).otherwise(low)
 
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(_FAN_BITS))])
     return F.aggregate(steps, F.lit(0), halve)
 
 
-def score_table(df: DataFrame, score: str, label: str, bits: int = RANGE_BITS) -> DataFrame:
+def _cuts(score: Column, ranges: Column) -> Column:
+    """An aggregate: the bounds of `ranges` ranges (1 to 512) of about equal size. The sketch has a fixed size."""
+    sketch = F.percentile_approx(score, [i / _FAN for i in range(1, _FAN)], _FAN << 3)
+    picked = F.transform(F.sequence(F.lit(1), ranges - 1), lambda i: F.get(sketch, F.floor(i * _FAN / ranges).cast("int") - 1))
+    return F.when(ranges > 1, picked).otherwise(F.array().cast("array<double>"))
+
+
+def score_table(df: DataFrame, score: str, label: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row per distinct score with running totals from the highest score down to and including it.
 
     Columns: score, pos, neg, cum_pos, cum_neg, rank (1 = highest), and the overall total_pos, total_neg, scores.
@@ -38,32 +48,41 @@ def score_table(df: DataFrame, score: str, label: str, bits: int = RANGE_BITS) -
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.sum(is_positive).alias("pos"), F.sum(1 - is_positive).alias("neg"))
     )
-    cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = counts.agg(F.percentile_approx("score", cuts, 1 << (bits + 3))).scalar()
-    bounded = counts.withColumn("_bounds", bounds)
-    ranged = bounded.withColumn("_range", _range_of(F.col("score"), F.col("_bounds"), bits)).drop("_bounds")
-    totals = ranged.groupBy("_range").agg(
-        F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.count(F.lit(1)).alias("_n")
-    )
-    # At most 2^bits rows: a window over all of them, and a broadcast, stay small at any scale.
-    above = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.col("_range").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    offsets = totals.select(
+
+    def wanted(n: Column) -> Column:
+        return F.greatest(F.least(F.ceil(n / range_rows), F.lit(_FAN)), F.lit(1)).cast("int")
+
+    # First level: up to 512 ranges of all scores; second level: up to 512 of each of these, where it is still too large.
+    outer = counts.agg(_cuts(F.col("score"), wanted(F.count(F.lit(1)))).alias("bounds")).scalar()
+    ranged = counts.withColumn("_bounds", outer).withColumn("_range", _range_of(F.col("score"), F.col("_bounds"))).drop("_bounds")
+    finer = ranged.groupBy("_range").agg(_cuts(F.col("score"), wanted(F.count(F.lit(1)))).alias("_bounds"))
+    # At most 512 rows of at most 511 numbers.
+    split = ranged.join(F.broadcast(finer), "_range").withColumn("_part", _range_of(F.col("score"), F.col("_bounds"))).drop("_bounds")
+    sums = [F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.count(F.lit(1)).alias("_n")]
+    totals = split.groupBy("_range", "_part").agg(*sums)
+    above = Window.partitionBy("_range").orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    parts = totals.select("_range", "_part", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_in") for c in ("_pos", "_neg", "_n")])
+    # At most 512 rows: a window over all of them, and a broadcast.
+    whole = totals.groupBy("_range").agg(*[F.sum(c).alias(c) for c in ("_pos", "_neg", "_n")])
+    order = Window.orderBy(F.col("_range").desc())
+    higher, everything = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranges = whole.select(
         "_range",
-        *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("_pos", "_neg", "_n")],
+        *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"{c}_out") for c in ("_pos", "_neg", "_n")],
         F.sum("_pos").over(everything).alias("total_pos"),
         F.sum("_neg").over(everything).alias("total_neg"),
         F.sum("_n").over(everything).alias("scores"),
     )
-    inside = Window.partitionBy("_range").orderBy(F.col("score").desc())
+    offsets = parts.join(F.broadcast(ranges), "_range").select(
+        "_range", "_part", *[(F.col(f"{c}_in") + F.col(f"{c}_out")).alias(f"{c}_above") for c in ("_pos", "_neg", "_n")], "total_pos", "total_neg", "scores"
+    )
+    inside = Window.partitionBy("_range", "_part").orderBy(F.col("score").desc())
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        ranged.withColumn("_p", F.sum("pos").over(running))
+        split.withColumn("_p", F.sum("pos").over(running))
         .withColumn("_q", F.sum("neg").over(running))
         .withColumn("_r", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_range")
+        .join(offsets, ["_range", "_part"])
         .select(
             "score",
             "pos",
@@ -88,13 +107,13 @@ def _f_measure(precision: Column, recall: Column, beta: float) -> Column:
     return F.when(whole > 0, F.lit(1.0 + square) * precision * recall / whole).otherwise(F.lit(0.0))
 
 
-def threshold_curve(df: DataFrame, score: str = "score", label: str = "label", bins: int = 10, bits: int = RANGE_BITS) -> DataFrame:
+def threshold_curve(df: DataFrame, score: str = "score", label: str = "label", bins: int = 10, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Precision, recall, F1, F0.5 and ROC coordinates for "score >= threshold", highest threshold first in `point`.
 
     With `bins`, neighbouring distinct scores are merged into groups of floor(distinct / bins) by global rank, as far
     as that gives groups of two or more; the threshold of a group is its lowest score. bins=0 keeps every score.
     """
-    table = score_table(df, score, label, bits)
+    table = score_table(df, score, label, range_rows)
     if bins > 0:
         size = F.floor(F.col("scores") / F.lit(bins))
         group = F.when(size >= 2, F.floor((F.col("rank") - 1) / size)).otherwise(F.col("rank") - 1)
@@ -134,9 +153,9 @@ def threshold_curve(df: DataFrame, score: str = "score", label: str = "label", b
     )
 
 
-def areas(df: DataFrame, score: str = "score", label: str = "label", bits: int = RANGE_BITS) -> DataFrame:
+def areas(df: DataFrame, score: str = "score", label: str = "label", range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row: areas under the exact ROC and precision-recall curves; null when only one class is present."""
-    table = score_table(df, score, label, bits)
+    table = score_table(df, score, label, range_rows)
     pos_before = F.col("cum_pos") - F.col("pos")
     neg_before = F.col("cum_neg") - F.col("neg")
     roc_step = F.col("neg") * (pos_before + F.col("pos") / 2)

@@ -168,3 +168,20 @@ def split_number(weights: Sequence[float], keys: Sequence[str]) -> Column:
         high += weight / total
         number = number + (draw >= F.lit(high)).cast("int")
     return number
+
+
+def users_with_several(rows: DataFrame, user: str, counted: str, least: int = 2) -> DataFrame:
+    """(user): the users with at least `least` non-null values of `counted`, by counts alone."""
+    return rows.groupBy(user).agg(F.count(counted).alias("_n")).where(F.col("_n") >= least).select(user)
+
+
+def join_ratings_with_users(
+    ratings: DataFrame, users: DataFrame, user: str = "device_id", how: str = "inner", several: str | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    """Ratings with what is known of their users (one row for each). `several` names a column of which a user must have two
+    non-null values at least: that needs counts only, so the ratings take part in a single join. `counts`, the
+    `key_counts` of the ratings' users, lets hot users be split."""
+    if several is not None:
+        users = users.join(users_with_several(ratings, user, several), user)
+        how = "inner" if how == "left" else how
+    return skew_safe_join(ratings, users, [user], how, counts=counts)

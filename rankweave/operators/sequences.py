@@ -47,9 +47,10 @@ def collect_sequences(
     """(group..., part, output array): the items of each group in order, split into parts of `part_size`.
 
     Groups up to `part_size` are collected in one aggregation and have the single part 0. Longer ones are numbered
-    with `ordered_positions` first, so that no task ever holds more than `part_size` items of a group. Whether there
-    are long groups is settled by one count over the group columns; usually there are none and the plan is a single
-    shuffle. `sized_by` is a cheaper table with at least as many rows per group to count instead.
+    with `ordered_positions` first, so that no task ever holds more than `part_size` items of a group. Which groups are
+    long is a count over the group columns, part of the same plan: no job runs while it is built, and adaptive execution
+    drops the branch of long groups where there are none. `sized_by` is a cheaper table with at least as many rows per
+    group to count instead.
 
     The items and their order are the same for every `part_size`: the parts of a group, one after the other, are its
     whole list (`sequence_items` gives it row by row). Null keys and null order values (first) take part.
@@ -67,11 +68,8 @@ def collect_sequences(
 
     sizes = (rows if sized_by is None else sized_by).groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     long_groups = sizes.where(F.col("_n") > part_size).select(*group)
-    whole = F.lit(0).cast("bigint")
-    if long_groups.isEmpty():
-        return gather(rows.withColumn("part", whole), min_size)
     # At most rows / part_size groups; Spark picks both joins by the measured size.
-    short = null_safe_join(rows, long_groups, group, "left_anti").withColumn("part", whole)
+    short = null_safe_join(rows, long_groups, group, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
     long = ordered_positions(null_safe_join(rows, long_groups, group, "left_semi"), group, order, bucket)
     long = long.withColumn("part", F.floor(F.col("_position") / F.lit(part_size)).cast("bigint")).drop("_position")
     enough = long.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_size).select(*group)
@@ -85,6 +83,14 @@ def sequence_items(sequences: DataFrame, group: Sequence[str], output: str = "it
     return rows.select(*group, (F.col("part") * part_size + F.col("_at")).cast("bigint").alias("position"), "item")
 
 
+def item_positions(df: DataFrame, group: Sequence[str], item: str, order: Sequence[str] = ("ts", "event_id"), bucket: Column | None = None) -> DataFrame:
+    """(group..., position, item): the sequences in their long form, without any list, whatever the size of a group."""
+    bucket = F.date_trunc("minute", F.col(order[0])) if bucket is None else bucket
+    rows = df.where(F.col(item).isNotNull()).select(*dict.fromkeys([*group, *order, item]))
+    placed = ordered_positions(rows, list(group), order, bucket)
+    return placed.select(*group, F.col("_position").cast("bigint").alias("position"), F.col(item).alias("item"))
+
+
 def _positive(df: DataFrame, options: dict) -> DataFrame:
     if options.get("sized_by") is not None:
         options["sized_by"] = options["sized_by"].where(F.col("label") == 1)

@@ -12,10 +12,10 @@ from rankweave.functions.byte_hash import byte_hash
 from rankweave.functions.scores import normalize_scores
 from rankweave.models.batches import vector_parts
 from rankweave.models.stages import ColumnProduct, TagHasher, TagUnionHasher, ValueOneHot
-from rankweave.operators import profile, sequences, similarity
+from rankweave.operators import naming, profile, sequences, similarity
 from rankweave.plans import views
 from rankweave.plans.catalog import query
-from rankweave.plans.sql_hash import sql_tag_hash
+from rankweave.plans.sql_hash import sql_byte_codes, sql_byte_hashes, sql_tag_hash
 
 DIM = 1000
 WIDTH = views.VECTOR_WIDTH
@@ -140,7 +140,11 @@ def union_tag_hash(spark, sf_dir):
     return hashed.withColumn("vec_parts", F.unwrap_udt("vec")).select("item_id", _joined(active).alias("slots"))
 
 
-@query("murmur_bytes")
+@query(
+    "murmur_bytes",
+    f"""WITH texts AS (SELECT doc_id, {sql_byte_codes('text')} AS codes FROM documents), {sql_byte_hashes('texts')}
+    SELECT doc_id, h32, h64, h128_1, h128_2 FROM byte_hashes""",
+)
 def murmur_bytes(spark, sf_dir):
     text = F.col("text")
     return views.table(spark, sf_dir, "documents").select(
@@ -148,7 +152,7 @@ def murmur_bytes(spark, sf_dir):
         byte_hash(text, "hash32").alias("h32"),
         byte_hash(text, "hash64").alias("h64"),
         byte_hash(text, "hash128").alias("h128"),
-    )
+    ).select("doc_id", "h32", "h64", F.col("h128")[0].alias("h128_1"), F.col("h128")[1].alias("h128_2"))
 
 
 @query("duplicate_groups", "SELECT count(*) AS groups, sum(n)::BIGINT AS copies, max(n) AS largest FROM (SELECT count(*) AS n FROM documents GROUP BY text)")
@@ -176,7 +180,13 @@ def hash_collisions(spark, sf_dir):
     return profile.hash_collisions(views.tags(spark, sf_dir), "tags")
 
 
-@query("hash_collisions_64")
+@query(
+    "hash_collisions_64",
+    f"""WITH {views.TAGS}, {_VOCABULARY},
+    texts AS (SELECT tag, {sql_byte_codes('substring(tag, 1, greatest(length(tag) - 2, 0))')} AS codes FROM vocabulary),
+    {sql_byte_hashes('texts')}
+    SELECT CAST(h64 % 150 + 150 AS INTEGER) AS bucket, count(*) AS tags FROM byte_hashes GROUP BY bucket""",
+)
 def hash_collisions_64(spark, sf_dir):
     return profile.hash_collisions(views.tags(spark, sf_dir), "tags", "hash64", mode="reference")
 
@@ -472,6 +482,25 @@ def topn_items_for_users(spark, sf_dir):
     return found.select("query_id", "item_id", F.round("score", 6).alias("score"), "rank")
 
 
+@query(
+    "recommendation_names",
+    f"""WITH {views.INTERACTIONS}, {views.VECTORS}, {_USER_FACTORS}, ranked AS (
+      SELECT a.id AS device_id, b.id AS item, list_dot_product(a.vec, b.vec) AS score,
+             row_number() OVER (PARTITION BY a.id ORDER BY list_dot_product(a.vec, b.vec) DESC, CAST(b.id AS BIGINT)) AS rank
+      FROM user_factors a CROSS JOIN vectors b)
+    SELECT device_id, CAST(rank AS INTEGER) AS rank, p_name AS name FROM ranked LEFT JOIN part ON p_partkey = CAST(item AS BIGINT)
+    WHERE rank <= 30""",
+)
+def recommendation_names(spark, sf_dir):
+    """The best 30 items of each device, from given factors, with the items' names; some items have none."""
+    items = views.vectors(spark, sf_dir).select(F.col("id").cast("long").alias("id"), "vec")
+    ranked = similarity.top_n_by_dot(_user_factors(spark, sf_dir), items, 30)
+    lists = similarity.as_lists(ranked, output="ids")
+    names = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    named = naming.name_lists(lists, names, "query_id")
+    return named.select(F.col("query_id").alias("device_id"), F.posexplode("names").alias("rank", "name")).withColumn("rank", F.col("rank") + 1)
+
+
 @query("topn_users_for_items", _topn_sql("vectors", "user_factors", 20))
 def topn_users_for_items(spark, sf_dir):
     items = views.vectors(spark, sf_dir).select("id", "vec")

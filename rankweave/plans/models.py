@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from rankweave.models import als, embeddings, ffm, ffm_table, fm, fm_table, tree_table, trees, tuning
+from rankweave.models import als, embeddings, ffm, ffm_table, fm, fm_table, parameter_blocks, skip_gram, tree_table, trees, tuning
 from rankweave.operators import binary_eval, ranking_eval, sequences
 from rankweave.plans import views
 from rankweave.plans.catalog import query
@@ -309,6 +309,15 @@ def lr_objective(spark, sf_dir):
     return trees.training_summary(rows, model)
 
 
+@query("lr_roc")
+def lr_roc(spark, sf_dir):
+    """The ROC curve of the training summary, its area, and the area of our own exact curve over the same scores."""
+    rows = _labelled(spark, sf_dir)
+    model = trees.logistic_regression(iterations=10, reg=0.01).fit(rows)
+    scored = model.transform(rows).select("label", vector_to_array("probability")[1].alias("score"))
+    return trees.training_roc(model).crossJoin(trees.training_area(rows, model)).crossJoin(binary_eval.areas(scored).select("auroc"))
+
+
 @query("gbt_leaf_fm")
 def gbt_leaf_fm(spark, sf_dir):
     rows = _tree_features(spark, sf_dir)
@@ -368,6 +377,12 @@ def als_rmse(spark, sf_dir):
     return binary_eval.rmse(predicted)
 
 
+@query("als_rmse_search")
+def als_rmse_search(spark, sf_dir):
+    """The search by rating error over capped quantities as ratings."""
+    return als.cross_validate_rmse(_als_ratings(spark, sf_dir), ranks=(2, 4), iterations=(2,), implicit=False)
+
+
 @query("als_cv")
 def als_cv(spark, sf_dir):
     rows = views.interactions(spark, sf_dir).where(F.col("label") == 1)
@@ -385,3 +400,43 @@ def word2vec_items(spark, sf_dir):
 def word2vec_users(spark, sf_dir):
     lists = sequences.item_sequences(views.interactions(spark, sf_dir))
     return embeddings.train_embeddings(lists, "users", width=16, min_count=1)
+
+
+#: One round of skip-gram from formula vectors: 100 items, vectors of 4 numbers, a window of 2, 3 negatives.
+_ITEMS, _DIMS, _NEGATIVES = 100, 4, 3
+_OWN, _CONTEXT = "(((i * 7 + d * 3) % 11 - 5) / 10.0::DOUBLE)", "(((i * 5 + d * 2) % 13 - 6) / 10.0::DOUBLE)"
+
+
+@query(
+    "skip_gram_step",
+    f"""WITH {views.INTERACTIONS}, placed AS (
+      SELECT device_id, CAST(feed_id AS BIGINT) AS item, row_number() OVER (PARTITION BY device_id ORDER BY ts, event_id) AS at
+      FROM interactions WHERE label = 1),
+    pairs AS (
+      SELECT row_number() OVER () AS p, a.item AS c, b.item AS o FROM placed a JOIN placed b
+      ON a.device_id = b.device_id AND abs(a.at - b.at) BETWEEN 1 AND 2),
+    targets AS (
+      SELECT p, c, o AS t, 1 AS label FROM pairs
+      UNION ALL SELECT p, c, (c * 7919 + o * 104729 + k * 1299709) % 2147483647 % {_ITEMS}, 0
+      FROM pairs CROSS JOIN (SELECT unnest(generate_series(1, {_NEGATIVES})) AS k)),
+    dims AS (SELECT unnest(generate_series(0, {_DIMS - 1})) AS d),
+    cells AS (SELECT i, d, {_OWN} AS x, {_CONTEXT} AS y FROM (SELECT unnest(generate_series(0, {_ITEMS - 1})) AS i) CROSS JOIN dims),
+    margins AS (SELECT a.i AS c, b.i AS t, sum(a.x * b.y) AS m FROM cells a JOIN cells b USING (d) GROUP BY a.i, b.i),
+    slopes AS (SELECT p, c, t, 1.0::DOUBLE / (1.0::DOUBLE + exp(-m)) - label AS g FROM targets JOIN margins USING (c, t)),
+    moved AS (
+      SELECT 'item' AS kind, c AS i, d, sum(g * y) AS total, count(DISTINCT p) AS times FROM slopes JOIN cells ON t = i GROUP BY c, d
+      UNION ALL SELECT 'context', t, d, sum(g * x), count(*) FROM slopes JOIN cells ON c = i GROUP BY t, d),
+    before AS (SELECT 'item' AS kind, i, d, x AS value FROM cells UNION ALL SELECT 'context', i, d, y FROM cells)
+    SELECT kind, i AS item, CAST(d AS INTEGER) AS place, round(value - coalesce(total / times, 0), 8) AS value
+    FROM before LEFT JOIN moved USING (kind, i, d)""",
+)
+def skip_gram_step(spark, sf_dir):
+    """All items' vectors after one round over the neighbours in the devices' positive sequences."""
+    positions = sequences.item_positions(views.interactions(spark, sf_dir).where(F.col("label") == 1), ["device_id"], "feed_id")
+    i, d = np.arange(_ITEMS)[:, None], np.arange(_DIMS)[None, :]
+    vectors = np.concatenate([((i * 7 + d * 3) % 11 - 5) / 10.0, ((i * 5 + d * 2) % 13 - 6) / 10.0])
+    first = parameter_blocks.blocks_of(spark, np.column_stack([vectors, np.zeros(2 * _ITEMS)]))
+    pairs = skip_gram.neighbour_pairs(positions, ["device_id"], 2)
+    model = skip_gram.train(pairs, _ITEMS, _DIMS, _NEGATIVES, rounds=1, first=first)
+    found = [model.vectors(kind).select(F.lit(kind).alias("kind"), "item", F.posexplode("vec").alias("place", "value")) for kind in ("item", "context")]
+    return found[0].union(found[1]).withColumn("value", F.round("value", 8))

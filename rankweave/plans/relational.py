@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from rankweave.functions.dates import shift_date
 from rankweave.operators import cleaning, profile, sequences
 from rankweave.operators.indexing import index_ids
-from rankweave.operators.joins import skew_safe_join
 from rankweave.plans import views
 from rankweave.plans.catalog import query
 
@@ -148,11 +147,8 @@ def _label_users(spark, sf_dir):
     QUALIFY count(item_id) OVER (PARTITION BY device_id) > 1""",
 )
 def rating_label_join(spark, sf_dir):
-    """The test for several rated items needs the rating counts only, so rows take part in a single join."""
     rows = views.ratings(spark, sf_dir).select("device_id", "item_id", "rating")
-    rated = rows.groupBy("device_id").agg(F.count("item_id").alias("_rated")).where(F.col("_rated") > 1)
-    users = _label_users(spark, sf_dir).join(rated.select("device_id"), "device_id")
-    return skew_safe_join(rows, users, ["device_id"], "inner")
+    return cleaning.join_ratings_with_users(rows, _label_users(spark, sf_dir), several="item_id")
 
 
 @query(
@@ -162,7 +158,7 @@ def rating_label_join(spark, sf_dir):
 )
 def rating_label_left_join(spark, sf_dir):
     rows = views.ratings(spark, sf_dir).select("device_id", "item_id", "rating")
-    return skew_safe_join(rows, _label_users(spark, sf_dir), ["device_id"], "left")
+    return cleaning.join_ratings_with_users(rows, _label_users(spark, sf_dir), how="left")
 
 
 @query(

@@ -105,17 +105,33 @@ def history_lines(spark, sf_dir):
     return history_items(files.format_history(history))
 
 
-@query(
-    "sequence_positions",
-    f"""WITH {views.INTERACTIONS}, gaps AS (
+_POSITIONS = f"""WITH {views.INTERACTIONS}, gaps AS (
   SELECT CASE WHEN event_id % 11 <> 0 THEN device_id END AS device_id, feed_id, CASE WHEN event_id % 5 <> 0 THEN ts END AS ts, event_id
   FROM interactions WHERE label = 1)
-SELECT device_id, row_number() OVER (PARTITION BY device_id ORDER BY ts NULLS FIRST, event_id) - 1 AS position, feed_id AS item FROM gaps""",
-)
-def sequence_positions(spark, sf_dir):
-    """Items in order with missing times and users, through parts of three items."""
-    rows = views.interactions(spark, sf_dir).withColumns(
+SELECT device_id, row_number() OVER (PARTITION BY device_id ORDER BY ts NULLS FIRST, event_id) - 1 AS position, feed_id AS item FROM gaps"""
+
+
+def _gappy_positives(spark, sf_dir):
+    return views.interactions(spark, sf_dir).withColumns(
         {"device_id": F.when(F.col("event_id") % 11 != 0, F.col("device_id")), "ts": F.when(F.col("event_id") % 5 != 0, F.col("ts"))}
     )
-    lists = sequences.positive_lists(rows, part_size=3)
+
+
+@query("sequence_positions", _POSITIONS)
+def sequence_positions(spark, sf_dir):
+    """Items in order with missing times and users, through parts of three items."""
+    lists = sequences.positive_lists(_gappy_positives(spark, sf_dir), part_size=3)
     return sequences.sequence_items(lists, ["device_id"], "label", 3)
+
+
+@query("sequence_positions_whole", _POSITIONS)
+def sequence_positions_whole(spark, sf_dir):
+    """The same through whole lists."""
+    return sequences.sequence_items(sequences.positive_lists(_gappy_positives(spark, sf_dir)), ["device_id"], "label")
+
+
+@query("sequence_positions_long", _POSITIONS)
+def sequence_positions_long(spark, sf_dir):
+    """The same without any list."""
+    rows = _gappy_positives(spark, sf_dir).where(F.col("label") == 1)
+    return sequences.item_positions(rows, ["device_id"], "feed_id")

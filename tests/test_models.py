@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
@@ -98,20 +99,19 @@ def test_checkpoint_folder(spark):
 
 
 def test_byte_hash_of_any_length_in_any_batch():
-    import pandas as pd
-
     rng = random.Random(12)
-    texts = pd.Series(["".join(rng.choice("abcé体") for _ in range(n)) for n in [*range(70), 300, 1, 0]])
+    texts = pa.array(["".join(rng.choice("abcé体") for _ in range(n)) for n in [*range(70), 300, 5000, 5001, 1, 0]])
+    many = pa.concat_arrays([texts] * 30)
     for function in (murmur32, murmur64, murmur128):
         together = function(texts, 7).tolist()
-        alone = [function(texts.iloc[i : i + 1], 7).tolist()[0] for i in range(len(texts))]
-        assert together == alone
+        alone = [function(texts.slice(i, 1), 7).tolist()[0] for i in range(len(texts))]
+        # Alone, a string goes on by itself from its first block; among many, from where few are left, or never.
+        assert together == alone and function(many, 7).tolist() == alone * 30
+        assert function(texts.slice(0, 0), 7).tolist() == []
 
 
 def test_byte_hash_blocks_against_scalar_arithmetic():
     """The 32-bit hash of whole blocks written out in plain integers."""
-    import pandas as pd
-
     def rotate(x, n):
         return ((x << n) | (x >> (32 - n))) & 0xFFFFFFFF
 
@@ -128,7 +128,7 @@ def test_byte_hash_blocks_against_scalar_arithmetic():
         return h - (1 << 32) if h >= 1 << 31 else h
 
     texts = ["abcd" * n for n in range(9)] + ["spark sql engine"]
-    assert murmur32(pd.Series(texts), 0).tolist() == [scalar(t.encode()) for t in texts]
+    assert murmur32(pa.array(texts), 0).tolist() == [scalar(t.encode()) for t in texts]
 
 
 def test_tree_table_equals_the_fitted_model(spark, tmp_path):
@@ -173,3 +173,28 @@ def test_tree_table_equals_the_fitted_model(spark, tmp_path):
         tree_table.TreeTable.of(nodes.where("node <> 0"))
     odd = spark.createDataFrame([(1, [None, 0.1, 0.1, 0.0]), (2, [float("nan")] * 4)], "id int, features array<double>")
     assert again.score(odd).count() == 2
+
+
+def test_skip_gram_puts_neighbours_together(spark, monkeypatch):
+    import numpy as np
+
+    from rankweave.models import parameter_blocks, skip_gram
+
+    monkeypatch.setattr(parameter_blocks, "BLOCK_VALUES", 64)
+    monkeypatch.setattr(parameter_blocks, "SHARE_GROUPS", 2)
+    rng = random.Random(2)
+    rows = [(g, k, rng.randrange(10) + 10 * (g % 2)) for g in range(80) for k in range(12)]
+    positions = spark.createDataFrame(rows, "g int, position long, item int")
+    pairs = skip_gram.neighbour_pairs(positions, ["g"], 2)
+    assert pairs.count() == 80 * (2 * 11 + 2 * 10)
+    random_start = np.random.default_rng(1).uniform(-0.5, 0.5, (40, 9))
+    model = skip_gram.train(pairs, 20, width=8, negatives=4, rounds=14, first=parameter_blocks.blocks_of(spark, random_start), group_rows=500)
+    assert model.loss_history[-1] < 0.9 * model.loss_history[0]
+    vectors = np.array([r["vec"] for r in sorted(model.vectors().collect())])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T
+    same = np.equal.outer(np.arange(20) // 10, np.arange(20) // 10)
+    assert near[same].mean() > near[~same].mean() + 0.3
+    assert model.vectors("context").count() == 20
+    with pytest.raises(ValueError):
+        skip_gram.train(pairs.limit(0), 20, width=4)

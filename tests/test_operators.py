@@ -318,8 +318,8 @@ def test_areas_match_spark(spark):
         assert found[column] == pytest.approx(evaluator.evaluate(df), abs=1e-9)
 
 
-@pytest.mark.parametrize("bits", [1, 3, 9])
-def test_score_table_any_ranges(spark, bits):
+@pytest.mark.parametrize("range_rows", [1, 5, 100])
+def test_score_table_any_ranges(spark, range_rows):
     rows = scored_rows(levels=37)
     df = spark.createDataFrame(rows, "score double, label int").repartition(3)
     expected, tp, fp = [], 0, 0
@@ -327,10 +327,22 @@ def test_score_table_any_ranges(spark, bits):
         pos = sum(t for s, t in rows if s == score)
         tp, fp = tp + pos, fp + sum(1 for s, _ in rows if s == score) - pos
         expected.append((rank, score, tp, fp))
-    table = binary_eval.score_table(df, "score", "label", bits).orderBy("rank").collect()
+    table = binary_eval.score_table(df, "score", "label", range_rows).orderBy("rank").collect()
     assert [(r["rank"], r["score"], r["cum_pos"], r["cum_neg"]) for r in table] == expected
 
 
+def test_curve_of_very_many_scores_has_ranges_from_the_data(spark):
+    n = 1_000_000
+    rows = spark.range(n).select(((F.col("id") * 7919) % n / n).alias("score"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+    table = binary_eval.score_table(rows, "score", "label", 1000)
+    bad = table.where((F.round((1 - F.col("score")) * n) != F.col("rank")) | (F.col("cum_pos") + F.col("cum_neg") != F.col("rank")))
+    assert bad.count() == 0 and table.count() == n
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_range" in plan
+    area = binary_eval.areas(rows, range_rows=1000).first()["auroc"]
+    assert area == pytest.approx(binary_eval.areas(rows, range_rows=n).first()["auroc"], abs=1e-12) and abs(area - 0.5) < 0.01
+
+
 def test_one_class_has_no_area(spark):
     df = spark.createDataFrame([(0.3, 1), (0.5, 1)], "score double, label int")
     row = binary_eval.areas(df).first()
@@ -479,3 +491,23 @@ def test_wide_products(spark):
     assert [i - 1 for i in got[1]["q_vec"].indices] == [2 * i for i in got[1]["tags_vec"].indices]
     assert len(got[2]["p_vec"].indices) == len(got[2]["q_vec"].indices) == 0
     assert got[1]["features"].size == 50_000 + 2 + 1 + 1 + 100_000 + 100_000
+
+
+def test_names_of_lists(spark, monkeypatch):
+    from rankweave.operators import naming
+
+    monkeypatch.setattr(naming, "BLOCK_IDS", 7)
+    monkeypatch.setattr(naming, "CHUNK_LISTS", 3)
+    monkeypatch.setattr(naming, "SHARE_CHUNKS", 4)
+    rng = random.Random(8)
+    names = {i: f"name {i}" for i in range(60) if i % 9}
+    lists = [(f"u{k}", [rng.choice([1, 1, 1, rng.randrange(60), None, 10**12, -5]) for _ in range(rng.randrange(6))], [k]) for k in range(100)]
+    lists += [("none", None, None), (None, [1, 2], [])]
+    df = spark.createDataFrame(lists, "device string, ids array<long>, extra array<int>").repartition(5)
+    known = spark.createDataFrame([*names.items(), (1, "name 1"), (1, "z"), (None, "nobody")], "id long, name string")
+    got = sorted(map(repr, (tuple(r) for r in naming.name_lists(df, known, "device").collect())))
+    assert got == sorted(repr((d, i, e, None if i is None else [names.get(x) for x in i])) for d, i, e in lists)
+    plan = naming.name_lists(df, known, "device")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    assert naming.name_lists(df.limit(0), known, "device").count() == 0
+    assert naming.name_lists(df, known.limit(0), "device").where("size(filter(names, n -> n is not null)) > 0").count() == 0
