@@ -96,3 +96,49 @@ def base_spans(text: str) -> list:
                 continue
             out.append((k, *m.span()))
     return out
+
+
+def words(text: str | None) -> list:
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def leaks(docs: list, items: list, s) -> set:
+    """(document, item, points) of all documents and items, each item aligned with each whole text that has a telling seed."""
+
+    def seeds(w):
+        return [tuple(w[k : k + s.width]) for k in range(len(w) - s.width + 1)]
+
+    item_words = {i: words(t) for i, t in items}
+    doc_words = [(d, words(t)) for d, t in docs]
+    kinds = {tuple(w) for w in item_words.values()}
+    held = Counter(seed for w in kinds for seed in set(seeds(list(w))))
+    few = s.few_items + s.few_share * len(kinds)
+    documents = Counter(seed for _, w in doc_words for seed in set(seeds(w)))
+    out = set()
+    for i, w in item_words.items():
+        own = [seed for seed in seeds(w) if held[seed] <= few]
+        weights = [0] * len(w)
+        for k, seed in enumerate(seeds(w)):
+            for j in range(s.width):
+                weights[k + j] |= held[seed] <= few
+        if own:
+            middle = sorted(documents[x] for x in own)
+            median = (middle[(len(own) - 1) // 2] + middle[len(own) // 2]) / 2
+            limit = max(s.rare_rows + s.rare_share * len(docs), 4 * median)
+            telling = {x for x in own if documents[x] <= limit}
+        else:
+            weights, telling = [1] * len(w), set(seeds(w))
+        full = s.match * sum(weights)
+        for d, text in doc_words:
+            if not telling & set(seeds(text)):
+                continue
+            last, points = [0] * (len(text) + 1), 0
+            for a, weight in zip(w, weights, strict=True):
+                row = [0]
+                for j, b in enumerate(text):
+                    row.append(max(0, last[j] + (s.match * weight if a == b else s.mismatch), last[j + 1] + s.gap, row[j] + s.gap))
+                points, last = max(points, *row), row
+            enough = points >= s.share * full and points >= min(full, s.least) or points >= s.points
+            if points >= full if not own else enough:
+                out.add((d, i, points))
+    return out

@@ -67,6 +67,22 @@ def test_rows_that_share_an_id_are_documents_of_their_own(spark):
     assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, one), (5, ""), (5, two), (7, texts[4][1]), (9, "")]
 
 
+def test_stages_over_other_columns(spark):
+    """Columns of other names, among them those that the stages use themselves, and no n_chars or source."""
+    en = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").limit(20).collect()
+    rows = [(r.doc_id, r.text, "en", "a", "b", "c", [1, 2], {"k": 1}) for r in en]
+    rows += [rows[0], rows[0][:3] + ("z",) + rows[0][4:]]
+    docs = spark.createDataFrame([r[:7] for r in rows], "doc_id long, text string, lang string, _found string, _one string, _changed string, leaks array<int>")
+    for name in ("language", "near_duplicates", "decontamination", "personal_data"):
+        kept = STAGES[name](spark, docs, SF)
+        assert kept.dtypes == docs.dtypes
+        if name == "near_duplicates":
+            first = [r for r in kept.collect() if r.doc_id == rows[0][0]]
+            assert len(first) <= 1 and all(r["_found"] == "a" for r in first)
+        else:
+            assert kept.count() <= len(rows)
+
+
 def test_benchmark_passages_go_and_clean_documents_stay(spark, docs):
     kept = STAGES["decontamination"](spark, docs, SF)
     assert kept.columns == docs.columns
