@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -85,19 +84,11 @@ class FFMModel:
         """Raw margin (or its logistic value) of an array<struct<f,j,v>> column."""
         model = self
 
-        @F.pandas_udf("double")
-        def scored(fields: pd.Series, features: pd.Series, values: pd.Series) -> pd.Series:
-            lengths = [len(f) for f in fields]
-
-            def flat(column: pd.Series) -> np.ndarray:
-                return np.concatenate(column.to_numpy()) if sum(lengths) else np.zeros(0)
-
-            rows = np.repeat(np.arange(len(fields)), lengths)
-            inside = Nodes.inside(
-                len(fields), rows, flat(fields), flat(features), flat(values), model.n_fields, model.n_features
-            )
-            margin = model.margins(inside)
-            return pd.Series(sigmoid(margin) if link else margin)
+        @F.arrow_udf("double")
+        def scored(fields: pa.Array, features: pa.Array, values: pa.Array) -> pa.Array:
+            (field, row), (feature, _), (value, _) = (flat_list(c) for c in (fields, features, values))
+            margin = model.margins(Nodes.inside(len(fields), row, field, feature, value, model.n_fields, model.n_features))
+            return pa.array(sigmoid(margin) if link else margin)
 
         return scored(*_node_columns(nodes))
 

@@ -13,13 +13,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.models.batches import SparseBatch, read_batches, sparse_rows, vector_parts
+from rankweave.models.batches import SparseBatch, flat_list, read_batches, sparse_rows, vector_parts
 
 FORMAT_CLASS = "rankweave.FactorizationMachine"
 FORMAT_VERSION = "1.0"
@@ -75,21 +74,16 @@ class FMModel:
         """Score of a vector column: probability of class 1, or the clipped regression value; raw with link=False."""
         model = self
 
-        @F.pandas_udf("double")
-        def scored(indices: pd.Series, values: pd.Series) -> pd.Series:
-            lengths = [len(i) for i in indices]
-            if sum(lengths):
-                feature = np.concatenate(indices.to_numpy()).astype(np.int64)
-                value = np.concatenate(values.to_numpy())
-            else:
-                feature, value = np.zeros(0, dtype=np.int64), np.zeros(0)
-            batch = SparseBatch(np.zeros(len(indices)), np.repeat(np.arange(len(indices)), lengths), feature, value)
-            margin, _ = model.margins(batch)
+        @F.arrow_udf("double")
+        def scored(indices: pa.Array, values: pa.Array) -> pa.Array:
+            feature, row = flat_list(indices)
+            value, _ = flat_list(values)
+            margin, _ = model.margins(SparseBatch(np.zeros(len(indices)), row, feature.astype(np.int64), value.astype(np.float64)))
             if not link:
-                return pd.Series(margin)
+                return pa.array(margin)
             if model.task == "regression":
-                return pd.Series(np.clip(margin, model.min_target, model.max_target))
-            return pd.Series(sigmoid(margin))
+                return pa.array(np.clip(margin, model.min_target, model.max_target))
+            return pa.array(sigmoid(margin))
 
         return scored(*vector_parts(features))
 
@@ -108,7 +102,7 @@ class FMModel:
     def parameter_table(self, spark: SparkSession) -> DataFrame:
         """(kind, factor, feature, value): one row per parameter."""
         n, k = self.factors.shape
-        pdf = pd.DataFrame(
+        table = pa.table(
             {
                 "kind": ["intercept"] + ["weight"] * n + ["factor"] * (n * k),
                 "factor": np.concatenate([[0], np.zeros(n), np.repeat(np.arange(k), n)]).astype(np.int32),
@@ -116,7 +110,7 @@ class FMModel:
                 "value": np.concatenate([[self.intercept], self.weights, self.factors.T.reshape(-1)]),
             }
         )
-        return spark.createDataFrame(pdf, PARAMETER_SCHEMA)
+        return spark.createDataFrame(table, PARAMETER_SCHEMA)
 
     def metadata(self) -> dict:
         bounded = {"min_target": self.min_target, "max_target": self.max_target}
@@ -155,17 +149,18 @@ class FMModel:
         cls, table: DataFrame, features: int, factors: int, task: str, min_target=-math.inf, max_target=math.inf
     ) -> FMModel:
         """Read back a parameter table; its size must fit the stated dimensions."""
-        pdf = table.toPandas()
+        found = table.toArrow()
         expected = 1 + features + features * factors
-        if len(pdf) != expected:
-            raise ValueError(f"{len(pdf)} parameters found, {expected} expected")
+        if found.num_rows != expected:
+            raise ValueError(f"{found.num_rows} parameters found, {expected} expected")
         weights, matrix = np.zeros(features), np.zeros((features, factors))
-        linear = pdf[pdf["kind"] == "weight"]
-        weights[linear["feature"]] = linear["value"]
-        cross = pdf[pdf["kind"] == "factor"]
-        matrix[cross["feature"], cross["factor"]] = cross["value"]
-        intercept = float(pdf[pdf["kind"] == "intercept"]["value"].iloc[0])
-        return cls(intercept, weights, matrix, task, min_target, max_target)
+        kind = found["kind"].combine_chunks().dictionary_encode()
+        names, kind = kind.dictionary.to_pylist(), kind.indices.to_numpy()
+        factor, feature, value = (found[c].to_numpy() for c in ("factor", "feature", "value"))
+        linear, cross, head = (kind == (names.index(name) if name in names else -1) for name in ("weight", "factor", "intercept"))
+        weights[feature[linear]] = value[linear]
+        matrix[feature[cross], factor[cross]] = value[cross]
+        return cls(float(value[head][0]), weights, matrix, task, min_target, max_target)
 
 
 def score_with_table(df: DataFrame, key: str, features: str, weights: DataFrame, intercept: float = 0.0) -> DataFrame:

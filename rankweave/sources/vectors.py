@@ -32,9 +32,13 @@ def parse_vectors(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_daily_vectors(spark: SparkSession, root: str, day: str, days: int, name: str = "train") -> DataFrame:
-    """Embeddings of the days in front of the rows they are joined to."""
-    return read_vectors(spark, [f"{root}/wordvec_{underscored(d)}.txt" for d in vector_days(day, days, name)])
+#: Fixed value: how files of embeddings are named in existing folders.
+DAILY_FILE = "wordvec_{day}.txt"
+
+
+def read_daily_vectors(spark: SparkSession, root: str, day: str, days: int, name: str = "train", file: str = DAILY_FILE) -> DataFrame:
+    """Embeddings of the days in front of the rows they are joined to, from one file a day."""
+    return read_vectors(spark, [f"{root}/{file.format(day=underscored(d))}" for d in vector_days(day, days, name)])
 
 
 def format_vectors(vectors: DataFrame, day: str) -> DataFrame:

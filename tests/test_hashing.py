@@ -13,6 +13,7 @@ from rankweave.functions.tag_hash import (
 )
 from rankweave.functions.tags import clean_scored_term, key_value_part, positive_tags, tag_map, tag_names
 
+# Hashes of the historical implementation, by word and by seed 12345 and 54321.
 HASHES = {
     "bat": (1873940607, 1873940607),
     "mouse": (546967064, 1647280820),
