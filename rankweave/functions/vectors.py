@@ -1,10 +1,12 @@
-"""Array arithmetic and ML vectors built inside the JVM."""
+"""Array arithmetic inside the JVM, and ML vectors from arrays of slots."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,22 +14,48 @@ from pyspark.sql import types as T
 
 from rankweave.functions.binding import bind
 
-_VECTOR_FIELD = T.StructType([T.StructField("v", VectorUDT())])
+def _vector_struct(size: int, cuts: pa.Array, indices: pa.Array, values: pa.Array, missing: pa.Array) -> pa.Array:
+    """Sparse vectors as the struct behind the vector type; `cuts` are the offsets of the rows in both lists."""
+    n = len(missing)
+    parts = [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), pa.ListArray.from_arrays(cuts, indices.cast(pa.int32())), pa.ListArray.from_arrays(cuts, values)]
+    return pa.StructArray.from_arrays(parts, ["type", "size", "indices", "values"], mask=missing)
+
+
+def _cuts(column: pa.Array) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(column.value_lengths().fill_null(0).to_numpy())).astype(np.int32))
 
 
 def sparse_vector(indices: Column, size: int, values: Column | None = None) -> Column:
-    """ML sparse vector from sorted distinct `indices`; every value is 1.0 unless `values` is given.
+    """ML sparse vector from sorted distinct `indices`; every value is 1.0 unless `values` is given. Null indices give null.
 
-    The vector type has no SQL constructor for sparse data, so its struct form is read back as JSON by the JVM.
+    The vector type has no SQL constructor for sparse data, so whole columns are put together as Arrow buffers.
     """
     if values is None:
-        values = F.array_repeat(F.lit(1.0), F.size(indices))
-    body = F.to_json(
-        F.struct(
-            F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")
-        )
-    )
-    return F.from_json(F.concat(F.lit('{"v":'), body, F.lit("}")), _VECTOR_FIELD)["v"]
+
+        @F.arrow_udf(VectorUDT())
+        def ones(places: pa.Array) -> pa.Array:
+            flat = places.flatten()
+            return _vector_struct(size, _cuts(places), flat, pa.array(np.ones(len(flat))), places.is_null())
+
+        return ones(indices)
+
+    @F.arrow_udf(VectorUDT())
+    def given(places: pa.Array, numbers: pa.Array) -> pa.Array:
+        return _vector_struct(size, _cuts(places), places.flatten(), numbers.flatten().cast(pa.float64()), places.is_null())
+
+    return given(indices, values)
+
+
+def vector_of_slots(slots: Column, size: int) -> Column:
+    """ML sparse vector from array<struct<i, v>> as `slot_values` has it.
+
+    Its struct form is read back as JSON by the JVM: products are computed from vectors that Python made, and Spark does
+    not take one Python function out of an expression over another one's result in every plan."""
+
+    def body(pairs: Column) -> Column:
+        return F.to_json(F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), pairs["i"].alias("indices"), pairs["v"].alias("values")))
+
+    return F.from_json(F.concat(F.lit('{"v":'), bind(slots, body), F.lit("}")), T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
 
 def vector_metadata(size: int) -> dict:
@@ -57,6 +85,16 @@ def _no_slots() -> Column:
     return F.array().cast("array<struct<i: int, v: double>>")
 
 
+def _multiplied(step: int) -> Callable[[Column], Column]:
+    def product(both: Column) -> Column:
+        def with_next(e: Column) -> Column:
+            return F.transform(both["b"], lambda o: F.struct((e["i"] * step + o["i"]).alias("i"), (e["v"] * o["v"]).alias("v")))
+
+        return F.flatten(F.transform(both["a"], with_next))
+
+    return product
+
+
 def outer_product(columns: Sequence[Column], widths: Sequence[int]) -> tuple[Column, int]:
     """(slots as by `slot_values`, width) of the product of several features: every combination of their slots, the last
     feature's slot running fastest. Only non-zero slots are multiplied, so the width costs nothing."""
@@ -65,12 +103,9 @@ def outer_product(columns: Sequence[Column], widths: Sequence[int]) -> tuple[Col
         raise ValueError(f"a product of {size} slots is wider than an ML vector can be")
     found = slot_values(columns[0], widths[0])
     for column, width in zip(columns[1:], widths[1:], strict=True):
-        step = max(abs(width), 1)
-
-        def with_next(e: Column, other: Column) -> Column:
-            return F.transform(other, lambda o: F.struct((e["i"] * step + o["i"]).alias("i"), (e["v"] * o["v"]).alias("v")))
-
-        found = bind(slot_values(column, width), lambda other: F.flatten(F.transform(found, lambda e: with_next(e, other))))  # noqa: B023
+        # Both sides are bound outside of the lambdas: an input that Python computes cannot stand inside of one.
+        both = F.struct(found.alias("a"), slot_values(column, width).alias("b"))
+        found = bind(both, _multiplied(max(abs(width), 1)))
     return found, size
 
 

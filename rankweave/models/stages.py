@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions import encode, tag_hash, tags
-from rankweave.functions.binding import bind
-from rankweave.functions.vectors import outer_product, sparse_vector, vector_metadata
+from rankweave.functions.vectors import outer_product, sparse_vector, vector_metadata, vector_of_slots
 
 
 def _bool_list(value) -> list[bool]:
@@ -185,7 +184,7 @@ class ColumnProduct(_Stage, HasInputCols):
                 if widths[k] <= 0:
                     raise ValueError(f"give the width of {name!r}: its metadata does not say it")
         found, size = outer_product([F.col(c) for c in names], widths)
-        return self._append(dataset, bind(found, lambda p: sparse_vector(p["i"], size, p["v"])), vector_metadata(size))
+        return self._append(dataset, vector_of_slots(found, size), vector_metadata(size))
 
 
 class LeafOneHot(_OneInput):

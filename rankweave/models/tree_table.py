@@ -89,16 +89,15 @@ class TreeTable:
         nodes = F.from_json(F.lit(json.dumps(self.nodes)), _LITERAL)
         roots = F.from_json(F.lit(json.dumps(self.roots)), "array<int>")
 
-        def value(index: Column) -> Column:
+        def value(raw: Column, index: Column) -> Column:
             if not is_vector:
-                return F.get(features, index)
-            raw = F.unwrap_udt(features)
+                return F.get(raw, index)
             place = F.array_position(raw["indices"], index)
             return F.when(raw["type"] == 1, F.get(raw["values"], index)).when(place > 0, F.get(raw["values"], place.cast("int") - 1)).otherwise(0.0)
 
-        def step(at: Column) -> Column:
+        def step(raw: Column, at: Column) -> Column:
             def turn(n: Column) -> Column:
-                x = value(n["feature"])
+                x = value(raw, n["feature"])
                 near = F.when(n["categories"].isNotNull(), F.array_contains(n["categories"], x)).otherwise(x <= n["cut"])
                 # Null and NaN go far, as no number of them is at most the cut.
                 return F.when(n["near"] < 0, at).when(F.coalesce(near, F.lit(False)), n["near"]).otherwise(n["far"])
@@ -108,7 +107,9 @@ class TreeTable:
         if not self.depth:
             return F.transform(roots, lambda r: F.get(nodes, r))
         steps = F.sequence(F.lit(1), F.lit(self.depth))
-        return F.transform(roots, lambda r: F.get(nodes, F.aggregate(steps, r, lambda at, _: step(at))))
+        # Bound outside of the lambdas: features that Python computes cannot stand inside of one.
+        held = F.unwrap_udt(features) if is_vector else features
+        return bind(held, lambda raw: F.transform(roots, lambda r: F.get(nodes, F.aggregate(steps, r, lambda at, _: step(raw, at)))))
 
     def score(self, df: DataFrame, features: str = "features", output: str = "trees") -> DataFrame:
         """The rows with `output`, a struct of leaves (ordinals, one per tree), margin (the weighted sum of leaf values) and
