@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Distinct scores of one range, which a task sorts; there are at most 512 ranges of 512 each.
-RANGE_ROWS = 100_000
+RANGE_ROWS = 20_000
 
 _FAN_BITS = 9
 _FAN = 1 << _FAN_BITS
@@ -53,9 +53,12 @@ def score_table(df: DataFrame, score: str, label: str, range_rows: int = RANGE_R
         return F.greatest(F.least(F.ceil(n / range_rows), F.lit(_FAN)), F.lit(1)).cast("int")
 
     # First level: up to 512 ranges of all scores; second level: up to 512 of each of these, where it is still too large.
-    outer = counts.agg(_cuts(F.col("score"), wanted(F.count(F.lit(1)))).alias("bounds")).scalar()
-    ranged = counts.withColumn("_bounds", outer).withColumn("_range", _range_of(F.col("score"), F.col("_bounds"))).drop("_bounds")
-    finer = ranged.groupBy("_range").agg(_cuts(F.col("score"), wanted(F.count(F.lit(1)))).alias("_bounds"))
+    everything = F.count(F.lit(1))
+    outer = counts.agg(F.struct(_cuts(F.col("score"), wanted(everything)).alias("bounds"), (everything > range_rows * _FAN).alias("many")).alias("facts")).scalar()
+    ranged = counts.withColumn("_facts", outer).withColumns({"_range": _range_of(F.col("score"), F.col("_facts.bounds")), "_many": F.col("_facts.many")}).drop("_facts")
+    # Where one level is enough the second sketch is given nothing, so that it costs nothing.
+    finer = ranged.groupBy("_range").agg(_cuts(F.when(F.col("_many"), F.col("score")), wanted(F.count(F.lit(1)))).alias("_bounds"))
+    ranged = ranged.drop("_many")
     # At most 512 rows of at most 511 numbers.
     split = ranged.join(F.broadcast(finer), "_range").withColumn("_part", _range_of(F.col("score"), F.col("_bounds"))).drop("_bounds")
     sums = [F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.count(F.lit(1)).alias("_n")]
@@ -65,13 +68,13 @@ def score_table(df: DataFrame, score: str, label: str, range_rows: int = RANGE_R
     # At most 512 rows: a window over all of them, and a broadcast.
     whole = totals.groupBy("_range").agg(*[F.sum(c).alias(c) for c in ("_pos", "_neg", "_n")])
     order = Window.orderBy(F.col("_range").desc())
-    higher, everything = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    higher, all_ranges = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranges = whole.select(
         "_range",
         *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"{c}_out") for c in ("_pos", "_neg", "_n")],
-        F.sum("_pos").over(everything).alias("total_pos"),
-        F.sum("_neg").over(everything).alias("total_neg"),
-        F.sum("_n").over(everything).alias("scores"),
+        F.sum("_pos").over(all_ranges).alias("total_pos"),
+        F.sum("_neg").over(all_ranges).alias("total_neg"),
+        F.sum("_n").over(all_ranges).alias("scores"),
     )
     offsets = parts.join(F.broadcast(ranges), "_range").select(
         "_range", "_part", *[(F.col(f"{c}_in") + F.col(f"{c}_out")).alias(f"{c}_above") for c in ("_pos", "_neg", "_n")], "total_pos", "total_neg", "scores"
