@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rankweave.operators.indexing import index_ids, with_index
 from rankweave.operators.naming import name_lists
 from rankweave.operators.ranking_eval import RankingMetricsEvaluator
+from rankweave.operators.similarity import top_lists_by_dot
 from rankweave.session import cut_lineage, ensure_checkpoint_dir
 
 #: Length of the recommendation list per user.
@@ -32,31 +33,30 @@ class Recommender:
     user_column: str
     item_column: str
 
-    def _named_lists(self, lists: DataFrame, key: str, own: DataFrame, own_name: str, other: DataFrame, other_name: str) -> DataFrame:
-        """(own name, names, scores): the lists of the model with names for numbers. Every popular item is in most lists, so
-        they are not joined by item."""
-        entries = F.col("recommendations")
-        split = lists.select(key, F.transform(entries, lambda r: r[f"{other_name}_index"]).alias("ids"), F.transform(entries, lambda r: r["rating"]).alias("scores"))
+    def _lists(self, own_name: str, other_name: str, n: int) -> DataFrame:
+        """(own name, names, scores): the best `n` of the other side for each of the own side, with names for numbers. Every
+        popular item is in most lists, so they are not joined by item."""
+        tables = {self.user_column: (self.users, self.model.userFactors), self.item_column: (self.items, self.model.itemFactors)}
+        (own, queries), (other, found) = tables[own_name], tables[other_name]
+        vectors = [factors.select("id", F.col("features").alias("vec")) for factors in (queries, found)]
+        lists = top_lists_by_dot(*vectors, n).join(own.select(F.col(own_name), F.col(f"{own_name}_index").alias("query_id")), "query_id")
         names = other.select(F.col(f"{other_name}_index").alias("id"), F.col(other_name).alias("name"))
-        owners = own.select(F.col(own_name), F.col(f"{own_name}_index").alias(key))
-        return name_lists(split, names, key).join(owners, key).select(own_name, "names", "scores")
+        short = lists.select(own_name, "query_id", "ids", F.col("scores").cast("array<float>").alias("scores"))
+        return name_lists(short, names, "query_id").select(own_name, "names", "scores")
 
     def _rows(self, named: DataFrame, own_name: str, other_name: str) -> DataFrame:
         pairs = named.select(own_name, F.posexplode(F.arrays_zip("names", "scores")).alias("rank", "r"))
         return pairs.select(own_name, F.col("r.names").alias(other_name), F.col("r.scores").alias("score"), (F.col("rank") + 1).alias("rank"))
 
     def _item_lists(self, n: int) -> DataFrame:
-        lists = self.model.recommendForAllUsers(n)
-        return self._named_lists(lists, f"{self.user_column}_index", self.users, self.user_column, self.items, self.item_column)
+        return self._lists(self.user_column, self.item_column, n)
 
     def top_items(self, n: int = TOP_ITEMS) -> DataFrame:
-        """(user, item, score, rank): the best `n` items of every user, by blocked factor products."""
+        """(user, item, score, rank): the best `n` items of every user, by exact products of factors."""
         return self._rows(self._item_lists(n), self.user_column, self.item_column)
 
     def top_users(self, n: int = TOP_ITEMS) -> DataFrame:
-        lists = self.model.recommendForAllItems(n)
-        named = self._named_lists(lists, f"{self.item_column}_index", self.items, self.item_column, self.users, self.user_column)
-        return self._rows(named, self.item_column, self.user_column)
+        return self._rows(self._lists(self.item_column, self.user_column, n), self.item_column, self.user_column)
 
     def recommendation_lists(self, n: int = TOP_ITEMS) -> DataFrame:
         """(user, recommendations): ordered item lists of at most `n`."""

@@ -100,14 +100,20 @@ BLOCK_ROWS = 50_000
 #: Items of one part; each part streams past every block of queries in a task of its own.
 PART_ROWS = 500_000
 
+#: Lists that leave a unit of work together.
+LIST_ROWS = 4_096
+
 #: Items that give each query a first bound for its n-th best score.
 HEAD_ROWS = 4_096
 
 #: Scores held at once inside a unit of work.
-SCORE_CELLS = 8_000_000
+SCORE_CELLS = 2_000_000
+
+#: Results that a unit of work holds for its queries; long lists have smaller blocks.
+HELD_ROWS = 1_000_000
 
-#: Lengths are told apart by quarters of a factor of two; the zero vector has a class of its own.
-_CLASSES_A_DOUBLING, _ZERO_CLASS = 4, -5_000
+#: Lengths are told apart by sixteenths of a factor of two; the zero vector has a class of its own.
+_CLASSES_A_DOUBLING, _ZERO_CLASS = 16, -20_000
 
 
 def _length_class(length: Column) -> Column:
@@ -126,7 +132,13 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def _best_of(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int) -> np.ndarray:
     """Positions of the `n` best entries of each row: higher scores, then smaller ids."""
-    order = np.lexsort((np.unique(ids, return_inverse=True)[1], -scores, rows))
+    order = np.lexsort((-scores, rows))
+    same = (np.diff(rows[order]) == 0) & (np.diff(scores[order]) == 0)
+    if same.any():  # ids are compared only where scores are equal
+        tied = order[np.append(same, False) | np.append(False, same)]
+        place = np.zeros(len(rows), np.int64)
+        place[tied] = np.unique(ids[tied], return_inverse=True)[1]
+        order = np.lexsort((place, -scores, rows))
     rows = rows[order]
     first = np.searchsorted(rows, rows, "left")
     return order[np.arange(len(rows)) - first < n]
@@ -137,7 +149,7 @@ class _Best:
 
     def __init__(self, n: int, exclude: bool, ids: np.ndarray, vectors: np.ndarray, lengths: np.ndarray, bounds: np.ndarray):
         self.n, self.exclude, self.ids, self.vectors, self.lengths, self.bounds = n, exclude, ids, vectors, lengths, bounds
-        self.row, self.item, self.score = np.empty(0, np.int64), np.empty(0, object), np.empty(0)
+        self.held, self.count = [], 0
 
     def meet(self, ids: np.ndarray, vectors: np.ndarray, longest: float) -> bool:
         """Take in items of length `longest` at most; False if no item so short can be among the best of any query."""
@@ -150,30 +162,40 @@ class _Best:
         step = max(1, SCORE_CELLS // len(ids))
         for k in range(0, len(can), step):
             rows = can[k : k + step]
+            # A matrix product rounds by a score's place in it; those that may win are computed again, each for itself.
+            slack = 1e-12 * self.lengths[rows] * longest
             scores = self.vectors[rows] @ vectors.T
+            passed = scores >= (self.bounds[rows] - slack)[:, None]
+            many = np.flatnonzero(np.count_nonzero(passed, axis=1) > 4 * (self.n + 1))
+            if len(many):  # with nothing known of a query's bound: its best here, one more for itself
+                least = -np.partition(-scores[many], self.n, axis=1)[:, self.n]
+                passed[many] = scores[many] >= np.maximum(least - 2 * slack[many], self.bounds[rows[many]] - slack[many])[:, None]
+            at, item = np.nonzero(passed)
+            at = rows[at]
+            score = (self.vectors[at] * vectors[item]).sum(axis=1)
+            kept = score >= self.bounds[at]
             if self.exclude:
-                scores[self.ids[rows][:, None] == ids[None, :]] = -np.inf
-            floor = self.bounds[rows, None]
-            if self.n < scores.shape[1]:
-                floor = np.maximum(floor, -np.partition(-scores, self.n - 1, axis=1)[:, self.n - 1 : self.n])
-            at, item = np.nonzero((scores >= floor) & (scores > -np.inf))
-            order = np.lexsort((item, -scores[at, item], at))
-            at, item = at[order], item[order]
-            kept = np.arange(len(at)) - np.searchsorted(at, at, "left") < self.n
-            at, item = at[kept], item[kept]
-            self.row, self.item, self.score = np.append(self.row, rows[at]), np.append(self.item, ids[item]), np.append(self.score, scores[at, item])
-        if len(self.row) > 4 * self.n * len(self.ids):
-            self.tighten()
+                kept &= self.ids[at] != ids[item]
+            self.held.append((at[kept], ids[item[kept]], score[kept]))
+            self.count += int(kept.sum())
+            if self.count > 2 * max(HELD_ROWS, self.n * len(self.ids)):
+                self.tighten()
         return True
 
     def tighten(self) -> None:
         """Keep the best and raise each query's bound to the score of its n-th."""
-        best = _best_of(self.row, self.item, self.score, self.n)
-        self.row, self.item, self.score = self.row[best], self.item[best], self.score[best]
-        full = np.flatnonzero(np.bincount(self.row, minlength=len(self.ids)) >= self.n)
-        least = np.full(len(self.ids), np.inf)
-        np.minimum.at(least, self.row, self.score)
-        self.bounds[full] = np.maximum(self.bounds[full], least[full])
+        row, item, score = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        best = _best_of(row, item, score, self.n)
+        row, item, score = row[best], item[best], score[best]
+        self.held, self.count = [(row, item, score)], len(row)
+        counts = np.bincount(row, minlength=len(self.ids))
+        full = np.flatnonzero(counts >= self.n)
+        self.bounds[full] = np.maximum(self.bounds[full], score[np.cumsum(counts)[full] - 1])
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, item, score), the best first within each row."""
+        self.tighten()
+        return self.held[0]
 
 
 def _first_bounds(n: int, exclude: bool):
@@ -197,16 +219,26 @@ def _first_bounds(n: int, exclude: bool):
     return run
 
 
-def _stream_past(n: int, exclude: bool, fields: pa.Schema):
+def _stream_past(n: int, exclude: bool, fields: pa.Schema, lists: bool = False):
     """Rows (block, part, kind, falling length, ...): the queries of a unit, then its items, the longest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, best, waiting, open_ = None, None, [], True
 
         def finish() -> Iterator[pa.RecordBatch]:
-            if best is not None and len(best.row):
-                best.tighten()
-                yield pa.RecordBatch.from_arrays([pa.array(best.ids[best.row], fields.field(0).type), pa.array(best.item, fields.field(1).type), pa.array(best.score)], schema=fields)
+            if best is None or not best.count:
+                return
+            row, item, score = best.found()
+            if not lists:
+                yield pa.RecordBatch.from_arrays([pa.array(best.ids[row], fields.field(0).type), pa.array(item, fields.field(1).type), pa.array(score)], schema=fields)
+                return
+            head = np.flatnonzero(np.diff(row, prepend=-1))
+            for first in range(0, len(head), LIST_ROWS):
+                part = head[first : first + LIST_ROWS]
+                end = head[first + LIST_ROWS] if first + LIST_ROWS < len(head) else len(row)
+                cuts = pa.array(np.append(part, end) - part[0], pa.int32())
+                columns = [pa.ListArray.from_arrays(cuts, pa.array(x[part[0] : end], fields.field(i).type.value_type)) for i, x in ((1, item), (2, score))]
+                yield pa.RecordBatch.from_arrays([pa.array(best.ids[row[part]], fields.field(0).type), *(c.cast(fields.field(i).type) for i, c in enumerate(columns, 1))], schema=fields)
 
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("block", "part", "kind")])
@@ -229,9 +261,10 @@ def _stream_past(n: int, exclude: bool, fields: pa.Schema):
     return run
 
 
-def _units(queries: DataFrame, items: DataFrame, n: int, exclude: bool, block_rows: int) -> DataFrame:
+def _units(queries: DataFrame, items: DataFrame, n: int, exclude: bool, block_rows: int, part_rows: int | None = None) -> DataFrame:
     """(block, part, kind, query_id, item_id, vec, length, bound): which items each block of queries has to see."""
     parallelism = queries.sparkSession.sparkContext.defaultParallelism
+    block_rows = min(block_rows, max(1, HELD_ROWS // n))
     queries, items = _with_length(queries), _with_length(items).withColumn("class", _length_class(F.col("length")))
 
     def several(rows: DataFrame, size: int, least: int) -> Column:
@@ -239,7 +272,7 @@ def _units(queries: DataFrame, items: DataFrame, n: int, exclude: bool, block_ro
         n = F.count(F.lit(1))
         return rows.agg(F.greatest(F.ceil(n / size), F.least(F.lit(least), F.ceil(n / 256)), F.lit(1)).alias("n")).scalar()
 
-    blocks, parts = several(queries, block_rows, parallelism), several(items, PART_ROWS, 1)
+    blocks, parts = several(queries, block_rows, parallelism), several(items, part_rows or PART_ROWS, 1)
     # A query of length 0 can be bounded by nothing; such ones have blocks of their own, with negative numbers.
     place = F.pmod(F.xxhash64("id"), blocks)
     queries = queries.withColumn("block", F.when(F.col("length") > 0, place).otherwise(-1 - place))
@@ -272,6 +305,13 @@ def _units(queries: DataFrame, items: DataFrame, n: int, exclude: bool, block_ro
     return left.unionByName(right)
 
 
+def _ordered(units: DataFrame) -> DataFrame:
+    """Units by task. Their bytes tell little of their work, so tasks are not merged by size: the number is given."""
+    spark = units.sparkSession
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    return units.repartition(tasks, "block", "part").sortWithinPartitions("block", "part", "kind", F.desc("length"))
+
+
 def top_n_by_dot(queries: DataFrame, items: DataFrame, n: int, exclude_same_id: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, item_id, score, rank): exact top `n` items by inner product for each query.
 
@@ -284,12 +324,70 @@ def top_n_by_dot(queries: DataFrame, items: DataFrame, n: int, exclude_same_id:
     types = {"query_id": queries.schema["id"].dataType.simpleString(), "item_id": items.schema["id"].dataType.simpleString()}
     schema = f"query_id {types['query_id']}, item_id {types['item_id']}, score double"
     fields = to_arrow_schema(StructType.fromDDL(schema))
-    units = _units(queries, items, n, exclude_same_id, block_rows)
-    ordered = units.repartition("block", "part").sortWithinPartitions("block", "part", "kind", F.desc("length"))
+    ordered = _ordered(_units(queries, items, n, exclude_same_id, block_rows))
     partial = ordered.mapInArrow(_stream_past(n, exclude_same_id, fields), schema)
     return top_n(partial, ["query_id"], [F.col("score").desc(), F.col("item_id")], n)
 
 
+def _moments(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width + 1, width + 1))
+        for batch in batches:
+            if batch.num_rows:
+                vectors = np.column_stack([np.ones(batch.num_rows), _matrix(batch.column("vec"))])
+                total += vectors.T @ vectors
+        yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["place", "value"])
+
+    return run
+
+
+def _moved(matrix: np.ndarray, origin: np.ndarray, mean: np.ndarray):
+    """(id, vec, shift): vectors from `origin` times `matrix`, and their own product with the mean."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = _matrix(batch.column("vec"))
+            moved = ((vectors - origin) @ matrix).astype(float)
+            cuts = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(mean))
+            yield pa.record_batch([batch.column("id"), pa.ListArray.from_arrays(cuts, pa.array(moved.ravel())), pa.array((vectors * mean).sum(axis=1))], names=["id", "vec", "shift"])
+
+    return run
+
+
+def top_lists_by_dot(queries: DataFrame, items: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(query_id, ids, scores): `top_n_by_dot` with one ordered list for each query, for short dense vectors such as factors.
+
+    Factors lie around a mean far from the origin, and lengths tell little of who wins. A query's order of items stays if
+    all items are moved by one vector, and if items are multiplied by a matrix and queries by its inverse. So items are
+    moved to their mean and made equally wide in all directions; then only the outermost are long enough to win, a small
+    part of very many. The moments of the items are computed by a job while this is built. All items of a block pass one
+    task in a stream, so no partial lists are merged.
+    """
+    types = {"query_id": queries.schema["id"].dataType.simpleString(), "item_id": items.schema["id"].dataType.simpleString()}
+    queries, items = (t.select("id", F.col("vec").cast("array<double>").alias("vec")) for t in (queries, items))
+    first = items.select(F.size("vec").alias("n")).first() or queries.select(F.size("vec").alias("n")).first()
+    width = first["n"] if first else 0
+    sums = items.select("vec").mapInArrow(_moments(width), "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
+    total = np.zeros((width + 1) ** 2)
+    for r in sums.collect():
+        total[r["place"]] = r["value"]
+    total = total.reshape(width + 1, width + 1) / max(total[0], 1)
+    mean = total[0, 1:]
+    spread, axes = np.linalg.eigh(total[1:, 1:] - np.outer(mean, mean)) if width else (np.empty(0), np.empty((0, 0)))
+    # Any widths keep the order; those of a direction without spread must not be zero.
+    wide = np.sqrt(np.maximum(spread, max(spread.max(initial=0), 1e-30) * 1e-9))
+    zero = np.zeros(width)
+    asked = queries.mapInArrow(_moved(axes * wide, zero, mean), f"id {types['query_id']}, vec array<double>, shift double")
+    offered = items.mapInArrow(_moved(axes / wide, mean, zero), f"id {types['item_id']}, vec array<double>, shift double")
+    schema = f"query_id {types['query_id']}, ids array<{types['item_id']}>, scores array<double>"
+    units = _ordered(_units(asked.drop("shift"), offered.drop("shift"), n, False, block_rows, 1 << 60))
+    lists = units.mapInArrow(_stream_past(n, False, to_arrow_schema(StructType.fromDDL(schema)), True), schema)
+    shifts = asked.select(F.col("id").alias("query_id"), "shift")
+    return lists.join(shifts, "query_id").select("query_id", "ids", F.transform("scores", lambda s: s + F.col("shift")).alias("scores"))
+
+
 def similar_items(vectors: DataFrame, n: int = 10, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, item_id, score, rank): exact `n` nearest neighbours by cosine, without the vector itself."""
     unit = vectors.select("id", normalized(F.col("vec")).alias("vec"))

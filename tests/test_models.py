@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -40,6 +41,17 @@ def test_recommendations_stay_in_the_group(recommender):
     assert len(users) == 60 and set(users[0].asDict()) == {"feed_id", "device_id", "score", "rank"}
 
 
+def test_lists_are_the_best_by_the_factors(recommender):
+    factors = [{r["id"]: np.array(r["features"], float) for r in t.collect()} for t in (recommender.model.userFactors, recommender.model.itemFactors)]
+    users, items = ({r[0]: r[1] for r in t.collect()} for t in (recommender.users, recommender.items))
+    rows = recommender.top_items(4).collect()
+    assert dict(recommender.top_items(4).dtypes)["score"] == "float" and len(rows) == 80
+    for r in rows:
+        scores = sorted((float(factors[0][users[r["device_id"]]] @ v) for v in factors[1].values()), reverse=True)
+        own = float(factors[0][users[r["device_id"]]] @ factors[1][items[r["feed_id"]]])
+        assert r["score"] == pytest.approx(own, abs=1e-5) and own == pytest.approx(scores[r["rank"] - 1], abs=1e-5)
+
+
 def test_lists_with_labels(spark, recommender):
     labels = spark.createDataFrame(
         [("u1", ["i2", "i3"]), ("u1", ["i2", "i3"]), ("u2", None), ("unknown", ["i1"])], "device_id string, label array<string>"

@@ -206,6 +206,44 @@ def test_top_n_visits_few_pairs_of_skewed_lengths(spark, monkeypatch):
     assert similarity.top_n_by_dot(queries.limit(0), items, 3).count() == similarity.top_n_by_dot(queries, items.limit(0), 3).count() == 0
 
 
+def test_top_lists_of_factors_around_a_far_mean(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    data = rng.normal(size=(20000, 5)) * [1, 2, 0.1, 1, 0.5] + [9, 0, 3, 0, 0]
+    data[100:103] = data[99]
+    data[:, 4] = data[:, 0] * 2  # a direction without spread
+    asked = rng.normal(size=(300, 5)) + [3, 0, 0, 0, 0]
+    asked[0] = 0.0
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id int, vec array<double>")
+    queries = spark.createDataFrame([(f"u{i}", v.tolist()) for i, v in enumerate(asked)], "id string, vec array<double>")
+    monkeypatch.setattr(similarity, "HEAD_ROWS", 200)
+    monkeypatch.setattr(similarity, "LIST_ROWS", 7)
+    made, units = [], similarity._units
+    monkeypatch.setattr(similarity, "_units", lambda *a: made.append(units(*a)) or made[-1])
+    rows = similarity.top_lists_by_dot(queries, items, 10, block_rows=60).collect()
+    assert sorted(r["query_id"] for r in rows) == sorted(f"u{i}" for i in range(300))
+    for r in rows:
+        scores = data @ asked[int(r["query_id"][1:])]
+        order = np.lexsort((np.arange(len(data)), -np.round(scores, 9)))[:10]
+        assert r["ids"] == order.tolist() and r["scores"] == pytest.approx(scores[order].tolist())
+    sizes = made[0].where("block >= 0").groupBy("block", "part").agg(F.count_if(F.col("kind") == 0).alias("q"), F.count_if(F.col("kind") == 1).alias("i")).collect()
+    assert 0 < sum(r["q"] * r["i"] for r in sizes) < 0.25 * 300 * 20000
+    assert similarity.top_lists_by_dot(queries, items.limit(0), 3).count() == similarity.top_lists_by_dot(queries.limit(0), items, 3).count() == 0
+    assert similarity.top_lists_by_dot(queries.limit(1), items.limit(2), 3).select(F.size("ids")).first()[0] == 2
+
+
+def test_top_n_of_many_equal_vectors(spark):
+    data = np.random.default_rng(3).normal(size=(40, 64))
+    rows = [(f"v{k:02d}c{c:02d}", (data[k] / np.linalg.norm(data[k])).tolist()) for k in range(40) for c in range(30)]
+    df = spark.createDataFrame(rows, "id string, vec array<double>")
+    found = collections.defaultdict(list)
+    for r in similarity.top_n_by_dot(df, df, 35, exclude_same_id=True, block_rows=37).collect():
+        found[r["query_id"]].append((r["rank"], r["item_id"], r["score"]))
+    for name, got in found.items():
+        got = [g[1:] for g in sorted(got)]
+        assert [i for i, _ in got[:29]] == sorted(f"{name[:3]}c{c:02d}" for c in range(30) if f"{name[:3]}c{c:02d}" != name)
+        assert len({s for _, s in got[:29]}) == 1 and len({i[:3] for i, _ in got[29:]}) == 1 and got[29][0].endswith("c00")
+
+
 def test_similar_items_leave_themselves_out(spark):
     df, data = vector_table(spark, 40, 4, 3)
     unit = data / np.linalg.norm(data, axis=1, keepdims=True)
