@@ -211,8 +211,8 @@ def fit(docs: DataFrame, rows: int = 400, *, id: str = "doc_id", text: str = "te
     return ContextTrees.build(languages, found["code"].to_numpy(np.int64).astype(np.uint32), owners, found["n"].to_numpy(float))
 
 
-def norms(docs: DataFrame, trees: ContextTrees, rows: int = 400, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Norms:
-    """The trees' norms from at most `rows` held-out labelled documents of each language, which no tree has learned from.
+def norms(docs: DataFrame, trees: ContextTrees, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Norms:
+    """The trees' norms from all held-out labelled documents, which no tree has learned from.
 
     A language without such a document takes the largest rate and spread of the others; with none at all, any text fits.
     """
@@ -235,8 +235,8 @@ def norms(docs: DataFrame, trees: ContextTrees, rows: int = 400, *, id: str = "d
 
     rate, spread = np.full((2, len(trees.languages)), np.nan)
     if trees.languages:
-        sample = _sample(docs.where(held_out(id)), rows, id, text, lang).select("lang", "text")
-        sums = sample.mapInArrow(measure, "lang string, b double, n double, bb double, bn double, nn double").groupBy("lang")
+        known = docs.where(held_out(id) & F.col(lang).isNotNull() & F.col(id).isNotNull() & F.col(text).isNotNull())
+        sums = known.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(frugal(measure), "lang string, b double, n double, bb double, bn double, nn double").groupBy("lang")
         for r in sums.agg(*[F.sum(c).alias(c) for c in ("b", "n", "bb", "bn", "nn")]).collect():
             if r.lang in trees.languages and r.n:
                 at, mean = trees.languages.index(r.lang), r.b / r.n

@@ -286,3 +286,12 @@ def test_clean_documents_share_a_little_with_short_items(spark):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(clash(spark, rows), benchmark).collect()} == leaks
     assert {r.doc_id for r in decontamination.drop_leaks(clash(spark, rows), benchmark).collect()} == {i for i, _ in rows} - {i for i, _ in leaks}
+
+
+def test_norms_are_from_all_held_out_documents(spark):
+    plain = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the river runs past the old mill").alias("text"), F.lit("en").alias("lang"))
+    trees = language.fit(plain)
+    late = [r["doc_id"] for r in plain.where(held_out("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()[400:]]
+    assert len(late) > 100
+    odd = plain.withColumn("text", F.when(F.col("doc_id").isin(late), "zq xv kj wq").otherwise(F.col("text")))
+    assert language.norms(odd, trees).rate[0] > language.norms(plain, trees).rate[0]
