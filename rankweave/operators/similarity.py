@@ -98,7 +98,7 @@ def top_n(df: DataFrame, group: Sequence[str], order, n: int, rank: str = "rank"
 BLOCK_ROWS = 50_000
 
 #: Items of one part; each part streams past every block of queries in a task of its own.
-PART_ROWS = 500_000
+PART_ROWS = 250_000
 
 #: Lists that leave a unit of work together.
 LIST_ROWS = 4_096
@@ -170,7 +170,7 @@ class _Best:
             if len(many):  # with nothing known of a query's bound: its best here, one more for itself
                 least = -np.partition(-scores[many], self.n, axis=1)[:, self.n]
                 passed[many] = scores[many] >= np.maximum(least - 2 * slack[many], self.bounds[rows[many]] - slack[many])[:, None]
-            at, item = np.nonzero(passed)
+            at, item = np.divmod(np.flatnonzero(passed.ravel()), len(ids))
             at = rows[at]
             score = (self.vectors[at] * vectors[item]).sum(axis=1)
             kept = score >= self.bounds[at]
