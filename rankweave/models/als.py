@@ -69,13 +69,18 @@ class Recommender:
         return joined.select("recommendations", "label").dropDuplicates()
 
     def predict(self, pairs: DataFrame) -> DataFrame:
-        """`pairs` with a `prediction`; pairs with an unknown user or item are left out."""
-        indexes = [f"{self.user_column}_index", f"{self.item_column}_index"]
-        indexed = pairs
-        if not set(indexes) <= set(pairs.columns):
-            by_user = with_index(pairs, self.users, self.user_column)
-            indexed = with_index(by_user, self.items, self.item_column)
-        return self.model.transform(indexed).drop(*indexes)
+        """`pairs` with a `prediction`; pairs with an unknown user or item are left out. Factors are joined to the names, so
+        that pairs meet each side once."""
+        sides = ((self.user_column, self.users, self.model.userFactors), (self.item_column, self.items, self.model.itemFactors))
+        indexes = [f"{column}_index" for column, _, _ in sides]
+        ready = set(indexes) <= set(pairs.columns)
+        found = pairs
+        for (column, names, factors), index in zip(sides, indexes, strict=True):
+            table = factors.select(F.col("id").alias(index), F.col("features").alias(f"_{index}"))
+            found = found.join(table, index) if ready else found.join(names.join(table, index).drop(index), column)
+        products = F.zip_with(*[F.col(f"_{index}").cast("array<double>") for index in indexes], lambda a, b: a * b)
+        prediction = F.aggregate(products, F.lit(0.0), lambda total, v: total + v).cast("float")
+        return found.select(*[c for c in pairs.columns if c not in indexes], prediction.alias("prediction"))
 
 
 def index_tables(ratings: DataFrame, user: str = "device_id", item: str = "feed_id") -> tuple[DataFrame, DataFrame]:
@@ -90,6 +95,21 @@ def index_tables(ratings: DataFrame, user: str = "device_id", item: str = "feed_
     )
 
 
+def indexed_ratings(ratings: DataFrame, user: str = "device_id", item: str = "feed_id", rating: str | None = "rating", tables: tuple[DataFrame, DataFrame] | None = None) -> tuple[tuple[DataFrame, DataFrame], DataFrame]:
+    """The index tables, given or built, and the rows as (user index, item index, rating), written to the checkpoint folder:
+    fitting reads its rows twice, and whoever scores the same rows need not join the names again."""
+    value = F.col(rating).cast("float") if rating else F.lit(1.0).cast("float")
+    rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(user, item, value.alias("rating"))
+    # Numbering and the joins read the rows; whatever they come from is computed once.
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        users, items = tables = tables or index_tables(rows, user, item)
+        joined = with_index(with_index(rows, users, user), items, item)
+        return tables, cut_lineage(joined.select(f"{user}_index", f"{item}_index", "rating"))
+    finally:
+        rows.unpersist()
+
+
 def fit_als(
     ratings: DataFrame,
     user: str = "device_id",
@@ -114,11 +134,12 @@ def fit_als(
     blocks = blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
     indexes = [f"{user}_index", f"{item}_index"]
     ready = set(indexes) <= set(ratings.columns)
-    value = F.col(rating).cast("float") if rating else F.lit(1.0).cast("float")
-    columns = [user, item, *(indexes if ready else []), value.alias("rating")]
-    # Numbering, sizing the joins and fitting all read the rows; whatever they come from is computed once.
-    rows = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(*columns)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    if ready:
+        value = F.col(rating).cast("float") if rating else F.lit(1.0).cast("float")
+        indexed = ratings.where(F.col(indexes[0]).isNotNull() & F.col(indexes[1]).isNotNull()).select(*indexes, value.alias("rating"))
+        users, items = tables or index_tables(ratings, user, item)
+    else:
+        (users, items), indexed = indexed_ratings(ratings, user, item, rating, tables)
     als = ALS(
         userCol=indexes[0],
         itemCol=indexes[1],
@@ -134,12 +155,7 @@ def fit_als(
         coldStartStrategy="drop",
         seed=seed,
     )
-    try:
-        users, items = tables or index_tables(rows, user, item)
-        indexed = rows if ready else with_index(with_index(rows, users, user), items, item)
-        model = als.fit(indexed.select(*indexes, "rating"))
-    finally:
-        rows.unpersist()
+    model = als.fit(indexed)
     return Recommender(model, users, items, user, item)
 
 

@@ -372,8 +372,8 @@ def als_ranking_eval(spark, sf_dir):
 
 @query("als_rmse")
 def als_rmse(spark, sf_dir):
-    rows = _als_ratings(spark, sf_dir)
-    predicted = als.fit_als(rows, iterations=3, reg=0.1).predict(rows)
+    tables, rows = als.indexed_ratings(_als_ratings(spark, sf_dir))
+    predicted = als.fit_als(rows, iterations=3, reg=0.1, tables=tables).predict(rows)
     return binary_eval.rmse(predicted)
 
 

@@ -67,6 +67,18 @@ def test_predictions_leave_out_unknown_ids(spark, recommender):
     assert scores["u1", "i1"] > scores["u1", "i15"]
 
 
+def test_scoring_indexed_rows_equals_scoring_names_and_spark(taste):
+    tables, rows = als.indexed_ratings(taste.unionByName(taste.limit(1).selectExpr("CAST(null AS STRING) AS device_id", "feed_id", "rating")))
+    assert rows.columns == ["device_id_index", "feed_id_index", "rating"] and rows.count() == taste.count()
+    found = als.fit_als(rows, rank=3, iterations=3, reg=0.05, tables=tables)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    spark_own = sorted(r["prediction"] for r in found.model.transform(rows).collect())
+    assert sorted(r["prediction"] for r in found.predict(rows).collect()) == pytest.approx(spark_own, rel=1e-5)
+    by_name = found.predict(taste)
+    assert by_name.columns == [*taste.columns, "prediction"] and dict(by_name.dtypes)["prediction"] == "float"
+    assert sorted(r["prediction"] for r in by_name.collect()) == pytest.approx(spark_own, rel=1e-5)
+
+
 def test_cross_validation(taste):
     found = als.cross_validate(taste, ranks=(2,), iterations=(2, 4), topN=10, top_k=3).collect()
     assert [r["rank"] for r in found] == [2, 2] and found[0]["score"] >= found[1]["score"]
