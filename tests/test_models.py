@@ -79,6 +79,14 @@ def test_scoring_indexed_rows_equals_scoring_names_and_spark(taste):
     assert sorted(r["prediction"] for r in by_name.collect()) == pytest.approx(spark_own, rel=1e-5)
 
 
+def test_search_by_error_reads_narrow_folds(taste, monkeypatch):
+    seen, fit = [], als.fit_als
+    monkeypatch.setattr(als, "fit_als", lambda rows, *a, **k: seen.append(rows) or fit(rows, *a, **k))
+    als.cross_validate_rmse(taste, ranks=(2,), iterations=(1,), folds=3, implicit=False)
+    assert len(seen) == 3 and sum(t.count() for t in seen) == 2 * taste.count()
+    assert all("device_id" not in t.columns and "Sort" not in t._jdf.queryExecution().executedPlan().toString() for t in seen)
+
+
 def test_cross_validation(taste):
     found = als.cross_validate(taste, ranks=(2,), iterations=(2, 4), topN=10, top_k=3).collect()
     assert [r["rank"] for r in found] == [2, 2] and found[0]["score"] >= found[1]["score"]
