@@ -94,6 +94,16 @@ def test_cross_validation(taste):
     assert len(errors) == 1 and 0 <= errors[0]["rmse"] < 5
 
 
+def test_blocks_of_factors_grow_with_the_ratings(taste, monkeypatch):
+    assert [als.factor_blocks(n, 12) for n in (0, 600_000, 36_000_000, 216_000_000)] == [12, 12, 33, 60]
+    seen, plain = [], als.ALS
+    monkeypatch.setattr(als, "ALS", lambda **k: seen.append((k["numUserBlocks"], k["numItemBlocks"])) or plain(**k))
+    monkeypatch.setattr(als, "RATINGS_A_CUBE", taste.count() / 15**3)
+    als.fit_als(taste, rank=2, iterations=1, reg=0.1)
+    als.fit_als(als.indexed_ratings(taste)[1], rank=2, iterations=1, reg=0.1, tables=(taste, taste))
+    assert seen == [(15, 15)] * 2
+
+
 def test_embeddings_of_items_seen_together(spark):
     rng = random.Random(2)
     groups = [[f"a{i}" for i in range(6)], [f"b{i}" for i in range(6)]]
