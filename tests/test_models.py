@@ -2,12 +2,15 @@
 
 import json
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 from rankweave.functions.byte_hash import murmur32, murmur64, murmur128
 from rankweave.models import als, embeddings, tuning
 from rankweave.operators.similarity import similar_items
@@ -94,6 +97,22 @@ def test_cross_validation(taste):
     assert len(errors) == 1 and 0 <= errors[0]["rmse"] < 5
 
 
+def test_the_search_by_error_covers_the_whole_grid(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(o, o % 7, float(o % 12)) for o in range(40)], "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(o, o % 5) for o in range(40)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    seen = []
+
+    def fit(rows, user, item, rating, rank, rounds, **_):
+        seen.append((rank, rounds))
+        return SimpleNamespace(predict=lambda held_out: held_out.withColumn("prediction", F.col("rating") + rank + rounds / 100))
+
+    monkeypatch.setattr(als, "fit_als", fit)
+    found = [tuple(r) for r in entry_points.queries()["als_rmse_search"](spark, str(tmp_path)).collect()]
+    grid = [(rank, rounds) for rank in (5, 10, 15, 20) for rounds in (5, 10, 20, 30, 50)]
+    assert sorted(seen) == sorted(grid * 2)
+    assert [r[:2] for r in found] == grid and [r[2] for r in found] == pytest.approx([a + b / 100 for a, b in grid])
+
+
 def test_blocks_of_factors_grow_with_the_ratings(taste, monkeypatch):
     assert [als.factor_blocks(n, 12) for n in (0, 600_000, 36_000_000, 216_000_000)] == [12, 12, 33, 60]
     seen, plain = [], als.ALS
